@@ -40,3 +40,390 @@ def surge_by_batch(spark: SparkSession, sf_dir: str, batch: str = "day",
 @register("surge_by_zone_day")
 def q_surge_by_zone_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surge_by_batch(spark, sf_dir, "day").withColumnRenamed("batch", "batch_date")
+
+
+# ---------------------------------------------------------------------------
+# zones
+# ---------------------------------------------------------------------------
+from zonefare.config import FEATURE_COLUMNS  # noqa: E402
+from zonefare.functions import conditions as C  # noqa: E402
+from zonefare.functions.features import event_multiplier_default  # noqa: E402
+from zonefare.functions.timefeat import (city_timezone, local_time,  # noqa: E402
+                                         time_demand_multiplier, time_features)
+from zonefare.operators import aggregate as A  # noqa: E402
+from zonefare.operators.calendar import date_dimension  # noqa: E402
+from zonefare.operators.joins import asof_join, interval_lookup, winner_segments  # noqa: E402
+from zonefare.operators.quality import (dead_letters, range_violations,  # noqa: E402
+                                        validate_events)
+from zonefare.operators.windows import sliding_demand, trailing_counts  # noqa: E402
+from zonefare.plans import serving as S  # noqa: E402
+from zonefare.schemas import DLQ_SCHEMA, EVENT_SCHEMA, WEATHER_PAYLOAD_SCHEMA  # noqa: E402
+from zonefare.sources import derived as DV  # noqa: E402
+from zonefare.sources.rides import ride_columns, zone_dim  # noqa: E402
+from zonefare.sources.tables import read_table  # noqa: E402
+
+AS_OF_FRESHNESS = "2024-01-16 00:00:00"
+AS_OF_RETENTION = "2024-01-20 00:00:00"
+
+
+@register("zone_grid")
+def q_zone_grid(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    counts = ride_columns(ev).groupBy("zone_idx").agg(F.count(F.lit(1)).alias("n_events"))
+    dim = zone_dim(spark)
+    return counts.join(F.broadcast(dim), "zone_idx").select(
+        "zone_idx", "zone_id", "city", "grid_i", "grid_j", "latitude", "longitude", "n_events")
+
+
+@register("zone_collisions")
+def q_zone_collisions(spark, sf_dir):
+    per_point = rides(spark, sf_dir).groupBy("zone_id", "city", "zone_idx").agg(F.count(F.lit(1)).alias("n"))
+    return per_point.groupBy("zone_id", "city").agg(
+        F.count(F.lit(1)).alias("grid_points"), F.sum("n").alias("n_events"))
+
+
+@register("zones_per_city")
+def q_zones_per_city(spark, sf_dir):
+    pts = rides(spark, sf_dir).groupBy("city", "zone_idx", "zone_id").agg(F.count(F.lit(1)).alias("n"))
+    return pts.groupBy("city").agg(F.count(F.lit(1)).alias("grid_zones"),
+                                   F.countDistinct("zone_id").alias("distinct_zone_ids"))
+
+
+# ---------------------------------------------------------------------------
+# validation, dead letters, JSON
+# ---------------------------------------------------------------------------
+@register("event_validation_split")
+def q_event_validation_split(spark, sf_dir):
+    v = validate_events(DV.ride_payloads(spark, sf_dir))
+    return (v.groupBy(F.coalesce(F.col("failure_reason"), F.lit("valid")).alias("failure_reason"))
+            .agg(F.count(F.lit(1)).alias("n_events")))
+
+
+@register("dlq_records")
+def q_dlq_records(spark, sf_dir):
+    v = validate_events(DV.ride_payloads(spark, sf_dir))
+    d = dead_letters(v, F.col("timestamp_ms"))
+    back = F.from_json("dlq_value", DLQ_SCHEMA)
+    ok = ((back["original_event"] == F.col("value")) & (back["failure_reason"] == F.col("failure_reason"))
+          & (back["failed_at_ms"] == F.col("failed_at_ms")))
+    return d.select("event_id", "failure_reason", "failed_at_ms", F.coalesce(ok, F.lit(False)).alias("dlq_ok"))
+
+
+@register("event_json_roundtrip")
+def q_event_json_roundtrip(spark, sf_dir):
+    r = rides(spark, sf_dir)
+    orig = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields])
+    msg = r.select("zone_id", F.col("zone_id").cast("binary").alias("key"), F.to_json(orig).alias("value"),
+                   orig.alias("orig"))
+    back = F.from_json("value", EVENT_SCHEMA)
+    ok = back.eqNullSafe(F.col("orig")) & (F.col("key").cast("string") == back["zone_id"])
+    return msg.groupBy("zone_id").agg(F.count(F.lit(1)).alias("n_events"),
+                                      F.count_if(ok).alias("n_roundtrip_ok"))
+
+
+# ---------------------------------------------------------------------------
+# windows
+# ---------------------------------------------------------------------------
+def _sliding(seconds):
+    def q(spark, sf_dir):
+        return sliding_demand(rides(spark, sf_dir), seconds, 10)
+    return q
+
+
+for _s in (60, 300, 900):
+    register(f"demand_sliding_{_s}")(_sliding(_s))
+
+
+@register("rolling_demand")
+def q_rolling_demand(spark, sf_dir):
+    t = trailing_counts(rides(spark, sf_dir), (60, 300, 900))
+    return t.select("event_id", "zone_id", "timestamp_ms", "demand_60", "demand_300", "demand_900")
+
+
+# ---------------------------------------------------------------------------
+# history, current view, freshness, retention, baselines
+# ---------------------------------------------------------------------------
+@register("latest_surge_per_zone")
+def q_latest_surge_per_zone(spark, sf_dir):
+    cur = S.current_view(S.surge_history(spark, sf_dir, "hour"))
+    return cur.select("zone_id", "city", "timestamp", "demand_1min", "available_drivers",
+                      "rule_multiplier", "final_multiplier",
+                      A.surge_tier(F.col("final_multiplier")).alias("surge_tier"))
+
+
+@register("surge_freshness")
+def q_surge_freshness(spark, sf_dir):
+    h = S.surge_history(spark, sf_dir, "minute")
+    cur = S.current_as_of(h, AS_OF_FRESHNESS, 120, 60)
+    return cur.select("zone_id", "city", "updated_at", "final_multiplier", "age_seconds", "is_fresh")
+
+
+@register("zone_history_topn")
+def q_zone_history_topn(spark, sf_dir):
+    return S.zone_history(S.surge_history(spark, sf_dir, "hour"), 100)
+
+
+@register("retention_window")
+def q_retention_window(spark, sf_dir):
+    h = S.surge_history(spark, sf_dir, "hour")
+    as_of = F.lit(AS_OF_RETENTION).cast("timestamp")
+    keep = (F.col("timestamp") > as_of - F.expr("INTERVAL 604800 SECONDS")) & (F.col("timestamp") <= as_of)
+    return h.filter(keep).select("zone_id", "city", "timestamp", "final_multiplier")
+
+
+@register("historical_avg_coded")
+def q_historical_avg_coded(spark, sf_dir):
+    b = S.historical_baseline(S.surge_history(spark, sf_dir, "hour"), 1000)
+    return b.select("zone_id", F.round("avg_demand", 6).alias("avg_demand"),
+                    F.round("avg_surge", 6).alias("avg_surge"))
+
+
+@register("historical_avg_by_hour")
+def q_historical_avg_by_hour(spark, sf_dir):
+    h = S.with_local_time(S.surge_history(spark, sf_dir, "hour"), "timestamp")
+    return (h.groupBy("zone_id", F.hour("local_time").alias("hour_of_day"),
+                      F.weekday("local_time").alias("day_of_week"))
+            .agg(F.round(A.nonzero_mean(F.col("demand_1min"), 20.0), 6).alias("avg_demand"),
+                 F.round(A.nonzero_mean(F.col("final_multiplier"), 1.0), 6).alias("avg_surge")))
+
+
+# ---------------------------------------------------------------------------
+# time, calendar, weather, demand/supply models
+# ---------------------------------------------------------------------------
+def _rides_local(spark, sf_dir, extra=()):
+    r = rides(spark, sf_dir, extra=extra)
+    return r.withColumn("local_time", local_time(F.col("event_time"), city_timezone(F.col("city"))))
+
+
+@register("time_features")
+def q_time_features(spark, sf_dir):
+    r = _rides_local(spark, sf_dir)
+    tf = time_features(F.col("local_time"))
+    return r.select("event_id", "city", "local_time", *[c.alias(n) for n, c in tf.items()])
+
+
+def _city_dates(spark, sf_dir):
+    r = _rides_local(spark, sf_dir)
+    return r.groupBy("city", F.to_date("local_time").alias("local_date")).agg(
+        F.count(F.lit(1)).alias("n_events"))
+
+
+@register("calendar_features")
+def q_calendar_features(spark, sf_dir):
+    d = _city_dates(spark, sf_dir)
+    dim = date_dimension(d, "local_date")
+    return d.join(F.broadcast(dim), d["local_date"] == dim["date"]).select(
+        "city", "local_date", "n_events", "is_holiday", "days_to_next_holiday")
+
+
+@register("holiday_multiplier")
+def q_holiday_multiplier(spark, sf_dir):
+    d = _city_dates(spark, sf_dir)
+    dim = date_dimension(d, "local_date")
+    j = d.join(F.broadcast(dim), d["local_date"] == dim["date"])
+    return j.select("city", "local_date", "is_holiday", "is_holiday_eve",
+                    C.holiday_multiplier(F.col("is_holiday"), F.col("is_holiday_eve")).alias("holiday_multiplier"))
+
+
+@register("wmo_severity")
+def q_wmo_severity(spark, sf_dir):
+    w = DV.weather_obs(spark, sf_dir)
+    return w.select("obs_id", "city", "weathercode", C.wmo_severity(F.col("weathercode")).alias("severity"))
+
+
+@register("hourly_precip_lookup")
+def q_hourly_precip_lookup(spark, sf_dir):
+    w = DV.weather_obs(spark, sf_dir)
+    payload = F.to_json(F.struct(
+        "city",
+        F.struct("temperature", "windspeed", "weathercode").alias("current_weather"),
+        F.struct("precipitation").alias("hourly")))
+    p = w.select("obs_id", "city", "updated_at", F.from_json(payload, WEATHER_PAYLOAD_SCHEMA).alias("w"))
+    cw = F.col("w.current_weather")
+    hour = F.hour(local_time(F.col("updated_at"), city_timezone(F.col("city"))))
+    return p.select(
+        "obs_id", "city", "updated_at", hour.alias("local_hour"),
+        F.coalesce(cw["temperature"], F.lit(15.0)).alias("temperature"),
+        F.coalesce(cw["windspeed"], F.lit(0.0)).alias("windspeed"),
+        F.coalesce(cw["weathercode"], F.lit(0)).alias("weathercode"),
+        C.wmo_severity(F.coalesce(cw["weathercode"], F.lit(0))).alias("severity"),
+        C.hourly_value(F.col("w.hourly.precipitation"), hour).alias("precipitation"))
+
+
+@register("demand_multipliers")
+def q_demand_multipliers(spark, sf_dir):
+    r = _rides_local(spark, sf_dir)
+    g = r.groupBy("city", F.hour("local_time").alias("hour_of_day"),
+                  F.weekday("local_time").alias("day_of_week"), "weather_severity").agg(
+        F.count(F.lit(1)).alias("n_events"))
+    return g.select("*", time_demand_multiplier(F.col("hour_of_day"), F.col("day_of_week")).alias("time_multiplier"),
+                    C.weather_demand_multiplier(F.col("weather_severity")).alias("weather_multiplier"))
+
+
+def city_dim(spark):
+    from zonefare.config import DEFAULT as cfg
+    return spark.createDataFrame([(c.name, c.base_demand, c.num_zones, c.timezone) for c in cfg.cities],
+                                 "city string, base_demand int, num_zones int, timezone string")
+
+
+@register("expected_demand_supply")
+def q_expected_demand_supply(spark, sf_dir):
+    from zonefare.functions.timefeat import is_us_holiday
+    r = rides(spark, sf_dir).join(F.broadcast(city_dim(spark)), "city")  # 3-row dimension
+    lt = local_time(F.col("event_time"), F.col("timezone"))
+    h, dow, ld = F.hour(lt), F.weekday(lt), F.to_date(lt)
+    hol = C.holiday_multiplier(is_us_holiday(ld), is_us_holiday(F.date_add(ld, 1)))
+    sf = C.supply_factor(F.col("weather_severity"), h, dow)
+    dem = C.expected_demand(F.col("base_demand"), F.col("num_zones"), time_demand_multiplier(h, dow),
+                            C.weather_demand_multiplier(F.col("weather_severity")), F.lit(1.0), hol)
+    return r.select("event_id", "zone_id", "city", sf.alias("supply_factor"),
+                    dem.alias("expected_demand"), C.expected_supply(sf).alias("expected_supply"))
+
+
+# ---------------------------------------------------------------------------
+# joins: special events, weather as-of
+# ---------------------------------------------------------------------------
+@register("event_interval_join")
+def q_event_interval_join(spark, sf_dir):
+    segs = winner_segments(DV.event_calendar(spark, sf_dir))
+    facts = rides(spark, sf_dir).select("event_id", "zone_id", "timestamp_ms")
+    j = interval_lookup(facts, segs.withColumnRenamed("event_id", "special_event_id"), "zone_id",
+                        "timestamp_ms", ["special_event_id", "multiplier"])
+    is_ev = F.col("special_event_id").isNotNull()
+    return j.select("event_id", "zone_id", "special_event_id", is_ev.alias("is_special_event"),
+                    F.coalesce(F.col("multiplier"), F.lit(1.0)).alias("event_demand_multiplier"),
+                    event_multiplier_default(is_ev).alias("default_event_multiplier"))
+
+
+@register("weather_asof")
+def q_weather_asof(spark, sf_dir):
+    w = DV.weather_obs(spark, sf_dir)
+    r = rides(spark, sf_dir).select("event_id", "city", "timestamp_ms")
+    j = asof_join(r, w, "city", "timestamp_ms", "updated_at_ms",
+                  ["obs_id", "weathercode", "temperature"], 660_000, tie="obs_id")
+    return j.select("event_id", "city", "obs_id",
+                    F.coalesce(C.wmo_severity(F.col("weathercode")), F.lit(1)).alias("weather_severity"),
+                    F.when(F.col("obs_id").isNull(), 15.0)
+                    .otherwise(F.coalesce(F.col("temperature"), F.lit(15.0))).alias("temperature"))
+
+
+# ---------------------------------------------------------------------------
+# features, label, confidence, blend
+# ---------------------------------------------------------------------------
+def _features(spark, sf_dir):
+    h = S.surge_history(spark, sf_dir, "hour")
+    return S.feature_rows(h, S.historical_baseline(h, 1000))
+
+
+FEATURE_OUT = ("zone_id", "city", "timestamp") + FEATURE_COLUMNS
+
+
+@register("feature_vector")
+def q_feature_vector(spark, sf_dir):
+    return _features(spark, sf_dir).select(*FEATURE_OUT)
+
+
+@register("label_formula")
+def q_label_formula(spark, sf_dir):
+    return _features(spark, sf_dir).select("zone_id", "city", "timestamp",
+                                           S.label_column().alias("actual_multiplier"))
+
+
+@register("confidence_score")
+def q_confidence_score(spark, sf_dir):
+    p = S.hybrid_prices(_features(spark, sf_dir), S.label_column())
+    return p.select("zone_id", "city", "timestamp", "ml_multiplier", "ml_confidence")
+
+
+@register("hybrid_price")
+def q_hybrid_price(spark, sf_dir):
+    return S.hybrid_prices(_features(spark, sf_dir), S.label_column())
+
+
+# ---------------------------------------------------------------------------
+# fleet / dashboard / look-ups
+# ---------------------------------------------------------------------------
+def _current(spark, sf_dir):
+    return S.current_view(S.surge_history(spark, sf_dir, "hour"))
+
+
+@register("fleet_summary")
+def q_fleet_summary(spark, sf_dir):
+    return A.fleet_summary(_current(spark, sf_dir))
+
+
+@register("fleet_summary_city")
+def q_fleet_summary_city(spark, sf_dir):
+    return A.fleet_summary(_current(spark, sf_dir), "city")
+
+
+@register("tier_distribution")
+def q_tier_distribution(spark, sf_dir):
+    return A.tier_distribution(_current(spark, sf_dir), spark)
+
+
+@register("active_zones")
+def q_active_zones(spark, sf_dir):
+    cur = _current(spark, sf_dir)
+    return cur.groupBy("city").agg(F.count(F.lit(1)).alias("zone_count"),
+                                   F.array_sort(F.collect_set("zone_id")).alias("zone_ids"))
+
+
+@register("price_batch_lookup")
+def q_price_batch_lookup(spark, sf_dir):
+    ids = DV.price_requests(spark, sf_dir).select("zone_id")
+    cur = _current(spark, sf_dir)
+    return cur.join(ids, "zone_id", "left_semi").select("zone_id", "city", "final_multiplier",
+                                                          A.surge_tier(F.col("final_multiplier")).alias("surge_tier"))
+
+
+@register("price_lookup_default")
+def q_price_lookup_default(spark, sf_dir):
+    from zonefare.operators.joins import lookup_with_default
+    req = DV.price_requests(spark, sf_dir)
+    cur = _current(spark, sf_dir).select(
+        "zone_id", "city", "final_multiplier", "rule_multiplier", "ml_multiplier", "ml_confidence",
+        A.surge_tier(F.col("final_multiplier")).alias("surge_tier"))
+    return lookup_with_default(req, cur, "zone_id", S.default_price()).select(
+        "request_id", "zone_id", "city", "final_multiplier", "rule_multiplier", "ml_multiplier",
+        "ml_confidence", "surge_tier")
+
+
+@register("dashboard_table")
+def q_dashboard_table(spark, sf_dir):
+    return S.dashboard_table(_current(spark, sf_dir))
+
+
+@register("quality_range_checks")
+def q_quality_range_checks(spark, sf_dir):
+    return range_violations(S.hybrid_prices(_features(spark, sf_dir), S.label_column()))
+
+
+# ---------------------------------------------------------------------------
+# imputation and standardisation
+# ---------------------------------------------------------------------------
+MEDIAN_FEATURES = ("demand_last_1min", "demand_spike_factor", "available_drivers", "supply_ratio",
+                   "hour_of_day", "weather_severity", "historical_avg_demand")
+
+
+@register("median_impute")
+def q_median_impute(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    return f.agg(*[F.median(F.col(c).cast("double")).alias(f"median_{c}") for c in MEDIAN_FEATURES])
+
+
+ZSCORE_FEATURES = ("demand_last_1min", "available_drivers", "supply_ratio", "demand_spike_factor")
+
+
+@register("feature_zscore")
+def q_feature_zscore(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    # one-row aggregate: fetched once, then applied as literals
+    st = f.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in ZSCORE_FEATURES],
+               *[F.stddev_samp(F.col(c).cast("double")).alias(f"s_{c}") for c in ZSCORE_FEATURES]).first()
+    cols = []
+    for c in ZSCORE_FEATURES:
+        m, s = st[f"m_{c}"], st[f"s_{c}"]
+        z = (F.col(c).cast("double") - F.lit(m)) / F.lit(s) if s else F.lit(0.0)
+        cols.append(F.round(z, 6).alias(f"z_{c}"))
+    return f.select("zone_id", "city", "timestamp", *cols)

@@ -66,6 +66,7 @@ def ride_columns(events: DataFrame, cfg: PricingConfig = DEFAULT) -> DataFrame:
         F.floor(F.col("value")).cast("int").alias("demand_count"),
         k.alias("k"),
         F.col("event_type"),
+        F.col("value"),
     )
 
 
