@@ -64,9 +64,9 @@ def rides_cte(cfg: PricingConfig = DEFAULT) -> str:
   SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
 ), rides AS (
   SELECT CAST(ev.event_id AS VARCHAR) AS event_id, z.zone_idx, z.zone_id, z.city,
-         z.latitude, z.longitude, epoch_ms(ev.ts) AS timestamp_ms, ev.ts AS event_time,
+         z.latitude, z.longitude, epoch_us(ev.ts) // 1000 AS timestamp_ms, ev.ts AS event_time,
          (k % 8)::INTEGER AS available_drivers, (1 + (k // 8) % 5)::INTEGER AS weather_severity,
-         floor(value)::INTEGER AS demand_count, k, event_type
+         floor(value)::INTEGER AS demand_count, k, event_type, value
   FROM ev JOIN zones z ON z.zone_idx = (ev.user_id + ev.k) % {cfg.num_zones}
 )"""
 
@@ -103,3 +103,78 @@ def surge_cte(batch_expr: str, name: str = "surge", cfg: PricingConfig = DEFAULT
          {rule_sql('demand_1min', 'greatest(coalesce(avg_drivers, 1), 1)', cfg)} AS rule_multiplier
   FROM {name}_agg
 )"""
+
+
+def tz_sql(city: str, cfg: PricingConfig = DEFAULT) -> str:
+    return "CASE " + " ".join(f"WHEN {city} = '{c.name}' THEN '{c.timezone}'" for c in cfg.cities) + " END"
+
+
+def local_sql(ts: str, city: str, cfg: PricingConfig = DEFAULT) -> str:
+    return f"((({ts}) AT TIME ZONE 'UTC') AT TIME ZONE ({tz_sql(city, cfg)}))"
+
+
+def city_value_sql(city: str, attr: str, cfg: PricingConfig = DEFAULT) -> str:
+    return "CASE " + " ".join(f"WHEN {city} = '{c.name}' THEN {getattr(c, attr)!r}"
+                              for c in cfg.cities) + " END"
+
+
+def _fixed_sql(d: str) -> str:
+    from zonefare.functions.timefeat import FIXED_HOLIDAYS, JUNETEENTH_FROM
+    parts = []
+    for m, dd in FIXED_HOLIDAYS:
+        c = f"(month({d}) = {m} AND day({d}) = {dd}"
+        if (m, dd) == (6, 19):
+            c += f" AND year({d}) >= {JUNETEENTH_FROM}"
+        parts.append(c + ")")
+    return "(" + " OR ".join(parts) + ")"
+
+
+def holiday_sql(d: str) -> str:
+    from zonefare.functions.timefeat import FLOATING_HOLIDAYS
+    wd = f"(isodow({d}) - 1)"
+    floating = " OR ".join(f"(month({d}) = {m} AND {wd} = {w} AND day({d}) BETWEEN {lo} AND {hi})"
+                           for m, w, lo, hi in FLOATING_HOLIDAYS)
+    observed = (f"({wd} = 4 AND {_fixed_sql(f'(({d}) + 1)')}) OR "
+                f"({wd} = 0 AND {_fixed_sql(f'(({d}) - 1)')})")
+    return f"({_fixed_sql(d)} OR {observed} OR {floating})"
+
+
+def days_to_next_holiday_sql(d: str, lookahead: int = 7) -> str:
+    return (f"coalesce((SELECT min(i) FROM range(1, {lookahead + 1}) t(i) "
+            f"WHERE {holiday_sql(f'(({d}) + i::INTEGER)')}), {lookahead})::INTEGER")
+
+
+def wmo_sql(code: str) -> str:
+    from zonefare.config import WMO_SEVERITY
+    return ("CASE " + " ".join(f"WHEN {code} IN ({', '.join(map(str, cs))}) THEN {s}"
+                               for s, cs in WMO_SEVERITY.items()) + " ELSE 1 END")
+
+
+def time_flags_sql(lt: str) -> dict[str, str]:
+    h, d = f"hour({lt})", f"(isodow({lt}) - 1)"
+    return {
+        "hour_of_day": f"{h}::INTEGER",
+        "day_of_week": f"{d}::INTEGER",
+        "is_weekend": f"{d} >= 5",
+        "is_rush_hour": f"(({h} BETWEEN 7 AND 9 OR {h} BETWEEN 17 AND 19) AND {d} < 5)",
+        "is_late_night": f"{h} IN (22, 23, 0, 1, 2)",
+        "is_lunch_hour": f"{h} BETWEEN 11 AND 13",
+    }
+
+
+def time_mult_sql(h: str, d: str) -> str:
+    return (f"CASE WHEN {h} IN (22, 23, 0, 1, 2) THEN (CASE WHEN {d} >= 5 THEN 1.8 ELSE 1.3 END) "
+            f"WHEN {h} IN (7, 8, 9) AND {d} < 5 THEN 2.2 "
+            f"WHEN {h} IN (17, 18, 19) AND {d} < 5 THEN 2.0 "
+            f"WHEN {h} IN (11, 12, 13) THEN 1.3 WHEN {h} IN (3, 4, 5) THEN 0.3 ELSE 1.0 END::DOUBLE")
+
+
+def weather_mult_sql(s: str) -> str:
+    from zonefare.config import WEATHER_DEMAND
+    return ("CASE " + " ".join(f"WHEN {s} = {k} THEN {v}" for k, v in WEATHER_DEMAND.items())
+            + " ELSE 1.0 END::DOUBLE")
+
+
+def initcap_sql(x: str) -> str:
+    return (f"array_to_string(list_transform(string_split({x}, ' '), "
+            f"lambda w: upper(w[1]) || lower(w[2:])), ' ')")
