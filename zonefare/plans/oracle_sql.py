@@ -335,3 +335,44 @@ SELECT zone_id, cd AS city_display, printf('%.2fx', rule_multiplier) AS multipli
        'surge:' || zone_id AS cache_key, regexp_replace('surge:' || zone_id, '^surge:', '') AS key_zone,
        printf('%s — %s — %s (%.2fx)', zone_id, cd, upper(tier), rule_multiplier) AS zone_label
 FROM (SELECT *, {initcap_sql("replace(city, '_', ' ')")} AS cd, {tier_sql('rule_multiplier')} AS tier FROM cur)"""
+
+# --- streaming (one file = one micro-batch under availableNow) ---------------
+STREAM_AGG = RIDES + f""", valid AS (SELECT * FROM rides WHERE {REASON} = 'valid'),
+sagg AS (
+  SELECT zone_id, city, count(event_id) AS n, trunc(avg(available_drivers))::INTEGER AS d,
+         trunc(avg(weather_severity))::INTEGER AS s, epoch_ms(max(timestamp_ms)) AS ts
+  FROM valid GROUP BY ALL
+), srow AS (
+  SELECT zone_id, city, ts, n::BIGINT AS demand_1min, greatest(coalesce(d, 1), 1)::INTEGER AS drivers,
+         coalesce(s, 0)::INTEGER AS severity,
+         {rule_sql('n', 'greatest(coalesce(d, 1), 1)')} AS rule_multiplier
+  FROM sagg
+)"""
+
+ORACLE["stream_surge_batches"] = f"""{STREAM_AGG}
+SELECT zone_id, city, ts AS timestamp, demand_1min, demand_1min * 5 AS demand_5min,
+       demand_1min * 15 AS demand_15min, drivers AS available_drivers, severity AS weather_severity,
+       demand_1min{D} / drivers{D} AS supply_ratio, rule_multiplier, rule_multiplier AS ml_multiplier,
+       rule_multiplier AS final_multiplier, 0.0{D} AS ml_confidence, false AS is_special_event
+FROM srow"""
+
+ORACLE["stream_current_view"] = f"""{STREAM_AGG}
+SELECT zone_id, city, ts AS updated_at, demand_1min, rule_multiplier, rule_multiplier AS final_multiplier,
+       {tier_sql('rule_multiplier')} AS surge_tier
+FROM srow"""
+
+ORACLE["stream_dead_letters"] = f"""{RIDES}
+SELECT event_id, reason AS failure_reason, timestamp_ms AS failed_at_ms
+FROM (SELECT *, {REASON} AS reason FROM rides) WHERE reason <> 'valid'"""
+
+ORACLE["stream_sliding_demand"] = f"""{RIDES}
+SELECT * FROM (
+  SELECT epoch_ms((timestamp_ms // 10000 - g) * 10000) AS window_start,
+         epoch_ms((timestamp_ms // 10000 - g) * 10000 + 60000) AS window_end,
+         zone_id, city, count(event_id) AS demand
+  FROM rides CROSS JOIN (SELECT range AS g FROM range(6)) t
+  GROUP BY ALL)
+WHERE window_end <= (SELECT max(event_time) FROM rides) - INTERVAL 120 SECOND"""
+
+ORACLE["stream_dedup"] = f"""{RIDES}
+SELECT event_id, zone_id, event_time FROM rides"""

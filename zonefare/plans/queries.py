@@ -427,3 +427,85 @@ def q_feature_zscore(spark, sf_dir):
         z = (F.col(c).cast("double") - F.lit(m)) / F.lit(s) if s else F.lit(0.0)
         cols.append(F.round(z, 6).alias(f"z_{c}"))
     return f.select("zone_id", "city", "timestamp", *cols)
+
+
+# ---------------------------------------------------------------------------
+# streaming (file-source twin of the Kafka scan, availableNow trigger)
+# ---------------------------------------------------------------------------
+import uuid  # noqa: E402
+
+from zonefare.session import checkpoint_dir  # noqa: E402
+from zonefare.streaming import jobs as J  # noqa: E402
+from zonefare.streaming import store as ST  # noqa: E402
+from zonefare.streaming.sources import ride_stream  # noqa: E402
+
+_STREAM_RUNS: dict = {}
+
+
+def _run_dir(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint directory of the session."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/zonefare-runs/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _events_stream(spark, sf_dir, extra=()):
+    return ride_stream(spark, sf_dir, glob="events.parquet", extra=extra)
+
+
+def _surge_stream_root(spark, sf_dir) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STREAM_RUNS:
+        root = _run_dir(spark, "surge")
+        payloads = DV.payload_text(_events_stream(spark, sf_dir, ("k", "event_type")))
+        J.surge_stream_job(payloads, root, f"{root}/_checkpoint", available_now=True).awaitTermination()
+        _STREAM_RUNS[key] = root
+    return _STREAM_RUNS[key]
+
+
+def _sink_and_read(spark, df, name, mode="append"):
+    root = _run_dir(spark, name)
+    q = (df.writeStream.format("parquet").outputMode(mode)
+         .option("checkpointLocation", f"{root}/_checkpoint").option("path", f"{root}/out")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_surge_batches")
+def q_stream_surge_batches(spark, sf_dir):
+    return ST.read_history(spark, _surge_stream_root(spark, sf_dir)).select(*S.HISTORY_COLUMNS)
+
+
+@register("stream_current_view")
+def q_stream_current_view(spark, sf_dir):
+    cur = ST.read_current(spark, _surge_stream_root(spark, sf_dir))
+    return cur.select("zone_id", "city", "updated_at", "demand_1min", "rule_multiplier",
+                      "final_multiplier", A.surge_tier(F.col("final_multiplier")).alias("surge_tier"))
+
+
+@register("stream_dead_letters")
+def q_stream_dead_letters(spark, sf_dir):
+    root = _surge_stream_root(spark, sf_dir)
+    return spark.read.parquet(f"{root}/dead_letters").select("event_id", "failure_reason", "failed_at_ms")
+
+
+@register("stream_sliding_demand")
+def q_stream_sliding_demand(spark, sf_dir):
+    return _sink_and_read(spark, J.sliding_demand_stream(_events_stream(spark, sf_dir), 60), "sliding")
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    once = _events_stream(spark, sf_dir)
+    again = _events_stream(spark, sf_dir)  # the same records delivered twice
+    d = J.dedup_stream(once.unionByName(again))
+    return _sink_and_read(spark, d.select("event_id", "zone_id", "event_time"), "dedup")
+
+
+@register("stream_event_state")
+def q_stream_event_state(spark, sf_dir):
+    r = _events_stream(spark, sf_dir, ("k", "event_type")).filter(F.col("event_type") == "signup")
+    k = F.col("k")
+    cal = r.select("zone_id", "event_id", F.col("timestamp_ms").alias("start_ms"),
+                   (F.col("timestamp_ms") + (F.lit(60) + F.floor(k * 180 / 99)).cast("long") * 60_000).alias("end_ms"),
+                   (F.lit(2.0) + k.cast("double") / 50.0).alias("multiplier"))
+    return _sink_and_read(spark, J.event_state_stream(cal), "event_state")

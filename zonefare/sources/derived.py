@@ -29,8 +29,8 @@ from zonefare.schemas import EVENT_SCHEMA
 from zonefare.sources.rides import rides
 
 
-def ride_payloads(spark: SparkSession, sf_dir: str, cfg: PricingConfig = DEFAULT) -> DataFrame:
-    r = rides(spark, sf_dir, cfg, extra=("k", "event_type"))
+def payload_text(r: DataFrame) -> DataFrame:
+    """JSON payload per ride row (needs columns k and event_type too)."""
     k, et = F.col("k"), F.col("event_type")
     err = et == "error"
     fields = []
@@ -52,6 +52,10 @@ def ride_payloads(spark: SparkSession, sf_dir: str, cfg: PricingConfig = DEFAULT
     return r.select("event_id", "timestamp_ms", "zone_id", text.alias("value"))
 
 
+def ride_payloads(spark: SparkSession, sf_dir: str, cfg: PricingConfig = DEFAULT) -> DataFrame:
+    return payload_text(rides(spark, sf_dir, cfg, extra=("k", "event_type")))
+
+
 def weather_obs(spark: SparkSession, sf_dir: str, cfg: PricingConfig = DEFAULT) -> DataFrame:
     r = (rides(spark, sf_dir, cfg, extra=("k", "event_type", "value"))
          .filter(F.col("event_type") == "error"))
