@@ -7,7 +7,7 @@ that Catalyst can constant-fold into the generated code.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -162,8 +162,6 @@ class PricingConfig:
     # batch lookups
     max_batch_ids: int = 100
 
-    extra: dict = field(default_factory=dict)
-
     @property
     def num_zones(self) -> int:
         return sum(c.num_zones for c in self.cities)

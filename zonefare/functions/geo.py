@@ -51,6 +51,30 @@ def geohash(lat: Column | str, lon: Column | str, precision: int = 6) -> Column:
     return F.concat(*chars)
 
 
+def with_geohash(df, lat: str, lon: str, out: str, precision: int = 6):
+    """DataFrame form of geohash(): each bit-spreading step is its own
+    column, so the expression tree stays linear in size (the Column form
+    repeats sub-expressions and is meant for a handful of rows)."""
+    if precision > 6:
+        raise ValueError("precision up to 6 (30 bits) is supported")
+    nbits = 5 * precision
+    lon_bits, lat_bits = (nbits + 1) // 2, nbits // 2
+    df = (df.withColumn("_gx", _cell(F.col(lon), -180.0, 360.0, lon_bits))
+          .withColumn("_gy", _cell(F.col(lat), -90.0, 180.0, lat_bits)))
+    for shift, mask in _SPREAD:
+        df = (df.withColumn("_gx", F.shiftleft("_gx", shift).bitwiseOR(F.col("_gx")).bitwiseAND(F.lit(mask)))
+              .withColumn("_gy", F.shiftleft("_gy", shift).bitwiseOR(F.col("_gy")).bitwiseAND(F.lit(mask))))
+    if lon_bits == lat_bits:
+        code = F.shiftleft("_gx", 1).bitwiseOR(F.col("_gy"))
+    else:
+        code = F.col("_gx").bitwiseOR(F.shiftleft("_gy", 1))
+    df = df.withColumn("_gc", code)
+    chars = [F.substr(F.lit(GEOHASH_ALPHABET),
+                      F.shiftright("_gc", 5 * (precision - 1 - c)).bitwiseAND(F.lit(31)).cast("int") + 1,
+                      F.lit(1)) for c in range(precision)]
+    return df.withColumn(out, F.concat(*chars)).drop("_gx", "_gy", "_gc")
+
+
 def zone_grid_columns(zone_idx: Column, cfg: PricingConfig) -> dict[str, Column]:
     """City, grid offsets and centre of global zone number `zone_idx`.
 

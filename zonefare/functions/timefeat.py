@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from zonefare.config import (DEFAULT, DEAD_HOURS, EVENING_RUSH_HOURS, LATE_NIGHT_HOURS,
-                             LUNCH_HOURS, MORNING_RUSH_HOURS, PricingConfig)
+                             LUNCH_HOURS, MORNING_RUSH_HOURS, TIME_DEMAND, PricingConfig)
 
 
 def city_timezone(city: Column, cfg: PricingConfig = DEFAULT) -> Column:
@@ -61,13 +61,14 @@ def time_features(local: Column) -> dict[str, Column]:
 
 def time_demand_multiplier(hour: Column, dow: Column) -> Column:
     """Demand by time of day; the first matching rule wins."""
-    weekend = dow >= 5
-    return (F.when(hour.isin(*LATE_NIGHT_HOURS), F.when(weekend, 1.8).otherwise(1.3))
-            .when(hour.isin(*MORNING_RUSH_HOURS) & ~weekend, 2.2)
-            .when(hour.isin(*EVENING_RUSH_HOURS) & ~weekend, 2.0)
-            .when(hour.isin(*LUNCH_HOURS), 1.3)
-            .when(hour.isin(*DEAD_HOURS), 0.3)
-            .otherwise(1.0))
+    weekend, m = dow >= 5, TIME_DEMAND
+    return (F.when(hour.isin(*LATE_NIGHT_HOURS),
+                   F.when(weekend, m["late_night_weekend"]).otherwise(m["late_night_weekday"]))
+            .when(hour.isin(*MORNING_RUSH_HOURS) & ~weekend, m["morning_rush"])
+            .when(hour.isin(*EVENING_RUSH_HOURS) & ~weekend, m["evening_rush"])
+            .when(hour.isin(*LUNCH_HOURS), m["lunch"])
+            .when(hour.isin(*DEAD_HOURS), m["dead"])
+            .otherwise(m["other"]))
 
 
 def iso_format(ts: Column) -> Column:

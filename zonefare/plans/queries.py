@@ -509,3 +509,47 @@ def q_stream_event_state(spark, sf_dir):
                    (F.col("timestamp_ms") + (F.lit(60) + F.floor(k * 180 / 99)).cast("long") * 60_000).alias("end_ms"),
                    (F.lit(2.0) + k.cast("double") / 50.0).alias("multiplier"))
     return _sink_and_read(spark, J.event_state_stream(cal), "event_state")
+
+
+# ---------------------------------------------------------------------------
+# Spark ML
+# ---------------------------------------------------------------------------
+from zonefare.model import training as M  # noqa: E402
+
+QUERY_GBT_ITERATIONS = 20  # the documented default (200) is PricingConfig.gbt_max_iter
+_MODELS: dict = {}
+
+
+def _trained(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        frame = M.to_training_frame(_features(spark, sf_dir), S.label_column())
+        t = M.train(frame, max_iter=QUERY_GBT_ITERATIONS)
+        path = _run_dir(spark, "model")
+        M.save(t.model, path)
+        _MODELS[key] = (t, path)
+    return _MODELS[key]
+
+
+@register("gbt_train_metrics")
+def q_gbt_train_metrics(spark, sf_dir):
+    t, _ = _trained(spark, sf_dir)
+    return M.metrics(t.model, t.test).withColumn("train_rows", F.lit(t.train_rows).cast("long"))
+
+
+@register("gbt_feature_top5")
+def q_gbt_feature_top5(spark, sf_dir):
+    t, _ = _trained(spark, sf_dir)
+    return M.importances(spark, t.model, 5)
+
+
+@register("gbt_score_zones")
+def q_gbt_score_zones(spark, sf_dir):
+    """Reload the saved model and price every zone's latest feature row."""
+    _, path = _trained(spark, sf_dir)
+    model = M.load(path)
+    feats = _features(spark, sf_dir)
+    latest = S.current_view(feats.select("zone_id", "city", "timestamp")).select("zone_id", "timestamp")
+    f = feats.join(latest, ["zone_id", "timestamp"], "left_semi")
+    scored = M.score(model, f).select("zone_id", "timestamp", "ml_prediction")
+    return S.hybrid_prices(f.join(scored, ["zone_id", "timestamp"]), F.col("ml_prediction"))

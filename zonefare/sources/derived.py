@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonefare.config import DEFAULT, PricingConfig
-from zonefare.functions.geo import geohash
+from zonefare.functions.geo import with_geohash
 from zonefare.schemas import EVENT_SCHEMA
 from zonefare.sources.rides import rides
 
@@ -81,6 +81,6 @@ def event_calendar(spark: SparkSession, sf_dir: str, cfg: PricingConfig = DEFAUL
 
 def price_requests(spark: SparkSession, sf_dir: str, cfg: PricingConfig = DEFAULT) -> DataFrame:
     r = rides(spark, sf_dir, cfg, extra=("k", "event_type")).filter(F.col("event_type") == "view")
-    shifted = geohash(F.col("latitude") + 0.05, F.col("longitude"), 6)
+    r = with_geohash(r.withColumn("_north", F.col("latitude") + 0.05), "_north", "longitude", "_shifted")
     return r.select(F.col("event_id").alias("request_id"),
-                    F.when(F.col("k") % 2 == 0, F.col("zone_id")).otherwise(shifted).alias("zone_id"))
+                    F.when(F.col("k") % 2 == 0, F.col("zone_id")).otherwise(F.col("_shifted")).alias("zone_id"))

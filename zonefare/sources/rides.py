@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonefare.config import DEFAULT, PricingConfig
-from zonefare.functions.geo import geohash, zone_grid_columns
+from zonefare.functions.geo import with_geohash, zone_grid_columns
 from zonefare.sources.tables import read_table
 
 RIDE_COLUMNS = (
@@ -39,18 +39,23 @@ def props_k(props: Column) -> Column:
     return F.get_json_object(props, "$.k").cast("int")
 
 
-def zone_dim(spark: SparkSession, cfg: PricingConfig = DEFAULT) -> DataFrame:
-    """All configured zones: zone_idx, zone_id (geohash-6), city, grid, centre."""
-    z = spark.range(cfg.num_zones).select(F.col("id").cast("int").alias("zone_idx"))
-    cols = zone_grid_columns(F.col("zone_idx"), cfg)
-    z = z.select("zone_idx", *[c.alias(n) for n, c in cols.items()])
-    return z.withColumn("zone_id", geohash(F.col("latitude"), F.col("longitude"), 6))
+_ZONE_DIMS: dict = {}
 
 
-def zone_attributes(zone_idx: Column, cfg: PricingConfig = DEFAULT) -> dict[str, Column]:
-    cols = zone_grid_columns(zone_idx, cfg)
-    cols["zone_id"] = geohash(cols["latitude"], cols["longitude"], 6)
-    return cols
+def zone_dim(spark: SparkSession, cfg: PricingConfig = DEFAULT) -> DataFrame:
+    """All configured zones: zone_idx, zone_id (geohash-6), city, grid, centre.
+
+    One row per configured zone.  It is built once per session and cached:
+    every query broadcasts it, and caching keeps its geohash expressions out
+    of each query's analysis and code generation.
+    """
+    key = (spark.sparkContext.applicationId, cfg.cities)
+    if key not in _ZONE_DIMS:
+        z = spark.range(cfg.num_zones).select(F.col("id").cast("int").alias("zone_idx"))
+        cols = zone_grid_columns(F.col("zone_idx"), cfg)
+        z = z.select("zone_idx", *[c.alias(n) for n, c in cols.items()])
+        _ZONE_DIMS[key] = with_geohash(z, "latitude", "longitude", "zone_id").coalesce(1).cache()
+    return _ZONE_DIMS[key]
 
 
 def ride_columns(events: DataFrame, cfg: PricingConfig = DEFAULT) -> DataFrame:
