@@ -66,3 +66,14 @@ def test_blend_properties(spark, rows):
     t = (df.select(F.col("m"), surge_tier(F.col("m")).alias("t")).orderBy("m").collect())
     ranks = [order.index(x.t) for x in t]
     assert ranks == sorted(ranks)
+
+
+def test_sql_functions_match_columns(spark):
+    from zonefare.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    df = spark.createDataFrame(RULE_CASES, "d int, s int, want double")
+    df.createOrReplaceTempView("rule_cases")
+    got = spark.sql("SELECT want, surge_rule_multiplier(d, s) AS got, surge_tier(surge_rule_multiplier(d, s)) AS t "
+                    "FROM rule_cases").collect()
+    assert all(r.got == r.want for r in got)
+    assert spark.sql("SELECT wmo_severity(95) AS s, surge_final_multiplier(1.5, 1.8, 0.95) AS f").first() == (5, 1.8)

@@ -58,14 +58,22 @@ class Trained:
 
 def train(frame: DataFrame, cfg: PricingConfig = DEFAULT, max_iter: int | None = None,
           min_rows: int | None = None) -> Trained:
+    """Fit the pipeline on the training split.
+
+    The booster makes one pass per tree, so the training rows are
+    checkpointed into the session's shared checkpoint folder first: the
+    feature lineage is cut, and a lost executor re-reads the checkpoint
+    instead of recomputing rides, history and baselines.
+    """
+    from zonefare.session import checkpoint_dir
+    checkpoint_dir(frame.sparkSession)
     tr, te = split(frame, 80, cfg.seed)
-    tr = tr.cache()
+    tr = tr.checkpoint(eager=True)
     n = tr.count()
     need = cfg.training_min_samples if min_rows is None else min_rows
     if n < need:
         raise ValueError(f"only {n} training rows, need at least {need}")
     model = build_pipeline(cfg, max_iter).fit(tr)
-    tr.unpersist()
     return Trained(model, n, te)
 
 

@@ -376,3 +376,15 @@ WHERE window_end <= (SELECT max(event_time) FROM rides) - INTERVAL 120 SECOND"""
 
 ORACLE["stream_dedup"] = f"""{RIDES}
 SELECT event_id, zone_id, event_time FROM rides"""
+
+ORACLE["latest_features_per_zone"] = f"""{FEATURES}
+, st AS (
+  SELECT *, timestamp + INTERVAL 3600 SECOND AS stored_at FROM feat
+  WHERE timestamp + INTERVAL 3600 SECOND <= TIMESTAMP '2024-01-20 00:00:00'
+  QUALIFY row_number() OVER (PARTITION BY zone_id ORDER BY timestamp + INTERVAL 3600 SECOND DESC, city DESC) = 1
+)
+SELECT zone_id, city, stored_at, demand_last_1min, demand_spike_factor, available_drivers, supply_ratio,
+       hour_of_day, is_holiday, historical_avg_demand,
+       date_diff('second', stored_at, TIMESTAMP '2024-01-20 00:00:00') AS age_seconds,
+       date_diff('second', stored_at, TIMESTAMP '2024-01-20 00:00:00') < 240 AS is_fresh
+FROM st"""

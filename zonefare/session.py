@@ -40,11 +40,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the session has none (local tests) do we set a scratch folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        d = sc.getCheckpointDir()
+    if not d:  # unset: local runs and tests only
         d = tempfile.mkdtemp(prefix="zonefare-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
