@@ -30,26 +30,22 @@ def surge_rows(agg: DataFrame, cfg: PricingConfig = DEFAULT,
 
     With `extrapolate` the 5- and 15-minute demands are the batch count times
     5 and 15, the stateless approximation; true windows are in
-    operators.windows.
+    operators.windows.  One projection, so the plan gains a single Project.
     """
     demand = F.coalesce(F.col("demand_1min"), F.lit(0)).cast("long")
     drivers = clamp_drivers(F.col("available_drivers"))
     rule = rule_multiplier(demand, drivers, cfg)
-    out = (agg.withColumn("demand_1min", demand)
-           .withColumn("available_drivers", drivers.cast("int"))
-           .withColumn("weather_severity",
-                       F.coalesce(F.col("weather_severity"), F.lit(0)).cast("int"))
-           .withColumn("supply_ratio", demand_supply_ratio(demand, drivers))
-           .withColumn("rule_multiplier", rule)
-           .withColumn("ml_multiplier", rule)
-           .withColumn("final_multiplier", rule)
-           .withColumn("ml_confidence", F.lit(0.0))
-           .withColumn("is_special_event", F.lit(False))
-           .withColumn("surge_tier", surge_tier(F.col("final_multiplier"), cfg)))
+    keep = [c for c in agg.columns if c not in ("demand_1min", "available_drivers", "weather_severity")]
+    cols = [*keep, demand.alias("demand_1min")]
     if extrapolate:
-        out = (out.withColumn("demand_5min", demand * 5)
-               .withColumn("demand_15min", demand * 15))
-    return out
+        cols += [(demand * 5).alias("demand_5min"), (demand * 15).alias("demand_15min")]
+    cols += [drivers.cast("int").alias("available_drivers"),
+             F.coalesce(F.col("weather_severity"), F.lit(0)).cast("int").alias("weather_severity"),
+             demand_supply_ratio(demand, drivers).alias("supply_ratio"),
+             rule.alias("rule_multiplier"), rule.alias("ml_multiplier"), rule.alias("final_multiplier"),
+             F.lit(0.0).alias("ml_confidence"), F.lit(False).alias("is_special_event"),
+             surge_tier(rule, cfg).alias("surge_tier")]
+    return agg.select(*cols)
 
 
 def fleet_summary(current: DataFrame, *by: str) -> DataFrame:

@@ -268,11 +268,13 @@ def city_dim(spark):
 
 @register("expected_demand_supply")
 def q_expected_demand_supply(spark, sf_dir):
-    from zonefare.functions.timefeat import is_us_holiday
     r = rides(spark, sf_dir).join(F.broadcast(city_dim(spark)), "city")  # 3-row dimension
-    lt = local_time(F.col("event_time"), F.col("timezone"))
-    h, dow, ld = F.hour(lt), F.weekday(lt), F.to_date(lt)
-    hol = C.holiday_multiplier(is_us_holiday(ld), is_us_holiday(F.date_add(ld, 1)))
+    r = r.withColumn("local_time", local_time(F.col("event_time"), F.col("timezone")))
+    r = r.withColumn("local_date", F.to_date("local_time"))
+    dim = date_dimension(r.select("local_date"), "local_date")  # one row per day, broadcast
+    r = r.join(F.broadcast(dim), r["local_date"] == dim["date"], "left")
+    h, dow = F.hour("local_time"), F.weekday("local_time")
+    hol = C.holiday_multiplier(F.col("is_holiday"), F.col("is_holiday_eve"))
     sf = C.supply_factor(F.col("weather_severity"), h, dow)
     dem = C.expected_demand(F.col("base_demand"), F.col("num_zones"), time_demand_multiplier(h, dow),
                             C.weather_demand_multiplier(F.col("weather_severity")), F.lit(1.0), hol)

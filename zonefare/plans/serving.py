@@ -14,7 +14,7 @@ from zonefare.config import DEFAULT, PricingConfig
 from zonefare.functions.features import (clip_prediction, confidence, label_multiplier,
                                          spike_factor, supply_ratio_feature)
 from zonefare.functions.pricing import final_multiplier, surge_tier
-from zonefare.functions.timefeat import city_timezone, is_us_holiday, local_time, time_features
+from zonefare.functions.timefeat import city_timezone, local_time, time_features
 from zonefare.operators.aggregate import nonzero_mean, surge_rows, zone_demand_supply
 from zonefare.operators.latest import latest_per_key, newest_n_per_key
 from zonefare.sources.rides import rides
@@ -74,18 +74,18 @@ def with_local_time(df: DataFrame, ts: str, cfg: PricingConfig = DEFAULT) -> Dat
 def feature_rows(history: DataFrame, baseline: DataFrame, cfg: PricingConfig = DEFAULT) -> DataFrame:
     """The 21-feature vector per history row (city-local time features).
 
-    The baseline has one row per zone; AQE turns the join into a broadcast
-    when its runtime size is small, otherwise it stays a shuffle join.
+    Calendar features come from the date dimension of the local dates
+    present (one row per day, broadcast); the baseline has one row per zone
+    and carries no hint, so AQE broadcasts it only when it is small.
     """
-    h = with_local_time(history, "timestamp", cfg).join(baseline, "zone_id", "left")
+    from zonefare.operators.calendar import date_dimension
+    h = with_local_time(history, "timestamp", cfg).withColumn("local_date", F.to_date("local_time"))
+    dim = date_dimension(h.select("local_date"), "local_date", cfg=cfg)
+    h = (h.join(baseline, "zone_id", "left")
+         .join(F.broadcast(dim), h["local_date"] == dim["date"], "left"))
     hist_d = F.coalesce(F.col("avg_demand"), F.lit(20.0))
     hist_s = F.coalesce(F.col("avg_surge"), F.lit(1.0))
     tf = time_features(F.col("local_time"))
-    ld = F.to_date("local_time")
-    nxt = None
-    for i in range(cfg.holiday_lookahead_days, 0, -1):
-        hit = is_us_holiday(F.date_add(ld, i))
-        nxt = F.when(hit, i) if nxt is None else F.when(hit, i).otherwise(nxt)
     return h.select(
         "zone_id", "city", "timestamp", "rule_multiplier",
         F.col("demand_1min").alias("demand_last_1min"),
@@ -95,8 +95,8 @@ def feature_rows(history: DataFrame, baseline: DataFrame, cfg: PricingConfig = D
         "available_drivers",
         supply_ratio_feature(F.col("available_drivers"), F.col("demand_1min")).alias("supply_ratio"),
         *[c.alias(n) for n, c in tf.items()],
-        is_us_holiday(ld).alias("is_holiday"),
-        F.coalesce(nxt, F.lit(cfg.holiday_lookahead_days)).alias("days_to_next_holiday"),
+        F.coalesce(F.col("is_holiday"), F.lit(False)).alias("is_holiday"),
+        F.coalesce(F.col("days_to_next_holiday"), F.lit(cfg.holiday_lookahead_days)).alias("days_to_next_holiday"),
         F.lit(15.0).alias("temperature"), F.lit(0.0).alias("precipitation"),
         "weather_severity",
         F.round(hist_d, 2).alias("historical_avg_demand"),

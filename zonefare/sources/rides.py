@@ -45,16 +45,18 @@ _ZONE_DIMS: dict = {}
 def zone_dim(spark: SparkSession, cfg: PricingConfig = DEFAULT) -> DataFrame:
     """All configured zones: zone_idx, zone_id (geohash-6), city, grid, centre.
 
-    One row per configured zone.  It is built once per session and cached:
-    every query broadcasts it, and caching keeps its geohash expressions out
-    of each query's analysis and code generation.
+    One row per configured zone, a size fixed by the configuration.  It is
+    computed by Spark once per session and kept as a local relation: every
+    query broadcasts it, and its geohash expressions stay out of each query's
+    analysis and code generation.
     """
     key = (spark.sparkContext.applicationId, cfg.cities)
     if key not in _ZONE_DIMS:
         z = spark.range(cfg.num_zones).select(F.col("id").cast("int").alias("zone_idx"))
         cols = zone_grid_columns(F.col("zone_idx"), cfg)
         z = z.select("zone_idx", *[c.alias(n) for n, c in cols.items()])
-        _ZONE_DIMS[key] = with_geohash(z, "latitude", "longitude", "zone_id").coalesce(1).cache()
+        z = with_geohash(z, "latitude", "longitude", "zone_id")
+        _ZONE_DIMS[key] = spark.createDataFrame(z.orderBy("zone_idx").collect(), z.schema)
     return _ZONE_DIMS[key]
 
 
