@@ -106,3 +106,16 @@ def test_date_dimension(spark):
     assert got == {"2024-01-01": (True, False, 7), "2024-01-08": (False, False, 7),
                    "2024-01-12": (False, False, 3), "2024-01-14": (False, True, 1),
                    "2024-01-30": (False, False, 7)}
+
+
+def test_price_zone_lookups(spark):
+    from zonefare.plans import serving as S
+    cur = S.current_view(S.surge_history(spark, SF001, "hour"))
+    known = cur.select("zone_id").first().zone_id
+    one = S.price_zone(spark, cur, "zzzzzz").collect()
+    assert len(one) == 1 and one[0].city == "unknown" and one[0].surge_tier == "normal"
+    assert S.price_zones(spark, cur, [known, "zzzzzz", known]).count() == 1
+    with pytest.raises(ValueError):
+        S.price_zones(spark, cur, [])
+    with pytest.raises(ValueError):
+        S.price_zones(spark, cur, [str(i) for i in range(101)])

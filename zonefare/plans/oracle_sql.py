@@ -388,3 +388,10 @@ SELECT zone_id, city, stored_at, demand_last_1min, demand_spike_factor, availabl
        date_diff('second', stored_at, TIMESTAMP '2024-01-20 00:00:00') AS age_seconds,
        date_diff('second', stored_at, TIMESTAMP '2024-01-20 00:00:00') < 240 AS is_fresh
 FROM st"""
+
+ORACLE["zone_history_series"] = f"""{HOURLY}
+SELECT zone_id, city, batch AS timestamp, rule_multiplier AS final_multiplier, rule_multiplier,
+       rule_multiplier AS ml_multiplier,
+       row_number() OVER (PARTITION BY zone_id ORDER BY batch)::INTEGER AS point,
+       round(rule_multiplier - lag(rule_multiplier) OVER (PARTITION BY zone_id ORDER BY batch), 6) AS delta
+FROM hourly"""

@@ -568,3 +568,8 @@ def q_latest_features_per_zone(spark, sf_dir):
     return cur.select("zone_id", "city", F.col("timestamp").alias("stored_at"), "demand_last_1min",
                       "demand_spike_factor", "available_drivers", "supply_ratio", "hour_of_day",
                       "is_holiday", "historical_avg_demand", "age_seconds", "is_fresh")
+
+
+@register("zone_history_series")
+def q_zone_history_series(spark, sf_dir):
+    return S.history_series(S.surge_history(spark, sf_dir, "hour"))

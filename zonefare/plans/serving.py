@@ -153,3 +153,35 @@ def dashboard_table(current: DataFrame) -> DataFrame:
         F.format_string("%s — %s — %s (%.2fx)", F.col("zone_id"), city_disp, F.upper(tier),
                         F.col("final_multiplier")).alias("zone_label"))
         .orderBy(F.desc("final_multiplier"), "zone_id"))
+
+
+def history_series(history: DataFrame) -> DataFrame:
+    """Per-zone multiplier series in time order with the change from the
+    previous point (chart data).  The window is per zone over history rows
+    (zone-batches, not events)."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("zone_id").orderBy("timestamp")
+    return history.select(
+        "zone_id", "city", "timestamp", "final_multiplier", "rule_multiplier", "ml_multiplier",
+        F.row_number().over(w).alias("point"),
+        F.round(F.col("final_multiplier") - F.lag("final_multiplier").over(w), 6).alias("delta"))
+
+
+def price_zones(spark: SparkSession, current: DataFrame, zone_ids: list[str],
+                cfg: PricingConfig = DEFAULT) -> DataFrame:
+    """Batch look-up of 1..max_batch_ids zones: only zones with a current
+    value are returned (semi-join against the requested ids)."""
+    if not 1 <= len(zone_ids) <= cfg.max_batch_ids:
+        raise ValueError(f"between 1 and {cfg.max_batch_ids} zone ids per request")
+    ids = spark.createDataFrame([(z,) for z in dict.fromkeys(zone_ids)], "zone_id string")
+    return current.join(F.broadcast(ids), "zone_id", "left_semi")
+
+
+def price_zone(spark: SparkSession, current: DataFrame, zone_id: str) -> DataFrame:
+    """Single look-up: always one row, the default row when the zone has no
+    current value."""
+    from zonefare.operators.joins import lookup_with_default
+    ids = spark.createDataFrame([(zone_id,)], "zone_id string")
+    cur = current.select("zone_id", "city", "final_multiplier", "rule_multiplier", "ml_multiplier",
+                         "ml_confidence", surge_tier(F.col("final_multiplier")).alias("surge_tier"))
+    return lookup_with_default(ids, cur, "zone_id", default_price())

@@ -27,8 +27,31 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+# Column defaults of a history row (missing or null values are filled).
+HISTORY_DEFAULTS = {
+    "demand_1min": 0, "demand_5min": 0, "demand_15min": 0, "available_drivers": 0,
+    "supply_ratio": 0.0, "rule_multiplier": 1.0, "ml_multiplier": 1.0, "final_multiplier": 1.0,
+    "ml_confidence": 0.0, "is_special_event": False, "weather_severity": 1,
+}
+
+
+def history_row(df: DataFrame) -> DataFrame:
+    """Project any surge-shaped frame to the history schema with defaults;
+    a missing timestamp becomes the current time."""
+    from zonefare.schemas import SURGE_HISTORY_SCHEMA
+    cols = []
+    for f in SURGE_HISTORY_SCHEMA.fields:
+        c = F.col(f.name) if f.name in df.columns else F.lit(None)
+        if f.name in HISTORY_DEFAULTS:
+            c = F.coalesce(c, F.lit(HISTORY_DEFAULTS[f.name]))
+        elif f.name == "timestamp":
+            c = F.coalesce(c, F.current_timestamp())
+        cols.append(c.cast(f.dataType).alias(f.name))
+    return df.select(*cols)
+
+
 def append_history(batch: DataFrame, root: str, batch_id: int) -> None:
-    (batch.withColumn("date", F.to_date("timestamp")).withColumn("batch_id", F.lit(batch_id))
+    (history_row(batch).withColumn("date", F.to_date("timestamp")).withColumn("batch_id", F.lit(batch_id))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("date", "batch_id").parquet(os.path.join(root, "history")))
 
