@@ -43,6 +43,9 @@ def test_surge_stream_matches_batch_and_replays(spark, tmp_root):
     src = _split_events(spark, tmp_root)
     root, ckpt = os.path.join(tmp_root, "out"), os.path.join(tmp_root, "ckpt")
     q = _run_surge(spark, src, root, ckpt)
+    m = [p["observedMetrics"]["ride_payloads"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert sum(x["payloads"] for x in m) == 1000
+    assert sum(x["valid"] for x in m) + sum(x["failed"] for x in m) == 1000
     hist = ST.read_history(spark, root)
     batches = hist.select("batch_id").distinct().count()
     assert batches == 4

@@ -373,7 +373,8 @@ def q_active_zones(spark, sf_dir):
 
 @register("price_batch_lookup")
 def q_price_batch_lookup(spark, sf_dir):
-    ids = DV.price_requests(spark, sf_dir).select("zone_id")
+    # distinct ids first: map-side aggregation collapses repeated (hot) ids
+    ids = DV.price_requests(spark, sf_dir).select("zone_id").distinct()
     cur = _current(spark, sf_dir)
     return cur.join(ids, "zone_id", "left_semi").select("zone_id", "city", "final_multiplier",
                                                           A.surge_tier(F.col("final_multiplier")).alias("surge_tier"))

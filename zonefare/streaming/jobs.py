@@ -41,31 +41,35 @@ def surge_stream_job(payloads: DataFrame, root: str, checkpoint: str,
     """JSON ride payloads -> validate -> (dead letters | price per zone) ->
     history append + current snapshot, once per micro-batch.
 
-    Only the four payload columns cross into foreachBatch (pruning does not
-    pass that boundary).  The validated batch is persisted because three
-    sinks read it; errors propagate so the batch is retried from the
-    checkpoint instead of being lost.
+    Validation runs on the stream itself, so the valid / failed counts of
+    every batch are reported in the query progress (`observedMetrics`).
+    Only the needed columns cross into foreachBatch (pruning does not pass
+    that boundary).  The batch is persisted because three sinks read it;
+    errors propagate so the batch is retried from the checkpoint instead of
+    being lost.
     """
-    metrics = payloads.observe("ride_payloads", F.count(F.lit(1)).alias("payloads"))
+    v = validate_events(payloads.select("event_id", "timestamp_ms", "value"))
+    ok = F.col("failure_reason").isNull()
+    v = v.observe("ride_payloads", F.count(F.lit(1)).alias("payloads"),
+                  F.count_if(ok).alias("valid"), F.count_if(~ok).alias("failed"))
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        v = validate_events(batch_df).persist()
+        b = batch_df.persist()
         try:
-            valid = (v.filter(F.col("failure_reason").isNull()).select("event.*")
+            valid = (b.filter(F.col("failure_reason").isNull()).select("event.*")
                      .withColumn("event_time", F.timestamp_millis(F.col("timestamp_ms"))))
             rows = price_micro_batch(valid, cfg).persist()
             store.append_history(rows, root, batch_id)
-            store.upsert_current(batch_df.sparkSession,
+            store.upsert_current(b.sparkSession,
                                  rows.withColumn("updated_at", F.col("timestamp")), root, batch_id)
             store.append_dead_letters(
-                dead_letters(v, F.col("timestamp_ms")).select(
+                dead_letters(b, F.col("timestamp_ms")).select(
                     "event_id", "failure_reason", "failed_at_ms", "dlq_value"), root, batch_id)
             rows.unpersist()
         finally:
-            v.unpersist()
+            b.unpersist()
 
-    return _writer(metrics.select("event_id", "timestamp_ms", "zone_id", "value"),
-                   checkpoint, available_now, cfg).foreachBatch(process).start()
+    return _writer(v, checkpoint, available_now, cfg).foreachBatch(process).start()
 
 
 def sliding_demand_stream(rides: DataFrame, duration_s: int, cfg: PricingConfig = DEFAULT) -> DataFrame:
