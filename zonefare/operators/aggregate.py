@@ -64,8 +64,8 @@ def fleet_summary(current: DataFrame, *by: str) -> DataFrame:
 def tier_distribution(current: DataFrame, spark, cfg: PricingConfig = DEFAULT) -> DataFrame:
     """Zones per tier over the five fixed tiers, zero-filled.
 
-    The tier list is a five-row literal dimension (fixed by definition), so
-    the join broadcasts it and only the tiny per-tier counts shuffle.
+    Counts are aggregated first (at most one row per tier), then broadcast
+    into the five-row tier dimension, which is the preserved side.
     """
     from zonefare.config import TIER_COLOURS
     tiers = spark.createDataFrame(
@@ -73,7 +73,7 @@ def tier_distribution(current: DataFrame, spark, cfg: PricingConfig = DEFAULT) -
         "tier_rank int, surge_tier string, colour string")
     counts = (current.select(surge_tier(F.col("final_multiplier"), cfg).alias("surge_tier"))
               .groupBy("surge_tier").agg(F.count(F.lit(1)).alias("zone_count")))
-    return (F.broadcast(tiers).join(counts, "surge_tier", "left")
+    return (tiers.join(F.broadcast(counts), "surge_tier", "left")
             .select("tier_rank", "surge_tier", "colour",
                     F.coalesce(F.col("zone_count"), F.lit(0)).alias("zone_count")))
 

@@ -18,7 +18,7 @@ CURRENT = HOURLY + """, cur AS (
 )"""
 
 ORACLE["surge_by_zone_day"] = f"""{RIDES}{surge_cte('CAST(event_time AS DATE)')}
-SELECT batch AS batch_date, zone_id, city, demand_1min, demand_5min, demand_15min,
+SELECT strftime(batch, '%Y-%m-%d') AS batch_date, zone_id, city, demand_1min, demand_5min, demand_15min,
        available_drivers, weather_severity, supply_ratio, rule_multiplier,
        rule_multiplier AS ml_multiplier, rule_multiplier AS final_multiplier,
        0.0::DOUBLE AS ml_confidence, false AS is_special_event,
@@ -134,12 +134,12 @@ CITY_DATES = LOCAL_RIDES + """, cd AS (
 )"""
 
 ORACLE["calendar_features"] = f"""{CITY_DATES}
-SELECT city, local_date, n_events, {holiday_sql('local_date')} AS is_holiday,
+SELECT city, strftime(local_date, '%Y-%m-%d') AS local_date, n_events, {holiday_sql('local_date')} AS is_holiday,
        {days_to_next_holiday_sql('local_date')} AS days_to_next_holiday
 FROM cd"""
 
 ORACLE["holiday_multiplier"] = f"""{CITY_DATES}
-SELECT city, local_date, h AS is_holiday, (NOT h AND e) AS is_holiday_eve,
+SELECT city, strftime(local_date, '%Y-%m-%d') AS local_date, h AS is_holiday, (NOT h AND e) AS is_holiday_eve,
        CASE WHEN h THEN 1.8 WHEN e THEN 1.4 ELSE 1.0 END::DOUBLE AS holiday_multiplier
 FROM (SELECT *, {holiday_sql('local_date')} AS h, {holiday_sql('(local_date + 1)')} AS e FROM cd)"""
 
@@ -307,7 +307,8 @@ SELECT t.tier_rank::INTEGER AS tier_rank, t.surge_tier, t.colour, coalesce(c.zon
 FROM tiers t LEFT JOIN counts c ON t.surge_tier = c.surge_tier"""
 
 ORACLE["active_zones"] = f"""{CURRENT}
-SELECT city, count(*) AS zone_count, list_sort(list(zone_id)) AS zone_ids FROM cur GROUP BY city"""
+SELECT city, count(*) AS zone_count, array_to_string(list_sort(list(zone_id)), ',') AS zone_ids
+FROM cur GROUP BY city"""
 
 REQUESTS = f""", req AS (
   SELECT event_id AS request_id,

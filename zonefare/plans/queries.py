@@ -39,7 +39,8 @@ def surge_by_batch(spark: SparkSession, sf_dir: str, batch: str = "day",
 
 @register("surge_by_zone_day")
 def q_surge_by_zone_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return surge_by_batch(spark, sf_dir, "day").withColumnRenamed("batch", "batch_date")
+    out = surge_by_batch(spark, sf_dir, "day")
+    return out.select(F.date_format("batch", "yyyy-MM-dd").alias("batch_date"), *SURGE_COLUMNS)
 
 
 # ---------------------------------------------------------------------------
@@ -213,7 +214,8 @@ def q_calendar_features(spark, sf_dir):
     d = _city_dates(spark, sf_dir)
     dim = date_dimension(d, "local_date")
     return d.join(F.broadcast(dim), d["local_date"] == dim["date"]).select(
-        "city", "local_date", "n_events", "is_holiday", "days_to_next_holiday")
+        "city", F.date_format("local_date", "yyyy-MM-dd").alias("local_date"), "n_events", "is_holiday",
+        "days_to_next_holiday")
 
 
 @register("holiday_multiplier")
@@ -221,7 +223,8 @@ def q_holiday_multiplier(spark, sf_dir):
     d = _city_dates(spark, sf_dir)
     dim = date_dimension(d, "local_date")
     j = d.join(F.broadcast(dim), d["local_date"] == dim["date"])
-    return j.select("city", "local_date", "is_holiday", "is_holiday_eve",
+    return j.select("city", F.date_format("local_date", "yyyy-MM-dd").alias("local_date"),
+                    "is_holiday", "is_holiday_eve",
                     C.holiday_multiplier(F.col("is_holiday"), F.col("is_holiday_eve")).alias("holiday_multiplier"))
 
 
@@ -368,7 +371,7 @@ def q_tier_distribution(spark, sf_dir):
 def q_active_zones(spark, sf_dir):
     cur = _current(spark, sf_dir)
     return cur.groupBy("city").agg(F.count(F.lit(1)).alias("zone_count"),
-                                   F.array_sort(F.collect_set("zone_id")).alias("zone_ids"))
+                                   F.array_join(F.array_sort(F.collect_set("zone_id")), ",").alias("zone_ids"))
 
 
 @register("price_batch_lookup")
