@@ -396,3 +396,11 @@ SELECT zone_id, city, batch AS timestamp, rule_multiplier AS final_multiplier, r
        row_number() OVER (PARTITION BY zone_id ORDER BY batch)::INTEGER AS point,
        round(rule_multiplier - lag(rule_multiplier) OVER (PARTITION BY zone_id ORDER BY batch), 6) AS delta
 FROM hourly"""
+
+ORACLE["surge_by_zone_hour"] = f"""{RIDES}{surge_cte("date_trunc('hour', event_time)")}
+SELECT batch AS batch_hour, zone_id, city, demand_1min, demand_5min, demand_15min,
+       available_drivers, weather_severity, supply_ratio, rule_multiplier,
+       rule_multiplier AS ml_multiplier, rule_multiplier AS final_multiplier,
+       0.0::DOUBLE AS ml_confidence, false AS is_special_event,
+       {tier_sql('rule_multiplier')} AS surge_tier
+FROM surge"""

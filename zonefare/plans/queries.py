@@ -577,3 +577,10 @@ def q_latest_features_per_zone(spark, sf_dir):
 @register("zone_history_series")
 def q_zone_history_series(spark, sf_dir):
     return S.history_series(S.surge_history(spark, sf_dir, "hour"))
+
+
+@register("surge_by_zone_hour")
+def q_surge_by_zone_hour(spark, sf_dir):
+    """Hour batches: at larger scale every zone-day saturates at the top
+    rule level, hour batches keep the price levels apart."""
+    return surge_by_batch(spark, sf_dir, "hour").withColumnRenamed("batch", "batch_hour")
