@@ -119,3 +119,15 @@ def test_price_zone_lookups(spark):
         S.price_zones(spark, cur, [])
     with pytest.raises(ValueError):
         S.price_zones(spark, cur, [str(i) for i in range(101)])
+
+
+@pytest.mark.parametrize("duration,span", [(900, 900), (60, 60), (300, 3600)])
+def test_sliding_small_spans(spark, duration, span):
+    """Span edges everywhere: the context copies must make every window whole."""
+    r = rides(spark, SF001)
+    a = sliding_demand(r, duration, 10, span_s=span)
+    b = (r.groupBy(F.window("event_time", f"{duration} seconds", "10 seconds").alias("w"), "zone_id", "city")
+         .agg(F.count("event_id").alias("demand"))
+         .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                 "zone_id", "city", "demand"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

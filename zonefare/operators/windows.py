@@ -8,32 +8,51 @@ from pyspark.sql import functions as F
 
 def sliding_demand(rides: DataFrame, duration_s: int, slide_s: int = 10,
                    keys=("zone_id", "city"), span_s: int = 86_400) -> DataFrame:
-    """Requests per (window of `duration_s` sliding by `slide_s`, zone).
+    """Requests per (window of `duration_s` sliding by `slide_s`, zone), for
+    every window holding at least one request.
 
-    1. Events are counted per slide-sized tumbling bucket (partial
-       aggregation collapses dense zones before any shuffle).
-    2. Buckets are co-located by (zone, span), a day by default, so that
-       neighbouring buckets share a task.
-    3. Each bucket fans out to the duration/slide windows containing it and
-       the partial aggregation of that same task merges the overlaps, so
-       the final shuffle carries about one row per output window instead of
-       duration/slide rows per bucket.  A hot zone is split by span.
+    Without fanning events out to all the windows that contain them:
+
+    1. events are counted per slide-sized bucket (map-side partial
+       aggregation collapses dense zones before the shuffle);
+    2. buckets are sorted per (zone, span of one day); the last and first
+       n-1 buckets of the neighbouring spans are copied in as context, so a
+       hot zone is split by day and nothing near a span edge is missed;
+    3. each bucket owns the window starts that no earlier bucket reaches,
+       (previous bucket, this bucket], and sums the counts in its look-ahead
+       array (the buckets in [start, start + n - 1], at most n = duration /
+       slide entries) for each of them.
+
+    Output rows = windows, each produced once, so there is no second
+    aggregation; work per bucket is bounded by n.
     """
     if duration_s % slide_s:
         raise ValueError("duration must be a multiple of the slide")
     n = duration_s // slide_s
     slide_ms = slide_s * 1000
-    per_span = max(1, span_s // slide_s)
-    buckets = (rides.groupBy(*keys, F.floor(F.col("timestamp_ms") / slide_ms).alias("bucket"))
-               .agg(F.count("event_id").alias("n")))
-    buckets = buckets.repartition(*[F.col(k) for k in keys], F.floor(F.col("bucket") / per_span))
-    fanned = buckets.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    start_ms = (F.col("bucket") - F.col("g")) * slide_ms
-    return (fanned.groupBy(*keys, start_ms.alias("start_ms"))
-            .agg(F.sum("n").alias("demand"))
-            .select(F.timestamp_millis(F.col("start_ms")).alias("window_start"),
-                    F.timestamp_millis(F.col("start_ms") + duration_s * 1000).alias("window_end"),
-                    *keys, F.col("demand").cast("long").alias("demand")))
+    per_span = max(n, span_s // slide_s)
+    b = (rides.groupBy(*keys, F.floor(F.col("timestamp_ms") / slide_ms).alias("bucket"))
+         .agg(F.count("event_id").alias("n")))
+    b = b.withColumn("_span", F.floor(F.col("bucket") / per_span))
+    pos = F.col("bucket") - F.col("_span") * per_span
+    own = b.withColumn("_own", F.lit(True))
+    tail = (b.filter(pos >= per_span - (n - 1)).withColumn("_span", F.col("_span") + 1)
+            .withColumn("_own", F.lit(False)))
+    head = (b.filter(pos < n - 1).withColumn("_span", F.col("_span") - 1)
+            .withColumn("_own", F.lit(False)))
+    u = own.unionByName(tail).unionByName(head)
+    w = Window.partitionBy(*keys, "_span").orderBy("bucket")
+    u = (u.withColumn("_prev", F.lag("bucket").over(w))
+         .withColumn("_ahead", F.collect_list(F.struct("bucket", "n")).over(w.rangeBetween(0, n - 1)))
+         .filter(F.col("_own")))
+    lo = F.greatest(F.coalesce(F.col("_prev") + 1, F.col("bucket") - (n - 1)), F.col("bucket") - (n - 1))
+    u = u.withColumn("_start", F.explode(F.sequence(lo, F.col("bucket"))))
+    demand = F.aggregate(F.filter("_ahead", lambda x: x["bucket"] <= F.col("_start") + (n - 1)),
+                         F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+    start_ms = F.col("_start") * slide_ms
+    return u.select(F.timestamp_millis(start_ms).alias("window_start"),
+                    F.timestamp_millis(start_ms + duration_s * 1000).alias("window_end"),
+                    *keys, demand.alias("demand"))
 
 
 def trailing_counts(rides: DataFrame, windows_s=(60, 300, 900), key: str = "zone_id",
