@@ -131,3 +131,10 @@ def test_sliding_small_spans(spark, duration, span):
          .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                  "zone_id", "city", "demand"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_window_counts_nest(spark):
+    """A trailing 60 s count never exceeds the 300 s one, nor that the 900 s one."""
+    t = trailing_counts(rides(spark, SF001), (60, 300, 900))
+    bad = t.filter((F.col("demand_60") > F.col("demand_300")) | (F.col("demand_300") > F.col("demand_900")))
+    assert bad.count() == 0 and t.filter(F.col("demand_60") < 1).count() == 0

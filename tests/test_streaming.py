@@ -3,6 +3,7 @@
 import os
 
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -18,7 +19,7 @@ def _split_events(spark, root, n=4):
     """Copy sf0.001 events into n files (one per time slice) for n batches."""
     src = os.path.join(root, "events")
     ev = spark.read.parquet(f"{SF001}/events.parquet")
-    ev = ev.withColumn("_slice", F.ntile(n).over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("ts")))
+    ev = ev.withColumn("_slice", F.ntile(n).over(Window.orderBy("ts")))
     for i in range(1, n + 1):
         ev.filter(F.col("_slice") == i).drop("_slice").coalesce(1).write.mode("overwrite").parquet(
             os.path.join(src, f"part{i}"))
@@ -125,3 +126,16 @@ def test_dedup_stream(spark):
     from zonefare.plans.queries import q_stream_dedup
     d = q_stream_dedup(spark, SF001)
     assert d.count() == d.select("event_id").distinct().count() == 1000
+
+
+def test_stream_windows_equal_batch_on_closed_windows(spark):
+    """Streamed sliding windows = batch windows that the watermark closed."""
+    from zonefare.operators.windows import sliding_demand
+    from zonefare.plans.queries import q_stream_sliding_demand
+    from zonefare.sources.rides import rides
+    got = q_stream_sliding_demand(spark, SF001)
+    r = rides(spark, SF001)
+    wm = r.agg(F.max("event_time")).first()[0]
+    want = sliding_demand(r, 60, 10).filter(F.col("window_end") <= F.lit(wm) - F.expr("INTERVAL 120 SECONDS"))
+    got = got.select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
