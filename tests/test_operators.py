@@ -138,3 +138,22 @@ def test_window_counts_nest(spark):
     t = trailing_counts(rides(spark, SF001), (60, 300, 900))
     bad = t.filter((F.col("demand_60") > F.col("demand_300")) | (F.col("demand_300") > F.col("demand_900")))
     assert bad.count() == 0 and t.filter(F.col("demand_60") < 1).count() == 0
+
+
+def test_feature_defaults_and_city_filter(spark):
+    from zonefare.plans import serving as S
+    df = spark.createDataFrame([("z", "chicago", None, None)], "zone_id string, city string, "
+                               "available_drivers int, historical_avg_demand double")
+    r = S.fill_feature_defaults(df).first()
+    assert r.available_drivers == 30 and r.historical_avg_demand == 20.0 and r.zone_id == "z"
+    assert S.filter_city(df, "All Cities").count() == 1 and S.filter_city(df, "new_york").count() == 0
+
+
+def test_model_fallback(spark, tmp_root):
+    from zonefare.model import training as M
+    from zonefare.plans import serving as S
+    h = S.surge_history(spark, SF001, "hour")
+    f = S.feature_rows(h, S.historical_baseline(h))
+    assert M.load_or_none(tmp_root + "/no-model") is None
+    p = M.predict_or_fallback(None, f)
+    assert p.filter(F.col("ml_prediction") != 1.0).count() == 0 and p.count() == f.count()

@@ -111,3 +111,19 @@ def save(model: PipelineModel, path: str) -> None:
 
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def load_or_none(path: str) -> PipelineModel | None:
+    try:
+        return PipelineModel.load(path)
+    except Exception:  # noqa: BLE001  (absent or unreadable model: serve without it)
+        return None
+
+
+def predict_or_fallback(model: PipelineModel | None, features: DataFrame,
+                        cfg: PricingConfig = DEFAULT) -> DataFrame:
+    """ml_prediction per feature row; without a model every row gets 1.0,
+    which the confidence rule then keeps from overriding the rule price."""
+    if model is None:
+        return features.select("zone_id", "city", "timestamp", F.lit(1.0).alias("ml_prediction"))
+    return score(model, features, cfg).select("zone_id", "city", "timestamp", "ml_prediction")

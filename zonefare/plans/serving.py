@@ -102,7 +102,22 @@ def feature_rows(history: DataFrame, baseline: DataFrame, cfg: PricingConfig = D
         F.round(hist_d, 2).alias("historical_avg_demand"),
         F.round(hist_s, 2).alias("historical_avg_surge"),
         F.col("is_special_event"),
-        F.lit(1.0).alias("event_demand_multiplier"))
+        F.lit(1.0).alias("event_demand_multiplier")).transform(fill_feature_defaults)
+
+
+def fill_feature_defaults(df: DataFrame) -> DataFrame:
+    """Replace a missing feature value by its fallback (the safe default row)."""
+    from zonefare.config import FEATURE_DEFAULTS
+    defaults = dict(FEATURE_DEFAULTS)
+    return df.select(*[F.coalesce(F.col(c), F.lit(defaults[c])).alias(c) if c in defaults else F.col(c)
+                       for c in df.columns])
+
+
+def filter_city(df: DataFrame, city: str | None) -> DataFrame:
+    """Dashboard city filter: everything for None / "All Cities"."""
+    if city is None or city == "All Cities":
+        return df
+    return df.filter(F.col("city") == city)
 
 
 def label_column(cfg: PricingConfig = DEFAULT) -> Column:

@@ -106,3 +106,20 @@ def retained(history: DataFrame, as_of, retention_seconds: int, ts: str = "times
     t = F.lit(as_of).cast("timestamp")
     lo = t - F.expr(f"INTERVAL {retention_seconds} SECONDS")
     return history.filter((F.col("date") >= F.to_date(lo)) & (F.col(ts) > lo) & (F.col(ts) <= t))
+
+
+def append_features(features: DataFrame, root: str, batch_id: int) -> None:
+    """Feature-table append (one row per zone and batch), replay-safe like
+    the history; the latest-per-zone view is read with latest_per_key."""
+    (features.withColumn("date", F.to_date("timestamp")).withColumn("batch_id", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date", "batch_id").parquet(os.path.join(root, "features")))
+
+
+def latest_features(spark: SparkSession, root: str, as_of=None, ttl_seconds: int | None = None) -> DataFrame:
+    f = spark.read.parquet(os.path.join(root, "features")).drop("date", "batch_id")
+    cur = latest_per_key(f, "zone_id", ["timestamp", "city"])
+    if as_of is not None and ttl_seconds is not None:
+        t = F.lit(as_of).cast("timestamp")
+        cur = cur.filter((F.unix_seconds(t) - F.unix_seconds("timestamp")) < ttl_seconds)
+    return cur
