@@ -54,10 +54,10 @@ def surge_stream_job(payloads: DataFrame, root: str, checkpoint: str,
                   F.count_if(ok).alias("valid"), F.count_if(~ok).alias("failed"))
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():  # nothing to price; keep the previous snapshot
-            return
         b = batch_df.persist()
         try:
+            if b.isEmpty():  # nothing to price; keep the previous snapshot
+                return
             valid = (b.filter(F.col("failure_reason").isNull()).select("event.*")
                      .withColumn("event_time", F.timestamp_millis(F.col("timestamp_ms"))))
             rows = price_micro_batch(valid, cfg).persist()
