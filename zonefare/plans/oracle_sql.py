@@ -404,3 +404,5 @@ SELECT batch AS batch_hour, zone_id, city, demand_1min, demand_5min, demand_15mi
        0.0::DOUBLE AS ml_confidence, false AS is_special_event,
        {tier_sql('rule_multiplier')} AS surge_tier
 FROM surge"""
+
+ORACLE["stream_expected_demand"] = ORACLE["expected_demand_supply"]

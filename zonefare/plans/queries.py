@@ -269,13 +269,9 @@ def city_dim(spark):
                                  "city string, base_demand int, num_zones int, timezone string")
 
 
-@register("expected_demand_supply")
-def q_expected_demand_supply(spark, sf_dir):
-    r = rides(spark, sf_dir).join(F.broadcast(city_dim(spark)), "city")  # 3-row dimension
-    r = r.withColumn("local_time", local_time(F.col("event_time"), F.col("timezone")))
-    r = r.withColumn("local_date", F.to_date("local_time"))
-    dim = date_dimension(r.select("local_date"), "local_date")  # one row per day, broadcast
-    r = r.join(F.broadcast(dim), r["local_date"] == dim["date"], "left")
+def expected_demand_columns(r):
+    """Supply factor and noise-free expected demand/supply per ride; `r`
+    has the city dimension columns, local_time and holiday flags."""
     h, dow = F.hour("local_time"), F.weekday("local_time")
     hol = C.holiday_multiplier(F.col("is_holiday"), F.col("is_holiday_eve"))
     sf = C.supply_factor(F.col("weather_severity"), h, dow)
@@ -285,6 +281,16 @@ def q_expected_demand_supply(spark, sf_dir):
                     dem.alias("expected_demand"), C.expected_supply(sf).alias("expected_supply"))
 
 
+@register("expected_demand_supply")
+def q_expected_demand_supply(spark, sf_dir):
+    r = rides(spark, sf_dir).join(F.broadcast(city_dim(spark)), "city")  # 3-row dimension
+    r = r.withColumn("local_time", local_time(F.col("event_time"), F.col("timezone")))
+    r = r.withColumn("local_date", F.to_date("local_time"))
+    dim = date_dimension(r.select("local_date"), "local_date")  # one row per day, broadcast
+    r = r.join(F.broadcast(dim), r["local_date"] == dim["date"], "left")
+    return expected_demand_columns(r)
+
+
 # ---------------------------------------------------------------------------
 # joins: special events, weather as-of
 # ---------------------------------------------------------------------------
@@ -584,3 +590,16 @@ def q_surge_by_zone_hour(spark, sf_dir):
     """Hour batches: at larger scale every zone-day saturates at the top
     rule level, hour batches keep the price levels apart."""
     return surge_by_batch(spark, sf_dir, "hour").withColumnRenamed("batch", "batch_hour")
+
+
+@register("stream_expected_demand")
+def q_stream_expected_demand(spark, sf_dir):
+    """The ride stream enriched by stream-static joins (zone and city
+    dimensions, broadcast) and calendar expressions, priced per event."""
+    from zonefare.functions.timefeat import is_us_holiday
+    r = _events_stream(spark, sf_dir).join(F.broadcast(city_dim(spark)), "city")
+    r = r.withColumn("local_time", local_time(F.col("event_time"), F.col("timezone")))
+    ld = F.to_date("local_time")
+    r = (r.withColumn("is_holiday", is_us_holiday(ld))
+         .withColumn("is_holiday_eve", ~F.col("is_holiday") & is_us_holiday(F.date_add(ld, 1))))
+    return _sink_and_read(spark, expected_demand_columns(r), "expected")
