@@ -406,3 +406,20 @@ SELECT batch AS batch_hour, zone_id, city, demand_1min, demand_5min, demand_15mi
 FROM surge"""
 
 ORACLE["stream_expected_demand"] = ORACLE["expected_demand_supply"]
+
+# one special event per zone at a time, taken greedily in start order
+ORACLE["stream_event_state"] = f"""WITH RECURSIVE {rides_cte()}
+, cal AS (
+  SELECT zone_id, event_id, timestamp_ms AS start_ms,
+         timestamp_ms + (60 + (k * 180) // 99)::BIGINT * 60000 AS end_ms,
+         2.0{D} + k{D} / 50.0{D} AS multiplier
+  FROM rides WHERE event_type = 'signup'
+), acc AS (
+  SELECT * FROM cal QUALIFY row_number() OVER (PARTITION BY zone_id ORDER BY start_ms, event_id) = 1
+  UNION ALL
+  SELECT n.zone_id, n.event_id, n.start_ms, n.end_ms, n.multiplier
+  FROM acc a, LATERAL (
+    SELECT * FROM cal c WHERE c.zone_id = a.zone_id AND c.start_ms >= a.end_ms
+    ORDER BY c.start_ms, c.event_id LIMIT 1) n
+)
+SELECT zone_id, event_id, start_ms, end_ms, multiplier FROM acc"""
