@@ -61,7 +61,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_ts: str, right_ts
 
 def winner_segments(calendar: DataFrame, key: str = "zone_id", start: str = "start_ms",
                     end: str = "end_ms", max_len_ms: int = 240 * 60_000,
-                    bucket_ms: int = 86_400_000) -> DataFrame:
+                    bucket_ms: int = 86_400_000, tie: str = "event_id") -> DataFrame:
     """Resolve overlapping intervals per key: at any instant the active
     interval with the earliest start wins.
 
@@ -69,13 +69,14 @@ def winner_segments(calendar: DataFrame, key: str = "zone_id", start: str = "sta
     among intervals starting before i.  Intervals last at most `max_len_ms`,
     so M_i only needs intervals started within that span: the running max is
     taken per (key, day) with the previous day's tail copied in as context.
-    The result is disjoint segments per key.
+    The result is disjoint segments per key; equal starts are ordered by
+    `tie`.
     """
     c = calendar.withColumn("_b", F.floor(F.col(start) / bucket_ms))
     ctx = (c.filter(F.col(start) >= (F.col("_b") + 1) * bucket_ms - max_len_ms)
            .withColumn("_b", F.col("_b") + 1).withColumn("_ctx", F.lit(True)))
     both = c.withColumn("_ctx", F.lit(False)).unionByName(ctx)
-    w = (Window.partitionBy(key, "_b").orderBy(start, "event_id")
+    w = (Window.partitionBy(key, "_b").orderBy(start, tie)
          .rowsBetween(Window.unboundedPreceding, -1))
     seg = (both.withColumn("_m", F.max(end).over(w))
            .filter(~F.col("_ctx"))
