@@ -99,3 +99,18 @@ def test_us_holidays_2024(spark):
 def test_observed_holidays(spark):
     df = spark.createDataFrame([(dt.date(2021, 12, 31),), (dt.date(2022, 12, 26),), (dt.date(2022, 12, 27),)], "d date")
     assert [r.h for r in df.select(is_us_holiday(F.col("d")).alias("h")).collect()] == [True, True, False]
+
+
+def test_iso_parse_and_format(spark):
+    from zonefare.functions.timefeat import iso_format, parse_iso
+    df = spark.createDataFrame([("2024-05-18T16:00:00",), ("2024-05-18T16:00:00.250000",), ("bad",)], "t string")
+    out = df.select(parse_iso(F.col("t")).alias("ts")).collect()
+    assert out[0].ts == dt.datetime(2024, 5, 18, 16, 0) and out[1].ts.microsecond == 250000 and out[2].ts is None
+    back = df.limit(1).select(iso_format(parse_iso(F.col("t"))).alias("s")).first().s
+    assert back == "2024-05-18T16:00:00"
+
+
+def test_map_get_with_default(spark):
+    df = spark.createDataFrame([({"temperature": 8.0},), ({},)], "m map<string,double>")
+    got = [r.v for r in df.select(C.map_get(F.col("m"), "temperature", 15.0).alias("v")).collect()]
+    assert got == [8.0, 15.0]

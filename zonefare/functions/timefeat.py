@@ -75,6 +75,13 @@ def iso_format(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
 
 
+def parse_iso(text: Column) -> Column:
+    """ISO-8601 local date-time text (optional fraction) -> timestamp; null
+    when the text does not parse."""
+    return F.coalesce(F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS")),
+                      F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss")))
+
+
 # --- US federal holidays by rule -------------------------------------------
 # Fixed dates move to Friday when they fall on Saturday and to Monday when
 # they fall on Sunday; the others are the n-th (or last) weekday of a month.

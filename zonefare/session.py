@@ -54,3 +54,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
+
+
+def cluster_conf(total_cores: int = 8000) -> dict[str, str]:
+    """Settings for the 100 TB target; pass them to the session builder.
+
+    Shuffles start with about three partitions per core and AQE coalesces
+    them to ~256 MB, scan splits are 256 MB, skewed partitions above five
+    times the median (and 512 MB) are split for joins, and only sides under
+    64 MB are broadcast at runtime.
+    """
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.shuffle.partitions": str(3 * total_cores),
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.ui.enabled": "false",
+    }

@@ -73,15 +73,19 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
 
 
 def upsert_current(spark: SparkSession, batch: DataFrame, root: str, batch_id: int,
-                   key: str = "zone_id", order=("updated_at", "city")) -> None:
-    """New snapshot = latest per key over (previous snapshot, this batch)."""
+                   key: str = "zone_id", order=("updated_at", "city")) -> int:
+    """New snapshot = latest per key over (previous snapshot, this batch);
+    rows of this batch are stamped with `cached_at`.  Returns the number of
+    keys written by this batch."""
     prev = [v for v in _versions(spark, root) if v < batch_id]
-    rows = batch
+    rows = batch.withColumn("cached_at", F.current_timestamp())
     if prev:
         old = spark.read.parquet(os.path.join(root, "current", f"v={prev[-1]}"))
-        rows = old.unionByName(batch.select(*old.columns))
+        rows = old.unionByName(rows.select(*old.columns))
     snap = latest_per_key(rows, key, list(order))
-    snap.write.mode("overwrite").parquet(os.path.join(root, "current", f"v={batch_id}"))
+    path = os.path.join(root, "current", f"v={batch_id}")
+    snap.write.mode("overwrite").parquet(path)
+    return batch.select(key).distinct().count()
 
 
 def read_current(spark: SparkSession, root: str, as_of=None, ttl_seconds: int | None = None) -> DataFrame:
