@@ -307,8 +307,7 @@ SELECT t.tier_rank::INTEGER AS tier_rank, t.surge_tier, t.colour, coalesce(c.zon
 FROM tiers t LEFT JOIN counts c ON t.surge_tier = c.surge_tier"""
 
 ORACLE["active_zones"] = f"""{CURRENT}
-SELECT city, count(*) AS zone_count, array_to_string(list_sort(list(zone_id)), ',') AS zone_ids
-FROM cur GROUP BY city"""
+SELECT city, zone_id, count(*) OVER (PARTITION BY city) AS zone_count FROM cur"""
 
 REQUESTS = f""", req AS (
   SELECT event_id AS request_id,

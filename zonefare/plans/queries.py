@@ -375,9 +375,12 @@ def q_tier_distribution(spark, sf_dir):
 
 @register("active_zones")
 def q_active_zones(spark, sf_dir):
-    cur = _current(spark, sf_dir)
-    return cur.groupBy("city").agg(F.count(F.lit(1)).alias("zone_count"),
-                                   F.array_join(F.array_sort(F.collect_set("zone_id")), ",").alias("zone_ids"))
+    """Active zones, one row per (city, zone) with the city's zone count; the
+    per-city counts (one row per city) are broadcast back, so no city's zone
+    list is gathered into a single row or task."""
+    cur = _current(spark, sf_dir).select("city", "zone_id")
+    counts = cur.groupBy("city").agg(F.count(F.lit(1)).alias("zone_count"))
+    return cur.join(F.broadcast(counts), "city").orderBy("city", "zone_id")
 
 
 @register("price_batch_lookup")
