@@ -6,12 +6,31 @@ grows with the data; none collects to the driver.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonefare.config import DEFAULT
+from zonefare.config import DEFAULT, FEATURE_COLUMNS
+from zonefare.functions import conditions as C
+from zonefare.functions.features import event_multiplier_default
+from zonefare.functions.timefeat import city_timezone, local_time, time_demand_multiplier, time_features
+from zonefare.model import training as M
+from zonefare.operators import aggregate as A
 from zonefare.operators.aggregate import surge_rows, zone_demand_supply
-from zonefare.sources.rides import rides
+from zonefare.operators.calendar import date_dimension
+from zonefare.operators.joins import asof_join, interval_lookup, winner_segments
+from zonefare.operators.quality import dead_letters, range_violations, validate_events
+from zonefare.operators.windows import sliding_demand, trailing_counts
+from zonefare.plans import serving as S
+from zonefare.schemas import DLQ_SCHEMA, EVENT_SCHEMA, WEATHER_PAYLOAD_SCHEMA
+from zonefare.session import checkpoint_dir
+from zonefare.sources import derived as DV
+from zonefare.sources.rides import ride_columns, rides, zone_dim
+from zonefare.sources.tables import read_table
+from zonefare.streaming import jobs as J
+from zonefare.streaming import store as ST
+from zonefare.streaming.sources import ride_stream
 
 SURGE_COLUMNS = ("zone_id", "city", "demand_1min", "demand_5min", "demand_15min",
                  "available_drivers", "weather_severity", "supply_ratio",
@@ -46,23 +65,6 @@ def q_surge_by_zone_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # zones
 # ---------------------------------------------------------------------------
-from zonefare.config import FEATURE_COLUMNS  # noqa: E402
-from zonefare.functions import conditions as C  # noqa: E402
-from zonefare.functions.features import event_multiplier_default  # noqa: E402
-from zonefare.functions.timefeat import (city_timezone, local_time,  # noqa: E402
-                                         time_demand_multiplier, time_features)
-from zonefare.operators import aggregate as A  # noqa: E402
-from zonefare.operators.calendar import date_dimension  # noqa: E402
-from zonefare.operators.joins import asof_join, interval_lookup, winner_segments  # noqa: E402
-from zonefare.operators.quality import (dead_letters, range_violations,  # noqa: E402
-                                        validate_events)
-from zonefare.operators.windows import sliding_demand, trailing_counts  # noqa: E402
-from zonefare.plans import serving as S  # noqa: E402
-from zonefare.schemas import DLQ_SCHEMA, EVENT_SCHEMA, WEATHER_PAYLOAD_SCHEMA  # noqa: E402
-from zonefare.sources import derived as DV  # noqa: E402
-from zonefare.sources.rides import ride_columns, zone_dim  # noqa: E402
-from zonefare.sources.tables import read_table  # noqa: E402
-
 AS_OF_FRESHNESS = "2024-01-16 00:00:00"
 AS_OF_RETENTION = "2024-01-20 00:00:00"
 
@@ -447,13 +449,6 @@ def q_feature_zscore(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # streaming (file-source twin of the Kafka scan, availableNow trigger)
 # ---------------------------------------------------------------------------
-import uuid  # noqa: E402
-
-from zonefare.session import checkpoint_dir  # noqa: E402
-from zonefare.streaming import jobs as J  # noqa: E402
-from zonefare.streaming import store as ST  # noqa: E402
-from zonefare.streaming.sources import ride_stream  # noqa: E402
-
 _STREAM_RUNS: dict = {}
 
 
@@ -529,7 +524,6 @@ def q_stream_event_state(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Spark ML
 # ---------------------------------------------------------------------------
-from zonefare.model import training as M  # noqa: E402
 
 QUERY_GBT_ITERATIONS = 20  # the documented default (200) is PricingConfig.gbt_max_iter
 _MODELS: dict = {}
