@@ -72,6 +72,8 @@ def winner_segments(calendar: DataFrame, key: str = "zone_id", start: str = "sta
     The result is disjoint segments per key; equal starts are ordered by
     `tie`.
     """
+    if max_len_ms > bucket_ms:
+        raise ValueError("intervals must not be longer than the bucket")
     c = calendar.withColumn("_b", F.floor(F.col(start) / bucket_ms))
     ctx = (c.filter(F.col(start) >= (F.col("_b") + 1) * bucket_ms - max_len_ms)
            .withColumn("_b", F.col("_b") + 1).withColumn("_ctx", F.lit(True)))

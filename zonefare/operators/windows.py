@@ -61,17 +61,20 @@ def trailing_counts(rides: DataFrame, windows_s=(60, 300, 900), key: str = "zone
     of equal timestamps), for each w in `windows_s`.
 
     Partitioning only by key would sort a whole zone in one task, so the
-    window is partitioned by (key, time bucket) and every event within the
-    largest window of a bucket's end is copied into the next bucket as
-    context.  Each bucket then sees everything its events can reach; copies
-    are dropped after the window.  Extra rows: at most max(w)/bucket_s.
+    window is partitioned by (key, time bucket).  Every event is also copied,
+    as context, into each later bucket that its timestamp can still reach
+    within the largest window, so each bucket sees everything its own events
+    count; copies are dropped after the window.  With buckets longer than
+    the largest window that is at most one copy per event.
     """
     wmax_ms = max(windows_s) * 1000
     b_ms = bucket_s * 1000
     base = rides.withColumn("_bucket", F.floor(F.col("timestamp_ms") / b_ms))
     own = base.withColumn("_ctx", F.lit(False))
-    ctx = (base.filter(F.col("timestamp_ms") >= (F.col("_bucket") + 1) * b_ms - wmax_ms)
-           .withColumn("_bucket", F.col("_bucket") + 1).withColumn("_ctx", F.lit(True)))
+    last = F.floor((F.col("timestamp_ms") + (wmax_ms - 1)) / b_ms)
+    ctx = (base.filter(last > F.col("_bucket"))
+           .withColumn("_bucket", F.explode(F.sequence(F.col("_bucket") + 1, last)))
+           .withColumn("_ctx", F.lit(True)))
     both = own.unionByName(ctx)
     w = Window.partitionBy(key, "_bucket").orderBy("timestamp_ms")
     for s in windows_s:
