@@ -162,3 +162,18 @@ def test_model_fallback(spark, tmp_root):
     assert M.load_or_none(tmp_root + "/no-model") is None
     p = M.predict_or_fallback(None, f)
     assert p.filter(F.col("ml_prediction") != 1.0).count() == 0 and p.count() == f.count()
+
+
+@pytest.mark.parametrize("tol_s,bucket_s", [(660, 660), (660, 3600), (3600, 3600)])
+def test_asof_join_dense_brute_force(spark, tol_s, bucket_s):
+    w = DV.weather_obs(spark, SF01).select("obs_id", "city", "updated_at_ms")
+    r = rides(spark, SF01).select("event_id", "city", "timestamp_ms")
+    got = asof_join(r, w, "city", "timestamp_ms", "updated_at_ms", ["obs_id"], tol_s * 1000,
+                    bucket_ms=bucket_s * 1000, tie="obs_id").toPandas().set_index("event_id").obs_id
+    wp = w.toPandas().sort_values(["updated_at_ms", "obs_id"])
+    rp = r.toPandas().sort_values("timestamp_ms")
+    want = pd.merge_asof(rp, wp, left_on="timestamp_ms", right_on="updated_at_ms", by="city",
+                         tolerance=tol_s * 1000 - 1, direction="backward").set_index("event_id").obs_id
+    want = want.where(want.notna(), None)
+    assert got.to_dict() == want.to_dict()
+    assert got.notna().sum() > 0
