@@ -177,3 +177,23 @@ def test_asof_join_dense_brute_force(spark, tol_s, bucket_s):
     want = want.where(want.notna(), None)
     assert got.to_dict() == want.to_dict()
     assert got.notna().sum() > 0
+
+
+@pytest.mark.parametrize("bucket_h", [24, 6])
+def test_interval_join_dense_brute_force(spark, bucket_h):
+    import numpy as np
+    cal = DV.event_calendar(spark, SF01)
+    segs = winner_segments(cal, bucket_ms=bucket_h * 3_600_000)
+    r = rides(spark, SF01).select("event_id", "zone_id", "timestamp_ms")
+    got = interval_lookup(r, segs.withColumnRenamed("event_id", "sid"), "zone_id", "timestamp_ms", ["sid"])
+    got = got.toPandas().set_index("event_id").sid.to_dict()
+    cp = cal.toPandas().sort_values(["start_ms", "event_id"])
+    want = {}
+    for z, rz in r.toPandas().groupby("zone_id"):
+        cz = cp[cp.zone_id == z]
+        s, e, ids = cz.start_ms.values, cz.end_ms.values, cz.event_id.values
+        for eid, t in zip(rz.event_id, rz.timestamp_ms):
+            act = np.nonzero((s <= t) & (e > t))[0]
+            want[eid] = ids[act[0]] if len(act) else None
+    assert got == want
+    assert sum(v is not None for v in got.values()) > 0
