@@ -76,16 +76,16 @@ def upsert_current(spark: SparkSession, batch: DataFrame, root: str, batch_id: i
                    key: str = "zone_id", order=("updated_at", "city")) -> int:
     """New snapshot = latest per key over (previous snapshot, this batch);
     rows of this batch are stamped with `cached_at`.  Returns the number of
-    keys written by this batch."""
+    rows this batch wrote (one per key; pass a cached batch, it is counted)."""
     prev = [v for v in _versions(spark, root) if v < batch_id]
     rows = batch.withColumn("cached_at", F.current_timestamp())
-    if prev:
-        old = spark.read.parquet(os.path.join(root, "current", f"v={prev[-1]}"))
-        rows = old.unionByName(rows.select(*old.columns))
+    if prev:  # the snapshot schema is known: no footer inference
+        old = spark.read.schema(rows.schema).parquet(os.path.join(root, "current", f"v={prev[-1]}"))
+        rows = old.unionByName(rows)
     snap = latest_per_key(rows, key, list(order))
     path = os.path.join(root, "current", f"v={batch_id}")
     snap.write.mode("overwrite").parquet(path)
-    return batch.select(key).distinct().count()
+    return batch.count()
 
 
 def read_current(spark: SparkSession, root: str, as_of=None, ttl_seconds: int | None = None) -> DataFrame:
