@@ -74,15 +74,29 @@ def surge_stream_job(payloads: DataFrame, root: str, checkpoint: str,
     return _writer(v, checkpoint, available_now, cfg).foreachBatch(process).start()
 
 
-def sliding_demand_stream(rides: DataFrame, duration_s: int, cfg: PricingConfig = DEFAULT) -> DataFrame:
+def sliding_demand_stream(rides: DataFrame, duration_s: int, cfg: PricingConfig = DEFAULT,
+                          preaggregate: bool = False) -> DataFrame:
     """Requests per zone over event-time sliding windows, late rows beyond
-    the watermark dropped (state is purged once a window closes)."""
-    w = F.window("event_time", f"{duration_s} seconds", f"{cfg.slide_seconds} seconds")
-    return (rides.withWatermark("event_time", f"{cfg.watermark_seconds} seconds")
-            .groupBy(w.alias("w"), "zone_id", "city")
-            .agg(F.count("event_id").alias("demand"))
+    the watermark dropped (state is purged once a window closes).
+
+    With `preaggregate` (for dense streams, append mode) events are first
+    counted per slide-sized tumbling window and those counts feed the
+    sliding window through `window_time`: the sliding state then grows with
+    zone-buckets instead of events.
+    """
+    slide = f"{cfg.slide_seconds} seconds"
+    r = rides.withWatermark("event_time", f"{cfg.watermark_seconds} seconds")
+    if preaggregate:
+        r = (r.groupBy(F.window("event_time", slide).alias("t"), "zone_id", "city")
+             .agg(F.count("event_id").alias("n"))
+             .select(F.window_time("t").alias("event_time"), "zone_id", "city", "n"))
+        agg = F.sum("n").alias("demand")
+    else:
+        agg = F.count("event_id").alias("demand")
+    w = F.window("event_time", f"{duration_s} seconds", slide)
+    return (r.groupBy(w.alias("w"), "zone_id", "city").agg(agg)
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    "zone_id", "city", "demand"))
+                    "zone_id", "city", F.col("demand").cast("long").alias("demand")))
 
 
 def dedup_stream(rides: DataFrame, cfg: PricingConfig = DEFAULT) -> DataFrame:
