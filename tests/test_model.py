@@ -1,7 +1,6 @@
 """Spark ML pipeline: metric band, importances, save/load, row-count guard."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF001
 from zonefare.model import training as M

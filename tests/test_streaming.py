@@ -2,7 +2,6 @@
 
 import os
 
-import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
