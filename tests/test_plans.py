@@ -28,9 +28,16 @@ def test_scan_is_pruned(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,props:string>" in p
 
 
-def test_interval_join_is_equi(spark):
-    p = _plan(E.queries()["event_interval_join"](spark, SF001))
-    assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
+BATCH = [n for n in E.queries() if not n.startswith(("stream_", "gbt_")) and n != "feature_zscore"]
+
+
+def test_every_batch_plan_is_equi_join_and_jvm_only(spark):
+    """Every batch query joins on an equality (no nested-loop or cartesian
+    join) and runs without Python evaluation."""
+    for name in BATCH:
+        p = _plan(E.queries()[name](spark, SF001))
+        assert "NestedLoopJoin" not in p and "CartesianProduct" not in p, name
+        assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
 
 def test_latest_uses_aggregate_not_sort(spark):
