@@ -197,3 +197,19 @@ def test_interval_join_dense_brute_force(spark, bucket_h):
             want[eid] = ids[act[0]] if len(act) else None
     assert got == want
     assert sum(v is not None for v in got.values()) > 0
+
+
+@pytest.mark.parametrize("bucket_h", [24, 6, 5])
+def test_greedy_chain_brute_force(spark, bucket_h):
+    """One active interval per zone, greedy in start order, as joins only."""
+    from zonefare.operators.intervals import greedy_chain
+    cal = DV.event_calendar(spark, SF01).select("zone_id", "event_id", "start_ms", "end_ms")
+    got = greedy_chain(cal, bucket_ms=bucket_h * 3_600_000).toPandas()
+    want = []
+    for z, g in cal.toPandas().sort_values(["start_ms", "event_id"]).groupby("zone_id"):
+        busy = None
+        for row in g.itertuples():
+            if busy is None or row.start_ms >= busy:
+                want.append((z, row.event_id))
+                busy = row.end_ms
+    assert sorted(zip(got.zone_id, got.event_id)) == sorted(want)

@@ -422,3 +422,5 @@ ORACLE["stream_event_state"] = f"""WITH RECURSIVE {rides_cte()}
     ORDER BY c.start_ms, c.event_id LIMIT 1) n
 )
 SELECT zone_id, event_id, start_ms, end_ms, multiplier FROM acc"""
+
+ORACLE["event_state_batch"] = ORACLE["stream_event_state"]

@@ -600,3 +600,12 @@ def q_stream_expected_demand(spark, sf_dir):
     r = (r.withColumn("is_holiday", is_us_holiday(ld))
          .withColumn("is_holiday_eve", ~F.col("is_holiday") & is_us_holiday(F.date_add(ld, 1))))
     return _sink_and_read(spark, expected_demand_columns(r), "expected")
+
+
+@register("event_state_batch")
+def q_event_state_batch(spark, sf_dir):
+    """The keyed event state as a batch job over the whole calendar: one
+    active special event per zone, taken greedily in start order."""
+    from zonefare.operators.intervals import greedy_chain
+    cal = DV.event_calendar(spark, sf_dir).select("zone_id", "event_id", "start_ms", "end_ms", "multiplier")
+    return greedy_chain(cal, "zone_id", "start_ms", "end_ms", "event_id")
