@@ -569,10 +569,8 @@ def q_latest_features_per_zone(spark, sf_dir):
     """Feature store read: each zone's newest feature row at `as_of`, fresh
     while younger than twice the surge TTL (rows are stamped at batch end)."""
     f = _features(spark, sf_dir).select("zone_id", "city", "timestamp", *FEATURE_COLUMNS)
-    f = f.withColumn("stored_at", F.col("timestamp") + F.expr("INTERVAL 3600 SECONDS"))
-    cur = S.current_as_of(f.withColumnRenamed("timestamp", "batch").withColumnRenamed("stored_at", "timestamp"),
-                          AS_OF_RETENTION, 2 * 120, 0)
-    return cur.select("zone_id", "city", F.col("timestamp").alias("stored_at"), "demand_last_1min",
+    cur = S.current_as_of(f, AS_OF_RETENTION, 2 * 120, 3600)  # stored at the end of the hour
+    return cur.select("zone_id", "city", F.col("updated_at").alias("stored_at"), "demand_last_1min",
                       "demand_spike_factor", "available_drivers", "supply_ratio", "hour_of_day",
                       "is_holiday", "historical_avg_demand", "age_seconds", "is_fresh")
 

@@ -39,10 +39,12 @@ def current_view(history: DataFrame) -> DataFrame:
     return latest_per_key(history, "zone_id", ["timestamp", "city"])
 
 
-def current_as_of(history: DataFrame, as_of: str, ttl_seconds: int, batch_seconds: int) -> DataFrame:
+def current_as_of(history: DataFrame, as_of: str, ttl_seconds: int, batch_seconds: int,
+                  ts: str = "timestamp") -> DataFrame:
     """Current view at instant `as_of` with the time-to-live applied at read
-    time: a zone is fresh while as_of - updated_at < ttl."""
-    upd = F.col("timestamp") + F.expr(f"INTERVAL {batch_seconds} SECONDS")
+    time: rows are stamped `updated_at` = ts + batch_seconds, and a zone is
+    fresh while as_of - updated_at < ttl."""
+    upd = F.col(ts) + F.expr(f"INTERVAL {batch_seconds} SECONDS")
     h = history.withColumn("updated_at", upd).filter(F.col("updated_at") <= F.lit(as_of).cast("timestamp"))
     cur = latest_per_key(h, "zone_id", ["updated_at", "city"])
     age = (F.unix_seconds(F.lit(as_of).cast("timestamp")) - F.unix_seconds("updated_at"))
