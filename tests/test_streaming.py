@@ -169,3 +169,34 @@ def test_preaggregated_stream_windows_equal_direct(spark, tmp_root):
                     "left_semi").select(*b.columns)
     assert common.exceptAll(b).count() == 0
     assert b.count() > 0.5 * a.count() and b.exceptAll(a).count() == 0
+
+
+def test_history_retention_prunes_partitions(spark, tmp_root):
+    from zonefare.plans import serving as S
+    h = S.surge_history(spark, SF001, "hour")
+    ST.append_history(h, tmp_root, 0)
+    stored = ST.read_history(spark, tmp_root)
+    kept = ST.retained(stored, "2024-01-20 00:00:00", 7 * 86_400)
+    want = h.filter((F.col("timestamp") > F.lit("2024-01-13 00:00:00").cast("timestamp"))
+                    & (F.col("timestamp") <= F.lit("2024-01-20 00:00:00").cast("timestamp")))
+    assert kept.count() == want.count() > 0
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan or "PartitionFilters: [(date" in plan
+
+
+def test_cluster_conf_is_accepted(spark):
+    from zonefare.session import cluster_conf
+    conf = cluster_conf(800)
+    assert conf["spark.sql.shuffle.partitions"] == "2400"
+    keys = [k for k in conf if k.startswith("spark.sql.") and "stateStore" not in k]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, conf[k])
+            assert spark.conf.get(k) == conf[k]
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
