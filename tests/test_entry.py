@@ -53,3 +53,14 @@ def test_matches_duckdb_at_sf0001(spark, name):
     got = pd.DataFrame([r.asDict() for r in sdf.collect()], columns=sdf.columns)
     want = con.execute(E.oracle_sql()[name]).df()
     assert _digest(got) == _digest(want)
+
+
+def test_flagship_golden_counts_sf001(spark):
+    """Zone-days and events per rule level at sf0.01 (the blueprint's self-check)."""
+    from conftest import SF01
+    from pyspark.sql import functions as F
+    df = E.queries()["surge_by_zone_day"](spark, SF01)
+    got = {r.rule_multiplier: (r.zone_days, r.events) for r in
+           df.groupBy("rule_multiplier").agg(F.count(F.lit(1)).alias("zone_days"),
+                                             F.sum("demand_1min").alias("events")).collect()}
+    assert got == {1.0: (231, 887), 1.2: (172, 963), 1.5: (386, 2777), 2.0: (530, 5373)}
