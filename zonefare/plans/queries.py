@@ -533,7 +533,9 @@ def _trained(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         frame = M.to_training_frame(_features(spark, sf_dir), S.label_column())
-        t = M.train(frame, max_iter=QUERY_GBT_ITERATIONS)
+        # registered queries run at every scale: train anyway and flag the
+        # minimum (library callers of M.train get the raising guard)
+        t = M.train(frame, max_iter=QUERY_GBT_ITERATIONS, min_rows=0)
         path = _run_dir(spark, "model")
         M.save(t.model, path)
         _MODELS[key] = (t, path)
@@ -543,7 +545,8 @@ def _trained(spark, sf_dir):
 @register("gbt_train_metrics")
 def q_gbt_train_metrics(spark, sf_dir):
     t, _ = _trained(spark, sf_dir)
-    return M.metrics(t.model, t.test).withColumn("train_rows", F.lit(t.train_rows).cast("long"))
+    return (M.metrics(t.model, t.test).withColumn("train_rows", F.lit(t.train_rows).cast("long"))
+            .withColumn("meets_minimum", F.lit(t.train_rows >= DEFAULT.training_min_samples)))
 
 
 @register("gbt_feature_top5")
