@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonefare.llm import mixing
+from zonefare.llm import mixing, quality_mcd
 from zonefare.llm.common import read_documents
 
 
@@ -17,6 +17,12 @@ def op1_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "mix_copies", "mix_copy", "mix_key")
 
 
+def op2_robust_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    docs = read_documents(spark, sf_dir).select("doc_id", "lang", "source", "text")
+    return quality_mcd.quality_verdicts(docs).drop("distance2")
+
+
 _WEIGHTS_SQL = ", ".join(f"('{k}', {v})" for k, v in mixing.TARGET_WEIGHTS.items())
 
 OP1_SQL = f"""
@@ -50,7 +56,9 @@ FROM counted, LATERAL (SELECT unnest(generate_series(0, mix_copies - 1)) AS c)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_poisson_mixing": op1_poisson_mixing,
+    "op2_robust_quality": op2_robust_quality,
 }
 ORACLE: dict[str, str] = {
     "op1_poisson_mixing": OP1_SQL,
+    "op2_robust_quality": quality_mcd.oracle_sql(),
 }
