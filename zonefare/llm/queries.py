@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonefare.llm import mixing, quality_mcd
+from zonefare.llm import mixing, packing, quality_mcd
 from zonefare.llm.common import read_documents
 
 
@@ -23,6 +23,11 @@ def op2_robust_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mcd.quality_verdicts(docs).drop("distance2")
 
 
+def op10_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per piece of a document in the packed sequences."""
+    return packing.pack(read_documents(spark, sf_dir))
+
+
 _WEIGHTS_SQL = ", ".join(f"('{k}', {v})" for k, v in mixing.TARGET_WEIGHTS.items())
 
 OP1_SQL = f"""
@@ -57,6 +62,7 @@ FROM counted, LATERAL (SELECT unnest(generate_series(0, mix_copies - 1)) AS c)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_poisson_mixing": op1_poisson_mixing,
     "op2_robust_quality": op2_robust_quality,
+    "op10_mixture_packing": op10_mixture_packing,
 }
 ORACLE: dict[str, str] = {
     "op1_poisson_mixing": OP1_SQL,
