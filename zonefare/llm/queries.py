@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonefare.llm import mixing, packing, quality_mcd
+from zonefare.llm import mixing, packing, probminhash, quality_mcd
 from zonefare.llm.common import read_documents
 
 
@@ -23,6 +23,12 @@ def op2_robust_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mcd.quality_verdicts(docs).drop("distance2")
 
 
+def op8_probminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document, and its class of equal texts."""
+    docs = read_documents(spark, sf_dir).select("doc_id", "text")
+    return probminhash.classes(docs).drop("text")
+
+
 def op10_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per piece of a document in the packed sequences."""
     return packing.pack(read_documents(spark, sf_dir))
@@ -62,6 +68,7 @@ FROM counted, LATERAL (SELECT unnest(generate_series(0, mix_copies - 1)) AS c)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_poisson_mixing": op1_poisson_mixing,
     "op2_robust_quality": op2_robust_quality,
+    "op8_probminhash_classes": op8_probminhash_classes,
     "op10_mixture_packing": op10_mixture_packing,
 }
 ORACLE: dict[str, str] = {
