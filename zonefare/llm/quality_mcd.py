@@ -310,7 +310,7 @@ def fit(vectors: DataFrame) -> DataFrame:
         binned = spark.sql(binned_sql("{m}", "{f}"), m=members, f=factors)
         estimates = spark.sql(concentrate_sql("{b}"), b=binned)
         factors = materialize(spark.sql(factor_sql("{e}", KEYS), e=estimates), "mcd-step")
-    best = spark.sql(best_sql("{f}"), f=factors)
+    best = materialize(spark.sql(best_sql("{f}"), f=factors), "mcd-best")
     final = materialize(spark.sql(reweight_sql("{m}", "{f}"), m=members, f=best), "mcd-final")
     return materialize(spark.sql(chosen_sql("{f}"), f=final), "mcd-chosen")
 
