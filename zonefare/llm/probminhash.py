@@ -13,11 +13,14 @@ share a band are candidates.  Every pair that is linked passed the exact test:
 probability Jaccard or plain Jaccard of the shingle sets at least 0.8.
 
 Pairs are not enumerated within a bucket.  First every node is compared to its
-buckets' hubs (their least key) and the links are joined to components.  A
-bucket whose nodes are then all in one component is done: a further link inside
-could not change a class.  What is left are nodes that no hub took; only those
-are compared to the nodes of other components in their bucket, so no link
-between different classes is lost and no bucket is capped.
+buckets' hubs (the node with most bucket neighbours, which is the original in a
+group of edited copies) and the links are joined to components.  A bucket whose
+nodes are then all in one component is done: a further link inside could not
+change a class.  What is left are nodes that no hub took.  Most of them cannot be
+linked to any node: a shingle found in no other remaining node is lost to every
+pair, so their count bounds both similarities from above.  Only pairs of different
+components whose bounds reach the threshold are compared.  No bucket is capped and
+no pair that could be linked is skipped.
 
 Everything keyed by band, node or component is map-side combined or a plain join
 that Spark can split; nothing is collected.
@@ -172,16 +175,32 @@ def _sketch_task(columns: list[str], bands: int, rows: int):
                 norm = part.column(part.num_columns - 1)
                 norm = norm.cast(pa.large_string()) if not pa.types.is_large_string(norm.type) else norm
                 doc, element, weight = shingles(norm)
+                n = np.bincount(doc, minlength=len(part))
+                total = np.bincount(doc, weight, minlength=len(part)).astype(np.int64)
                 keys = band_keys(signatures(doc, element, weight, len(part), bands * rows), bands, rows)
-                has = np.bincount(doc, minlength=len(part)) > 0
+                has = n > 0
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(has * bands)]).astype(np.int32)), pa.array(keys[has].ravel()))
                 ids = pa.array((np.int64(pid) << 33) + seen + np.arange(len(part)))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids, lists], names=[*columns, "__rid", "__bands"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids, pa.array(n.astype(np.int64)), pa.array(total), lists],
+                                                 names=[*columns, "__rid", "__n", "__total", "__bands"])
                 seen, start = seen + len(part), stop
     return run
 
 
+def _shingle_task():
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for start in range(0, len(batch), 256):
+                part = batch.slice(start, 256)
+                doc, element, weight = shingles(part.column(1).cast(pa.large_string()))
+                yield pa.RecordBatch.from_arrays([pa.array(element.view("int64")), part.column(0).take(pa.array(doc)), pa.array(weight.astype("int32"))],
+                                                 names=["h", "node", "w"])
+    return run
+
+
 def _verify_task(threshold: float):
     def run(batches):
         import pyarrow as pa
@@ -239,34 +258,40 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", thresho
 
     The input is written once to the shared folder with its node and bands.
     """
-    cols = [c for c in docs.columns if c not in ("class_id", "copy_class_id", "representative", "__key", "__rid", "__bands")]
+    cols = [c for c in docs.columns if c not in ("class_id", "copy_class_id", "representative", "__key", "__rid", "__n", "__total", "__bands")]
     norm = normalised(text_or_empty(text))
     staged = docs.select(*cols, norm.alias("__norm")).select(*cols, F.unhex(F.md5("__norm")).alias("__key"), "__norm")
-    schema = T.StructType([*staged.drop("__norm").schema.fields, T.StructField("__rid", T.LongType()),
+    schema = T.StructType([*staged.drop("__norm").schema.fields, *[T.StructField(c, T.LongType()) for c in ("__rid", "__n", "__total")],
                            T.StructField("__bands", T.ArrayType(T.LongType()))])
     rows_ = materialize(staged.mapInArrow(_sketch_task([*cols, "__key"], bands, rows), schema), "near-rows")
 
     named = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("id"), F.col("__rid").alias("rid"))
-    nodes = materialize(rows_.groupBy("__key").agg(F.min(named).alias("rep"), F.first("__bands").alias("bands")), "near-nodes")
+    nodes = materialize(rows_.groupBy("__key").agg(F.min(named).alias("rep"), F.first("__n").alias("n"), F.first("__total").alias("total"),
+                                                   F.first("__bands").alias("bands")), "near-nodes")
     buckets = nodes.select(F.col("__key").alias("node"), F.explode("bands").alias("bucket"))
-    hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    spokes = materialize(buckets.join(hubs, "bucket"), "near-buckets")  # bucket, node, hub: shared buckets only
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    spokes = materialize(buckets.join(shared, "bucket"), "near-buckets")  # bucket, node, members: shared buckets only
+    degree = spokes.groupBy("node").agg(F.sum(F.col("members") - 1).alias("degree"))
+    hubs = spokes.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("degree", "node"))["node"].alias("hub"))
+    spokes = materialize(spokes.drop("members").join(hubs, "bucket"), "near-spokes")
 
-    pairs = spokes.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = spokes.where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
     links = materialize(_verified(rows_, nodes, pairs, text, threshold), "near-links")
     comp = materialize(components(links), "near-components")
 
-    # nodes that their bucket's hub did not take, against the other components of the bucket
+    # nodes that a hub of theirs did not take, against the other components of the bucket
     of = lambda c, out: comp.select(F.col("node").alias(c), F.col("component").alias(out))
     placed = (spokes.join(of("node", "c"), "node", "left").join(of("hub", "hub_c"), "hub", "left")
               .select("bucket", "node", "hub", F.coalesce("c", "node").alias("c"), F.coalesce("hub_c", "hub").alias("hub_c")))
     strays = materialize(placed.where("c <> hub_c"), "near-strays")
-    s = strays.select("bucket", F.col("node").alias("a"), F.col("c").alias("ca"))
-    m = placed.join(strays.select("bucket").distinct(), "bucket", "left_semi").select(
-        "bucket", F.col("node").alias("b"), F.col("c").alias("cb"), (F.col("c") != F.col("hub_c")).alias("stray"), "hub")
-    rest = (s.join(m, "bucket").where("ca <> cb AND b <> hub AND (NOT stray OR a < b)")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = materialize(_verified(rows_, nodes, rest.join(pairs, (rest.a == pairs.a) & (rest.b == pairs.b), "left_anti"), text, threshold), "near-links")
+    left = materialize(placed.join(strays.select("bucket").distinct(), "bucket", "left_semi"), "near-left")
+    bounds = _bounds(rows_, nodes, left.select("node").distinct(), text, threshold)
+    left = left.join(bounds, "node").select("bucket", "node", "hub", "c", (F.col("c") != F.col("hub_c")).alias("stray"), "bound")
+    s, m = left.where("stray").alias("s"), left.alias("m")
+    could = F.expr(_possible("s.bound", "m.bound", threshold))
+    rest = (s.join(m, (F.col("s.bucket") == F.col("m.bucket")) & F.expr("s.c <> m.c AND m.node <> s.hub AND (NOT m.stray OR s.node < m.node)") & could)
+            .select(F.least("s.node", "m.node").alias("a"), F.greatest("s.node", "m.node").alias("b")).distinct())
+    more = materialize(_verified(rows_, nodes, rest, text, threshold), "near-links")
     if not more.isEmpty():
         comp = materialize(components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "near-components")
 
@@ -279,6 +304,30 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", thresho
             .select(*cols, "class_id", "copy_class_id", "representative"))
 
 
+def _bounds(rows: DataFrame, nodes: DataFrame, wanted: DataFrame, text: str, threshold: float) -> DataFrame:
+    """node, bound (n, shared, mass): distinct shingles, those that another wanted node may share, and the share of
+    the weight on these; nodes that cannot be linked to any wanted node are left out."""
+    reps = materialize(nodes.join(wanted.withColumnRenamed("node", "__key"), "__key", "left_semi").select("__key", F.col("rep.rid").alias("__rid"), "n", "total"),
+                       "near-wanted")
+    texts = rows.join(reps.select("__rid"), "__rid", "left_semi").select("__rid", normalised(text_or_empty(text)).alias("norm"))
+    once = (texts.mapInArrow(_shingle_task(), "h long, node long, w int").groupBy("h")
+            .agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("__rid"), F.min("w").alias("w")).where("times = 1"))
+    lost = once.groupBy("__rid").agg(F.count(F.lit(1)).alias("lost"), F.sum("w").alias("lost_w"))
+    own = reps.join(lost, "__rid", "left").na.fill(0, ["lost", "lost_w"]).select(
+        F.col("__key").alias("node"), F.struct("n", (F.col("n") - F.col("lost")).alias("shared"),
+                                               ((F.col("total") - F.col("lost_w")) / F.col("total")).alias("mass"),
+                                               (F.col("n") == F.col("total")).alias("plain")).alias("bound"))
+    low = threshold - 1e-9
+    return materialize(own.where(f"bound.shared >= {low} * bound.n OR (NOT bound.plain AND bound.mass >= {low})"), "near-bounds")
+
+
+def _possible(x: str, y: str, threshold: float) -> str:
+    """Whether two nodes may reach the threshold.  Plain Jaccard is at most o / (n_x + n_y - o) with o = the fewer
+    shared shingles; for weights of one that is the probability Jaccard, else it is at most the smaller shared mass."""
+    low, o = threshold - 1e-9, f"least({x}.shared, {y}.shared)"
+    return f"({o} >= {low} * ({x}.n + {y}.n - {o}) OR (NOT ({x}.plain AND {y}.plain) AND least({x}.mass, {y}.mass) >= {low}))"
+
+
 def _verified(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, text: str, threshold: float) -> DataFrame:
     """The pairs (a, b) of nodes whose texts pass the exact test."""
     pairs = materialize(pairs, "near-pairs")
