@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonefare.llm import mixing, packing, probminhash, quality_mcd
+from zonefare.llm import mixing, packing, pii, probminhash, quality_mcd
 from zonefare.llm.common import read_documents
 
 
@@ -23,6 +23,11 @@ def op2_robust_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mcd.quality_verdicts(docs).drop("distance2")
 
 
+def op3_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return pii.find_personal_data(read_documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op8_probminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document, and its class of equal texts."""
     docs = read_documents(spark, sf_dir).select("doc_id", "text")
@@ -68,6 +73,7 @@ FROM counted, LATERAL (SELECT unnest(generate_series(0, mix_copies - 1)) AS c)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_poisson_mixing": op1_poisson_mixing,
     "op2_robust_quality": op2_robust_quality,
+    "op3_weak_supervision_pii": op3_weak_supervision_pii,
     "op8_probminhash_classes": op8_probminhash_classes,
     "op10_mixture_packing": op10_mixture_packing,
 }
