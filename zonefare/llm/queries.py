@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonefare.llm import mixing, packing, pii, probminhash, quality_mcd
+from zonefare.llm import bloom_lm, mixing, packing, pii, probminhash, quality_mcd
 from zonefare.llm.common import read_documents
 
 
@@ -28,6 +28,11 @@ def op3_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(read_documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op4_bloom_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document."""
+    return bloom_lm.score_documents(read_documents(spark, sf_dir))
+
+
 def op8_probminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document, and its class of equal texts."""
     docs = read_documents(spark, sf_dir).select("doc_id", "text")
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_poisson_mixing": op1_poisson_mixing,
     "op2_robust_quality": op2_robust_quality,
     "op3_weak_supervision_pii": op3_weak_supervision_pii,
+    "op4_bloom_language_model": op4_bloom_language_model,
     "op8_probminhash_classes": op8_probminhash_classes,
     "op10_mixture_packing": op10_mixture_packing,
 }
