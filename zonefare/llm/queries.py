@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonefare.llm import bloom_lm, mixing, packing, pii, probminhash, quality_mcd
+from zonefare.llm import bloom_lm, mixing, packing, pii, prefix_tokens, probminhash, quality_mcd
 from zonefare.llm.common import read_documents
 
 
@@ -33,6 +33,11 @@ def op4_bloom_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score_documents(read_documents(spark, sf_dir))
 
 
+def op5_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count of every document, from its prefix counts."""
+    return prefix_tokens.count_tokens(read_documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op8_probminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document, and its class of equal texts."""
     docs = read_documents(spark, sf_dir).select("doc_id", "text")
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_robust_quality": op2_robust_quality,
     "op3_weak_supervision_pii": op3_weak_supervision_pii,
     "op4_bloom_language_model": op4_bloom_language_model,
+    "op5_prefix_token_counts": op5_prefix_token_counts,
     "op8_probminhash_classes": op8_probminhash_classes,
     "op10_mixture_packing": op10_mixture_packing,
 }
