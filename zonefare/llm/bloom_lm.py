@@ -31,7 +31,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonefare.llm.common import materialize, unit_hash
+from zonefare.llm.common import materialize, unit_hash, unsliced
 from zonefare.llm.probminhash import mix
 
 ORDER = 2
@@ -55,7 +55,7 @@ def held_out():
 
 # ---- tasks ----------------------------------------------------------------------------------------------
 
-def token_chunks(batches, text: str = "text"):
+def token_chunks(batches, text: str = "text", lower: bool = True):
     """(rows, dictionary of tokens, token codes, document of each code), END after each document's words."""
     import numpy as np
     import pyarrow as pa
@@ -69,8 +69,8 @@ def token_chunks(batches, text: str = "text"):
             stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + CHUNK_TOKENS, side="right")))
             part = batch.slice(start, stop - start)
             start = stop
-            texts = pc.fill_null(part.column(part.schema.get_field_index(text)).cast(pa.large_string()), "")
-            texts = pc.ascii_trim(pc.ascii_lower(texts), " \t\n\x0b\x0c\r")
+            texts = pc.fill_null(unsliced(part.column(part.schema.get_field_index(text))).cast(pa.large_string()), "")
+            texts = pc.ascii_trim(pc.ascii_lower(texts) if lower else texts, " \t\n\x0b\x0c\r")
             lists = pc.split_pattern_regex(texts, GAP_RE2)
             n = np.diff(lists.offsets.to_numpy())
             some = np.asarray(pc.binary_length(texts)) > 0

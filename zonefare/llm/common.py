@@ -53,3 +53,10 @@ def md5_int(hex_digits: int, *parts: Column | str) -> Column:
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+
+
+def unsliced(array):
+    """A copy of an Arrow array that starts at its own buffers: some string kernels misread slices."""
+    import numpy as np
+    import pyarrow as pa
+    return array.take(pa.array(np.arange(len(array))))

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zonefare.llm.common import GAP, materialize, text_or_empty
+from zonefare.llm.common import GAP, materialize, text_or_empty, unsliced
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -62,6 +62,7 @@ def shingles(texts):
     import pandas as pd
     import pyarrow.compute as pc
 
+    texts = unsliced(texts)
     lists = pc.split_pattern(texts, " ")
     if hasattr(lists, "combine_chunks"):
         lists = lists.combine_chunks()
