@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from zonefare.llm import bloom_lm, mixing, packing, pii, prefix_tokens, probminhash, quality_mcd
+from zonefare.llm import (bloom_lm, mixing, packing, pii, prefix_tokens, probminhash, quality_mcd, site_quality,
+                          toxicity_chain)
 from zonefare.llm.common import read_documents
 
 
@@ -38,12 +40,23 @@ def op5_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_tokens.count_tokens(read_documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op6_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category probabilities and verdict of every document."""
+    return toxicity_chain.classify(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_probminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document, and its class of equal texts."""
     docs = read_documents(spark, sf_dir).select("doc_id", "text")
     return probminhash.classes(docs).drop("text")
 
 
+def op9_site_bayes_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posterior quality of every document; the source is its host, the language its section (path)."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").cast("int"))
+    return site_quality.judge(read_documents(spark, sf_dir), labels, F.col("source"), F.col("lang"))
+
+
 def op10_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per piece of a document in the packed sequences."""
     return packing.pack(read_documents(spark, sf_dir))
@@ -86,7 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_weak_supervision_pii": op3_weak_supervision_pii,
     "op4_bloom_language_model": op4_bloom_language_model,
     "op5_prefix_token_counts": op5_prefix_token_counts,
+    "op6_toxicity_chain": op6_toxicity_chain,
     "op8_probminhash_classes": op8_probminhash_classes,
+    "op9_site_bayes_quality": op9_site_bayes_quality,
     "op10_mixture_packing": op10_mixture_packing,
 }
 ORACLE: dict[str, str] = {
