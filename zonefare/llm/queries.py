@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonefare.llm import (bloom_lm, mixing, packing, pii, prefix_tokens, probminhash, quality_mcd, site_quality,
+from zonefare.llm import (bloom_lm, dual_tree, mixing, packing, pii, prefix_tokens, probminhash, quality_mcd, site_quality,
                           toxicity_chain)
 from zonefare.llm.common import read_documents
 
@@ -45,6 +45,12 @@ def op6_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_chain.classify(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op7_dual_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows of every fiftieth vector."""
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return dual_tree.top_k(table, F.col("vec_id") % dual_tree.QUERY_EVERY == 0)
+
+
 def op8_probminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document, and its class of equal texts."""
     docs = read_documents(spark, sf_dir).select("doc_id", "text")
@@ -100,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bloom_language_model": op4_bloom_language_model,
     "op5_prefix_token_counts": op5_prefix_token_counts,
     "op6_toxicity_chain": op6_toxicity_chain,
+    "op7_dual_tree_top_k": op7_dual_tree_top_k,
     "op8_probminhash_classes": op8_probminhash_classes,
     "op9_site_bayes_quality": op9_site_bayes_quality,
     "op10_mixture_packing": op10_mixture_packing,
@@ -107,4 +114,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_poisson_mixing": OP1_SQL,
     "op2_robust_quality": quality_mcd.oracle_sql(),
+    "op7_dual_tree_top_k": dual_tree.ORACLE_SQL,
 }
