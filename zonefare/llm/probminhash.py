@@ -18,9 +18,9 @@ group of edited copies) and the links are joined to components.  A bucket whose
 nodes are then all in one component is done: a further link inside could not
 change a class.  What is left are nodes that no hub took.  Most of them cannot be
 linked to any node: a shingle found in no other remaining node is lost to every
-pair, so their count bounds both similarities from above.  Only pairs of different
-components whose bounds reach the threshold are compared.  No bucket is capped and
-no pair that could be linked is skipped.
+pair, so their count bounds both similarities from above.  The others are compared
+to the nodes of other components, in blocks that send a text once per block and
+return links only.  No bucket is capped and no pair that could be linked is skipped.
 
 Everything keyed by band, node or component is map-side combined or a plain join
 that Spark can split; nothing is collected.
@@ -44,6 +44,8 @@ BANDS = 26
 ROWS = 5
 #: Words handled at once in a task (a longer text is handled alone).
 CHUNK_WORDS = 500_000
+#: A block of the comparison of remaining nodes, in nodes.
+STRAYS, MEMBERS = 256, 512
 
 
 # ---- numpy, inside tasks --------------------------------------------------------------------------------
@@ -202,6 +204,53 @@ def _shingle_task():
     return run
 
 
+def _block_task(threshold: float):
+    def run(key, strays, members):
+        import numpy as np
+        import pandas as pd
+        import pyarrow as pa
+
+        none = pd.DataFrame({"a": pd.Series([], dtype=object), "b": pd.Series([], dtype=object)})
+        if not len(strays) or not len(members):
+            return none
+        n = len(members)
+        doc, element, weight = shingles(pa.array([*members["norm"], *strays["norm"]], pa.large_string()))
+        known, local = np.unique(element, return_inverse=True)
+        start = np.searchsorted(doc, np.arange(n + len(strays) + 1))
+        mine, at = local[:start[n]], start[:n]
+        total = np.bincount(doc, weight, n + len(strays))
+        has, held = np.zeros(len(known)), np.zeros(len(known))
+        top: dict = {}  # components joined so far within this block
+
+        def find(c):
+            while top.get(c, c) != c:
+                c = top[c]
+            return c
+
+        a, b = [], []
+        for i, (node, c) in enumerate(zip(strays["node"], strays["c"])):
+            lo, hi = start[n + i], start[n + i + 1]
+            has[local[lo:hi]], held[local[lo:hi]] = 1.0, weight[lo:hi]
+            count = np.add.reduceat(has[mine], at)
+            plain = count / np.maximum(hi - lo + np.diff(start[:n + 1]) - count, 1)
+            # the probability Jaccard is at most the weight share of the common shingles, in either text
+            share = np.minimum(np.add.reduceat(has[mine] * weight[:start[n]], at) / total[:n], np.add.reduceat(held[mine], at) / total[n + i])
+            has[local[lo:hi]], held[local[lo:hi]] = 0.0, 0.0
+            for m in np.flatnonzero((plain >= threshold - 1e-12) | (share >= threshold - 1e-9)):
+                x, y = find(c), find(members["c"].iat[m])
+                if x == y:
+                    continue
+                if plain[m] < threshold - 1e-12:
+                    p, q = start[m], start[m + 1]
+                    if similarity((element[p:q], weight[p:q]), (element[lo:hi], weight[lo:hi]))[0] < threshold - 1e-12:
+                        continue
+                a.append(node)
+                b.append(members["node"].iat[m])
+                top[max(x, y)] = min(x, y)
+        return pd.DataFrame({"a": pd.Series(a, dtype=object), "b": pd.Series(b, dtype=object)}) if a else none
+    return run
+
+
 def _verify_task(threshold: float):
     def run(batches):
         import pyarrow as pa
@@ -287,12 +336,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", thresho
     strays = materialize(placed.where("c <> hub_c"), "near-strays")
     left = materialize(placed.join(strays.select("bucket").distinct(), "bucket", "left_semi"), "near-left")
     bounds = _bounds(rows_, nodes, left.select("node").distinct(), text, threshold)
-    left = left.join(bounds, "node").select("bucket", "node", "hub", "c", (F.col("c") != F.col("hub_c")).alias("stray"), "bound")
-    s, m = left.where("stray").alias("s"), left.alias("m")
-    could = F.expr(_possible("s.bound", "m.bound", threshold))
-    rest = (s.join(m, (F.col("s.bucket") == F.col("m.bucket")) & F.expr("s.c <> m.c AND m.node <> s.hub AND (NOT m.stray OR s.node < m.node)") & could)
-            .select(F.least("s.node", "m.node").alias("a"), F.greatest("s.node", "m.node").alias("b")).distinct())
-    more = materialize(_verified(rows_, nodes, rest, text, threshold), "near-links")
+    more = materialize(_linked_in_blocks(rows_, nodes, left.join(bounds, "node"), text, threshold), "near-links")
     if not more.isEmpty():
         comp = materialize(components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "near-components")
 
@@ -322,11 +366,24 @@ def _bounds(rows: DataFrame, nodes: DataFrame, wanted: DataFrame, text: str, thr
     return materialize(own.where(f"bound.shared >= {low} * bound.n OR (NOT bound.plain AND bound.mass >= {low})"), "near-bounds")
 
 
-def _possible(x: str, y: str, threshold: float) -> str:
-    """Whether two nodes may reach the threshold.  Plain Jaccard is at most o / (n_x + n_y - o) with o = the fewer
-    shared shingles; for weights of one that is the probability Jaccard, else it is at most the smaller shared mass."""
-    low, o = threshold - 1e-9, f"least({x}.shared, {y}.shared)"
-    return f"({o} >= {low} * ({x}.n + {y}.n - {o}) OR (NOT ({x}.plain AND {y}.plain) AND least({x}.mass, {y}.mass) >= {low}))"
+def _linked_in_blocks(rows: DataFrame, nodes: DataFrame, left: DataFrame, text: str, threshold: float) -> DataFrame:
+    """Links (a, b) between nodes of different components that share a bucket.
+
+    Nodes meet by the component of their buckets' hub.  In a group every node outside the hub's component is compared
+    to all others, in blocks of `STRAYS` x `MEMBERS` nodes: texts are sent once per block, only links come out.
+    """
+    member = left.select(F.col("hub_c").alias("group"), "node", "c").distinct()
+    member = materialize(member.withColumn("stray", F.col("c") != F.col("group")), "near-members")
+    chunks = member.groupBy("group").agg(F.ceil(F.sum(F.col("stray").cast("int")) / STRAYS).cast("int").alias("ns"),
+                                         F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("nm")).where("ns > 0")
+    reps = nodes.join(member.select(F.col("node").alias("__key")).distinct(), "__key", "left_semi").select(F.col("rep.rid").alias("__rid"))
+    texts = materialize(rows.join(reps, "__rid", "left_semi").select(F.col("__key").alias("node"), normalised(text_or_empty(text)).alias("norm")), "near-texts")
+    placed = materialize(member.join(chunks, "group").join(texts, "node"), "near-placed")
+    of = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    strays = placed.where("stray").select("group", "node", "c", "norm", of("ns").alias("i"), each("nm").alias("j"))
+    members = placed.select("group", "node", "c", "norm", of("nm").alias("j"), each("ns").alias("i"))
+    return strays.groupBy("group", "i", "j").cogroup(members.groupBy("group", "i", "j")).applyInPandas(_block_task(threshold), "a binary, b binary")
 
 
 def _verified(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, text: str, threshold: float) -> DataFrame:
@@ -341,6 +398,8 @@ def _verified(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, text: str, th
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify_task(threshold), "a binary, b binary")
 
 
-def deduplicated(docs: DataFrame, **options) -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row of each class (its representative), with the columns of the input."""
-    return classes(docs, **options).where("representative").select(*docs.columns)
+    clash = {c: f"__own{i}" for i, c in enumerate(docs.columns)}
+    out = classes(docs.withColumnsRenamed(clash), clash[id_col], clash[text], **options).where("representative")
+    return out.select(*[F.col(v).alias(k) for k, v in clash.items()])
