@@ -38,3 +38,16 @@ def test_split_is_deterministic(frame):
 def test_minimum_rows_guard(frame):
     with pytest.raises(ValueError):
         M.train(frame.limit(10), max_iter=2)
+
+
+def test_fallback_without_a_model(spark, frame, tmp_path):
+    h = S.surge_history(spark, SF001, "hour")
+    feats = S.feature_rows(h, S.historical_baseline(h))
+    assert M.load_or_none(spark, str(tmp_path / "none")) is None
+    none = M.predict_or_fallback(None, feats)
+    assert {tuple(r) for r in none.select("ml_prediction", "ml_confidence", "ml_available").distinct().collect()} == {(1.0, 0.0, False)}
+    t = M.train(frame, max_iter=2, min_rows=100)
+    M.save(t.model, str(tmp_path / "m"))
+    got = M.predict_or_fallback(M.load_or_none(spark, str(tmp_path / "m")), feats)
+    r = got.agg({"ml_prediction": "min", "ml_confidence": "min"}).first()
+    assert got.count() == feats.count() and r[0] is not None and got.filter("NOT ml_available").count() == 0

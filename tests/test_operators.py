@@ -159,7 +159,7 @@ def test_model_fallback(spark, tmp_root):
     from zonefare.plans import serving as S
     h = S.surge_history(spark, SF001, "hour")
     f = S.feature_rows(h, S.historical_baseline(h))
-    assert M.load_or_none(tmp_root + "/no-model") is None
+    assert M.load_or_none(spark, tmp_root + "/no-model") is None
     p = M.predict_or_fallback(None, f)
     assert p.filter(F.col("ml_prediction") != 1.0).count() == 0 and p.count() == f.count()
 
@@ -213,3 +213,28 @@ def test_greedy_chain_brute_force(spark, bucket_h):
                 want.append((z, row.event_id))
                 busy = row.end_ms
     assert sorted(zip(got.zone_id, got.event_id)) == sorted(want)
+
+
+def test_intervals_longer_than_buckets(spark):
+    """Nested and multi-day intervals: no length cap in the winner rule nor in the greedy chain."""
+    import random
+    from zonefare.operators.intervals import greedy_chain
+    rnd = random.Random(1)
+    day = 86_400_000
+    rows = [("z", i, s, s + rnd.choice([1000, day // 3, 3 * day, 9 * day])) for i in range(60) for s in [rnd.randint(0, 40 * day)]]
+    rows += [("y", 900, day, 4 * day), ("y", 901, 2 * day, 2 * day + 1000)]
+    cal = spark.createDataFrame(rows, "zone_id string, event_id long, start_ms long, end_ms long")
+    segs = winner_segments(cal).collect()
+    for z, at in [(z, rnd.randint(0, 50 * day)) for z in "zy" for _ in range(300)] + [("y", 2 * day + 5)]:
+        act = sorted((s, i) for k, i, s, e in rows if k == z and s <= at < e)
+        got = [r.event_id for r in segs if r.zone_id == z and r.seg_start <= at < r.end_ms]
+        assert got == ([act[0][1]] if act else [])
+    want = []
+    for z in "zy":
+        busy = None
+        for s, i, e in sorted((s, i, e) for k, i, s, e in rows if k == z):
+            if busy is None or s >= busy:
+                want.append((z, str(i)))
+                busy = e
+    got = greedy_chain(cal).collect()
+    assert sorted((r.zone_id, str(r.event_id)) for r in got) == sorted(want)

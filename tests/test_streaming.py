@@ -200,3 +200,24 @@ def test_cluster_conf_is_accepted(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_stream_query_reads_a_table_of_part_files(spark, tmp_root):
+    """`events.parquet` as a folder: the same rows as the single file."""
+    import __spark_entry__ as E
+    from conftest import SF001
+    spark.read.parquet(f"{SF001}/events.parquet").coalesce(1).write.parquet(f"{tmp_root}/events.parquet")
+    q = E.queries()["stream_dedup"]
+    a, b = q(spark, SF001), q(spark, tmp_root)
+    assert a.count() == b.count() == 1000 and a.exceptAll(b).count() == 0
+
+
+def test_old_snapshots_go(spark, tmp_root):
+    from pyspark.sql import functions as F
+    from zonefare.streaming import store as ST
+    for i in range(8):
+        batch = spark.range(3).select(F.format_string("z%d", "id").alias("zone_id"), F.lit("c").alias("city"),
+                                      F.timestamp_seconds(F.lit(1000 + i)).alias("updated_at"), F.lit(float(i)).alias("final_multiplier"))
+        ST.upsert_current(spark, batch, tmp_root, i)
+    assert ST._versions(spark, tmp_root) == [4, 5, 6, 7]
+    assert {r.final_multiplier for r in ST.read_current(spark, tmp_root).collect()} == {7.0}

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonefare.config import DEFAULT, FEATURE_COLUMNS, PricingConfig
-from zonefare.functions.features import clip_prediction
+from zonefare.functions.features import clip_prediction, confidence
+from zonefare.sources.tables import is_folder
 
 LABEL = "actual_multiplier"
 
@@ -113,17 +114,22 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def load_or_none(path: str) -> PipelineModel | None:
-    try:
-        return PipelineModel.load(path)
-    except Exception:  # noqa: BLE001  (absent or unreadable model: serve without it)
-        return None
+def load_or_none(spark: SparkSession, path: str) -> PipelineModel | None:
+    """The saved model, or None if there is none at the path; a damaged model is an error."""
+    return PipelineModel.load(path) if is_folder(spark, path) else None
 
 
 def predict_or_fallback(model: PipelineModel | None, features: DataFrame,
                         cfg: PricingConfig = DEFAULT) -> DataFrame:
-    """ml_prediction per feature row; without a model every row gets 1.0,
-    which the confidence rule then keeps from overriding the rule price."""
+    """ml_prediction, ml_confidence and ml_available per feature row.  Without a
+    model every row gets (1.0, 0.0, false): the confidence of zero keeps the
+    prediction from overriding the rule price."""
+    keys = ("zone_id", "city", "timestamp")
     if model is None:
-        return features.select("zone_id", "city", "timestamp", F.lit(1.0).alias("ml_prediction"))
-    return score(model, features, cfg).select("zone_id", "city", "timestamp", "ml_prediction")
+        return features.select(*keys, F.lit(1.0).alias("ml_prediction"), F.lit(0.0).alias("ml_confidence"),
+                               F.lit(False).alias("ml_available"))
+    p = model.transform(to_training_frame(features, F.lit(None).cast("double")))
+    ml = clip_prediction(F.col("prediction"), cfg)
+    return p.select(*keys, ml.alias("ml_prediction"),
+                    confidence(F.col("demand_last_1min"), F.col("historical_avg_demand"), ml).alias("ml_confidence"),
+                    F.lit(True).alias("ml_available"))

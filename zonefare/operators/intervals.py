@@ -7,8 +7,8 @@ intervals of a key are therefore the chain f, next(f), next(next(f)), ...
 where f is the key's first interval and next(i) is the first interval
 starting at or after end(i).
 
-1. next(i) by a forward as-of per (key, day) with the next day's starts as
-   context; the few intervals with no start in that reach are answered per
+1. next(i) by a forward as-of per (key, day of the end) with the next day's
+   starts as context; the few intervals with no start in that reach are answered per
    (key, day) from the per-day first starts, so no task holds a whole key.
 2. The chain by pointer doubling: after round k the accepted set holds the
    first 2^k chain members and the jump table maps i to next^(2^k)(i).
@@ -27,15 +27,15 @@ from zonefare.session import checkpoint_dir
 def next_interval(cal: DataFrame, key: str, start: str, end: str, tie: str,
                   bucket_ms: int = 86_400_000) -> DataFrame:
     """(key, tie, next_tie): the first interval (start, tie order) whose start
-    is at or after this interval's end; null when there is none.  Intervals
-    must be shorter than `bucket_ms`."""
+    is at or after this interval's end; null when there is none.  The search
+    starts in the bucket of the end, so intervals may have any length."""
     c = cal.select(F.col(key).alias("_k"), F.col(start).alias("_s"), F.col(end).alias("_e"),
                    F.col(tie).alias("_id")).withColumn("_b", F.floor(F.col("_s") / bucket_ms))
     cand = F.struct(F.col("_s").alias("s"), F.col("_id").alias("id"))
     own = c.select("_k", "_b", F.col("_s").alias("_t"), F.lit(1).alias("_kind"), cand.alias("_c"),
                    F.lit(None).cast("string").alias("_q"))
     ctx = own.withColumn("_b", F.col("_b") - 1)
-    qry = c.select("_k", "_b", F.col("_e").alias("_t"), F.lit(0).alias("_kind"),
+    qry = c.select("_k", F.floor(F.col("_e") / bucket_ms).alias("_b"), F.col("_e").alias("_t"), F.lit(0).alias("_kind"),
                    F.lit(None).cast(own.schema["_c"].dataType).alias("_c"),
                    F.col("_id").cast("string").alias("_q"))
     w = (Window.partitionBy("_k", "_b").orderBy("_t", "_kind", F.col("_c.id"))
@@ -44,7 +44,7 @@ def next_interval(cal: DataFrame, key: str, start: str, end: str, tie: str,
          .withColumn("_n", F.first("_c", ignorenulls=True).over(w))
          .filter(F.col("_kind") == 0)
          .select("_k", "_b", F.col("_q").alias("_id"), F.col("_n.id").alias("_nid")))
-    # not found within this day and the next: the first start from two days on
+    # not found in the end's bucket and the next one: the first start from two buckets on
     firsts = c.groupBy("_k", "_b").agg(F.min(cand).alias("_f"))
     need = a.filter(F.col("_nid").isNull()).select("_k", (F.col("_b") + 2).alias("_pos")).distinct()
     wf = (Window.partitionBy("_k").orderBy("_pos", "_kind")

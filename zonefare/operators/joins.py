@@ -60,32 +60,27 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_ts: str, right_ts
 
 
 def winner_segments(calendar: DataFrame, key: str = "zone_id", start: str = "start_ms",
-                    end: str = "end_ms", max_len_ms: int = 240 * 60_000,
-                    bucket_ms: int = 86_400_000, tie: str = "event_id") -> DataFrame:
+                    end: str = "end_ms", bucket_ms: int = 86_400_000, tie: str = "event_id") -> DataFrame:
     """Resolve overlapping intervals per key: at any instant the active
     interval with the earliest start wins.
 
     Interval i wins on [max(start_i, M_i), end_i) where M_i is the latest end
-    among intervals starting before i.  Intervals last at most `max_len_ms`,
-    so M_i only needs intervals started within that span: the running max is
-    taken per (key, day) with the previous day's tail copied in as context.
-    The result is disjoint segments per key; equal starts are ordered by
-    `tie`.
+    among intervals starting before i.  Only intervals that still cover start_i
+    can raise the maximum, so each interval is copied into every bucket it
+    covers (any length) and the running max is taken per (key, bucket); the
+    row of the interval's first bucket gives the result.  The result is
+    disjoint segments per key; equal starts are ordered by `tie`.
     """
-    if max_len_ms > bucket_ms:
-        raise ValueError("intervals must not be longer than the bucket")
-    c = calendar.withColumn("_b", F.floor(F.col(start) / bucket_ms))
-    ctx = (c.filter(F.col(start) >= (F.col("_b") + 1) * bucket_ms - max_len_ms)
-           .withColumn("_b", F.col("_b") + 1).withColumn("_ctx", F.lit(True)))
-    both = c.withColumn("_ctx", F.lit(False)).unionByName(ctx)
+    first = F.floor(F.col(start) / bucket_ms)
+    last = F.greatest(first, F.floor((F.col(end) - 1) / bucket_ms))
+    spread = calendar.withColumn("_first", first).withColumn("_b", F.explode(F.sequence(first, last)))
     w = (Window.partitionBy(key, "_b").orderBy(start, tie)
          .rowsBetween(Window.unboundedPreceding, -1))
-    seg = (both.withColumn("_m", F.max(end).over(w))
-           .filter(~F.col("_ctx"))
-           .withColumn("seg_start", F.greatest(F.col(start), F.coalesce(F.col("_m"), F.col(start))))
-           .filter(F.col("seg_start") < F.col(end))
-           .drop("_b", "_ctx", "_m"))
-    return seg
+    return (spread.withColumn("_m", F.max(end).over(w))
+            .filter(F.col("_b") == F.col("_first"))
+            .withColumn("seg_start", F.greatest(F.col(start), F.coalesce(F.col("_m"), F.col(start))))
+            .filter(F.col("seg_start") < F.col(end))
+            .drop("_b", "_first", "_m"))
 
 
 def interval_lookup(facts: DataFrame, segments: DataFrame, key: str, ts: str,

@@ -27,7 +27,7 @@ from zonefare.schemas import DLQ_SCHEMA, EVENT_SCHEMA, WEATHER_PAYLOAD_SCHEMA
 from zonefare.session import checkpoint_dir
 from zonefare.sources import derived as DV
 from zonefare.sources.rides import ride_columns, rides, zone_dim
-from zonefare.sources.tables import read_table
+from zonefare.sources.tables import is_folder, read_table, table_path
 from zonefare.streaming import jobs as J
 from zonefare.streaming import store as ST
 from zonefare.streaming.sources import ride_stream
@@ -458,6 +458,10 @@ def _run_dir(spark, name: str) -> str:
 
 
 def _events_stream(spark, sf_dir, extra=()):
+    """The events table as a stream: one file, or a folder of part files."""
+    table = table_path(sf_dir, "events")
+    if is_folder(spark, table):
+        return ride_stream(spark, table, extra=extra)
     return ride_stream(spark, sf_dir, glob="events.parquet", extra=extra)
 
 

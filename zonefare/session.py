@@ -6,16 +6,16 @@ import os
 import re
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app: str = "zonefare") -> SparkSession:
-    cpus = os.environ.get("BENCH_CPUS", "8")
+    """A session: the cluster that spark-submit (or spark-defaults) names, with
+    its own sizes, else a local one with the sizes of a single machine."""
     builder = (
-        SparkSession.builder.master(master or f"local[{cpus}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -23,12 +23,15 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
         # streaming state off the JVM heap, with incremental checkpoints
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
+    if master or not SparkConf().contains("spark.master"):
+        cpus = os.environ.get("BENCH_CPUS", "8")
+        builder = (builder.master(master or f"local[{cpus}]").config("spark.driver.memory", "16g")
+                   .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

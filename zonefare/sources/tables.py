@@ -18,3 +18,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
     pin_utc(spark)
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*cols) if cols else df
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a table is a folder of part files, on any file system Spark knows."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()

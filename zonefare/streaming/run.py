@@ -12,7 +12,7 @@ import argparse
 from pyspark.sql import functions as F
 
 from zonefare.config import DEFAULT
-from zonefare.session import build_session, checkpoint_dir
+from zonefare.session import build_session
 from zonefare.sources.derived import payload_text
 from zonefare.streaming.jobs import surge_stream_job
 from zonefare.streaming.sources import kafka_stream, ride_stream
@@ -26,12 +26,12 @@ def main(argv=None) -> None:
     ap.add_argument("--path", help="folder of events Parquet files (files source)")
     ap.add_argument("--glob", default="*.parquet")
     ap.add_argument("--root", required=True, help="output store folder (shared storage)")
-    ap.add_argument("--checkpoint", help="defaults to <spark.checkpoint.dir>/pricing-stream")
+    ap.add_argument("--checkpoint", help="defaults to <root>/_checkpoint: one stream per store")
     ap.add_argument("--once", action="store_true", help="process what is available, then stop")
     args = ap.parse_args(argv)
 
     spark = build_session(app="zonefare-stream")
-    ckpt = args.checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/pricing-stream"
+    ckpt = args.checkpoint or f"{args.root.rstrip('/')}/_checkpoint"
     if args.source == "kafka":
         raw = kafka_stream(spark, args.servers, args.topic, DEFAULT)
         # the record time stands in for the failure time of dead letters

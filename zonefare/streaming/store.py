@@ -50,6 +50,10 @@ def history_row(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+#: Snapshots of the current view that stay: the newest and those a reader or a replayed batch may still use.
+KEPT_SNAPSHOTS = 4
+
+
 def append_history(batch: DataFrame, root: str, batch_id: int) -> None:
     (history_row(batch).withColumn("date", F.to_date("timestamp")).withColumn("batch_id", F.lit(batch_id))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -85,6 +89,9 @@ def upsert_current(spark: SparkSession, batch: DataFrame, root: str, batch_id: i
     snap = latest_per_key(rows, key, list(order))
     path = os.path.join(root, "current", f"v={batch_id}")
     snap.write.mode("overwrite").parquet(path)
+    for v in prev[:1 - KEPT_SNAPSHOTS] if KEPT_SNAPSHOTS > 1 else prev:  # work per batch stays flat
+        fs, old_path = _fs(spark, os.path.join(root, "current", f"v={v}"))
+        fs.delete(old_path, True)
     return batch.count()
 
 
