@@ -32,6 +32,9 @@ BLANK = "▁"
 #: Segments kept per task; longer ones than CACHED_LENGTH are not kept.
 CACHE = 300_000
 CACHED_LENGTH = 64
+#: Scores down to here are shared by several tokens (runs of blanks) and do not order merges.
+TIED = -1e8
+FRESH = (1 << 20) - 1
 
 
 def default_model() -> str:
@@ -43,12 +46,18 @@ class PrefixCounter:
     """Token counts of prefixes under a sentencepiece BPE model with byte fallback."""
 
     def __init__(self, model_path: str):
+        import ahocorasick
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
         self.score = {sp.id_to_piece(i): sp.get_score(i) for i in range(sp.get_piece_size())
                       if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))}
-        self.longest = max(map(len, self.score))
-        self.agree: dict[tuple[str, str], bool] = {}
+        self.pieces = list(self.score)
+        self.matches = ahocorasick.Automaton()
+        for i, piece in enumerate(self.pieces):
+            self.matches.add_word(piece, (i, len(piece)))
+        self.matches.make_automaton()
+        self.agree: dict[int, bool] = {}
+        self.edges: dict[tuple[str, int], list[tuple[str, float]] | None] = {}
         self.known: dict[str, Sequence[int]] = {}
         self.total: dict[str, int] = {}
         # the shape this programme relies on
@@ -70,38 +79,102 @@ class PrefixCounter:
                 return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
-    def _agrees(self, left: str, right: str) -> bool:
-        known = self.agree.get((left, right))
-        if known is None:
-            known = self.agree[left, right] = self.merged(left + right) == ([left, right] if left else [right])
+    def split(self, token: str) -> tuple[str, str] | None:
+        """The two parts whose merge completes a token; None for a character or a token that merging does not reach."""
+        parts = list(token)
+        while len(parts) > 2:
+            best, at = None, -1
+            for i in range(len(parts) - 1):
+                s = self.score.get(parts[i] + parts[i + 1])
+                if s is not None and (best is None or s > best):
+                    best, at = s, i
+            if at < 0:
+                return None
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        return (parts[0], parts[1]) if len(parts) == 2 else None
+
+    def _edge(self, token: str, side: int) -> list[tuple[str, float]] | None:
+        """What stands at a side of a token while it is merged, from its character on, with the score of each merge.
+
+        None unless every merge on the way has a lower score than its parts had, so that scores tell the order.
+        """
+        key = (token, side)
+        if key not in self.edges:
+            out, t = [(token, self.score[token])], token
+            while out is not None and len(t) > 1:
+                halves = self.split(t)
+                if halves is None or any(self.score.get(h, TIED) <= self.score[t] for h in halves if len(h) > 1) or self.score[t] <= TIED:
+                    out = None
+                else:
+                    t = halves[side]
+                    out.append((t, self.score[t] if t in self.score else 0.0))
+            self.edges[key] = out[::-1] if out else None
+        return self.edges[key]
+
+    def _agrees(self, key: int) -> bool:
+        """Whether two tokens are the encoding of their text (of a token after FRESH: whether it is its own)."""
+        if len(self.agree) >= CACHE:
+            self.agree.clear()
+        left, right = key >> 20, key & 0xFFFFF
+        known = self.agree[key] = self._stay_apart("" if left == FRESH else self.pieces[left], self.pieces[right])
         return known
 
+    def _outside(self, segment: str, counts: list[int], done: int, until: int) -> int:
+        """Characters outside the vocabulary: as many tokens as bytes."""
+        for i in range(done, until):
+            if segment[i] in self.score:
+                raise ValueError(f"no token ends at {i + 1} of {segment[:50]!r}")
+            counts[i + 1] = counts[i] + len(segment[i].encode("utf-8", "surrogatepass"))
+        return until
+
+    def _stay_apart(self, left: str, right: str) -> bool:
+        if not left:
+            return self.merged(right) == [right]
+        a, b = self._edge(left, 1), self._edge(right, 0)
+        if a is None or b is None:
+            return self.merged(left + right) == [left, right]
+        # merges happen in the order of their scores; the two sides must be complete before a merge across is due
+        i = j = 0
+        while True:
+            across = self.score.get(a[i][0] + b[j][0])
+            grow_a = a[i + 1][1] if i + 1 < len(a) else None
+            grow_b = b[j + 1][1] if j + 1 < len(b) else None
+            if grow_a is None and grow_b is None:
+                return across is None
+            if grow_b is None or (grow_a is not None and grow_a >= grow_b):
+                if across is not None and across > grow_a:
+                    return False
+                i += 1
+            else:
+                if across is not None and across >= grow_b:
+                    return False
+                j += 1
+
     def prefix_counts(self, segment: str) -> Sequence[int]:
         """counts[i]: tokens of the first i characters of a segment."""
         got = self.known.get(segment)
         if got is not None:
             return got
-        counts, last = [0], [""]  # last token of each prefix; "" where the next token starts afresh
-        score, agrees = self.score, self._agrees
-        for i in range(1, len(segment) + 1):
-            if segment[i - 1] not in score:
-                counts.append(counts[-1] + len(segment[i - 1].encode("utf-8", "surrogatepass")))
-                last.append("")
+        n = len(segment)
+        counts, last = [0] * (n + 1), [FRESH] * (n + 1)  # last token of each prefix; FRESH where the next one starts anew
+        agree, done = self.agree, 0
+        for end, (token, length) in self.matches.iter(segment):  # by end, the longest first
+            if end < done:
                 continue
-            for start in range(max(0, i - self.longest), i):
-                token = segment[start:i]
-                if token in score and agrees(last[start], token):
-                    counts.append(counts[start] + 1)
-                    last.append(token)
-                    break
-            else:
-                raise ValueError(f"no token ends at {i} of {segment[:50]!r}")
+            if done < end:
+                done = self._outside(segment, counts, done, end)
+            start = end + 1 - length
+            key = last[start] << 20 | token
+            ok = agree.get(key)
+            if ok is None:
+                ok = self._agrees(key)
+            if ok:
+                done = end + 1
+                counts[done], last[done] = counts[start] + 1, token
+        if done < n:
+            self._outside(segment, counts, done, n)
         packed: Sequence[int] = bytes(counts) if counts[-1] < 256 and max(counts) < 256 else counts
-        if len(segment) <= CACHED_LENGTH:
-            if len(self.known) >= CACHE:
-                self.known.clear()
-                self.total.clear()
-                self.agree.clear()
+        if len(segment) <= CACHED_LENGTH and len(self.known) < CACHE:  # frequent segments come early
             self.known[segment] = packed
             self.total[segment] = packed[-1]
         return packed
