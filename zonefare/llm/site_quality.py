@@ -137,12 +137,12 @@ def site_tables(evidence: DataFrame) -> DataFrame:
     """A row per (host, path): sums, sums of its host, and the three levels' parameters."""
     paths = materialize(evidence.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p_text").alias("s")), "site-paths")
     hosts = materialize(paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s")), "site-hosts")
-    top = hosts.agg((F.sum("s") / F.sum("n")).alias("global_rate"))
-    host_k = hosts.crossJoin(F.broadcast(top)).agg(F.max("global_rate").alias("global_rate"), strength(hosts, F.col("global_rate")).alias("host_k"))
     joined = paths.join(hosts.select("host", F.col("n").alias("host_n"), F.col("s").alias("host_s")), paths["host"].eqNullSafe(hosts["host"])).drop(hosts["host"])
-    path_k = joined.withColumn("m", F.col("host_s") / F.col("host_n")).agg(strength(joined, F.col("m")).alias("path_k"))
-    levels = host_k.crossJoin(path_k).first()  # three numbers
-    rate, hk, pk = (0.5 if levels["global_rate"] is None else float(levels["global_rate"]), float(levels["host_k"]), float(levels["path_k"]))
+    # three numbers: the global rate and the strength of either level
+    rate = hosts.agg((F.sum("s") / F.sum("n")).alias("r")).first()["r"]
+    rate = 0.5 if rate is None else float(rate)
+    hk = float(hosts.agg(strength(hosts, F.lit(rate)).alias("k")).first()["k"])
+    pk = float(joined.withColumn("m", F.col("host_s") / F.col("host_n")).agg(strength(joined, F.col("m")).alias("k")).first()["k"])
     return materialize(joined.select("host", "path", "n", "s", "host_n", "host_s", F.lit(rate).alias("global_rate"), F.lit(hk).alias("host_k"),
                                      F.lit(pk).alias("path_k")), "site-levels")
 
