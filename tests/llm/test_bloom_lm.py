@@ -65,3 +65,16 @@ def test_probes_recover_levels():
     got = flt.levels(keys)
     assert (got >= level).all() and (got == level).mean() > 0.98  # a Bloom filter only ever overstates
     assert (flt.levels(rng.integers(0, 1 << 63, 20_000).astype(np.uint64)) > 0).mean() < 0.02
+
+
+def test_false_hits_do_not_grow_with_the_ngrams():
+    rng = np.random.default_rng(3)
+    for size in (1_000, 2_000_000):
+        keys = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+        n = rng.choice([0, 1, 2, 9], len(keys), p=[0.1, 0.7, 0.1, 0.1])  # 0: n-grams of held-out documents only
+        flt = bloom_lm.fill_region(keys, n)
+        assert flt.region >= (n > 0).sum() * bloom_lm.BITS_PER_PAIR
+        got = flt.levels(keys)
+        assert (got >= np.where(n > 0, 1 + np.log2(np.maximum(n, 1)).astype(int), 0)).all()
+        assert (got[n == 0] > 0).mean() < 0.05
+    assert not hasattr(bloom_lm, "MAX_BITS")

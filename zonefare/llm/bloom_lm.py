@@ -1,18 +1,27 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 N-gram counts are quantised to levels 1 + floor(log2 count).  The filter holds,
-for an n-gram of level q, the pairs (n-gram, 1) ... (n-gram, q); a worker probes
-levels 1, 2, ... until the first miss and so recovers the level, hence the count
-up to quantisation.  Probabilities interpolate the orders (Jelinek-Mercer), with
-a weight per level of the context, fitted by EM with one occurrence left out on a
+for an n-gram of level q, the pairs (n-gram, 1) ... (n-gram, q); probing levels
+1, 2, ... until the first miss recovers the level, hence the count up to
+quantisation.  Probabilities interpolate the orders (Jelinek-Mercer), with a
+weight per level of the context, fitted by EM with one occurrence left out on a
 bounded sample of training documents.
 
 The filter is partitioned: an n-gram's hash names a bucket, all its bits lie in
-the bucket's region.  Counting, quantising and setting bits of a bucket are one
-task behind one shuffle of packed (hash, count) arrays that each task has
-pre-aggregated, and the number of buckets follows the corpus.  The filter has
-`MAX_BITS` bits at most: that is the bound of its broadcast.  More n-grams mean
-more false positives, never a larger filter.
+the bucket's region, and a region has `BITS_PER_PAIR` bits for every pair that is
+put into it.  So the rate of false hits does not depend on the corpus;
+the number of buckets follows it, and a region exists in its bucket's task only.
+Documents are cut into chunks.  A chunk sends its distinct n-grams, training
+counts with them, to their buckets as packed arrays.  The bucket's task counts,
+quantises, sets the bits, probes every n-gram it was sent and sends one byte for
+each back to the chunk, which is joined with its texts.  Chunks are named by task
+and position, so `docs` has to give the same rows in each scan; a checksum of each
+bucket's n-grams is compared, and a difference is an error.
+
+A token's probability depends on its levels alone.  Documents keep how often each
+combination of levels occurs in them; the sums over the sampled documents (one
+row for each combination) are all that EM needs, and a score is a sum over a
+document's combinations.
 
 The add-one base score needs exact counts.  Frequent tokens (at most `HEAD`,
 chosen by a histogram of counts) are broadcast; the rest of a document's tokens
@@ -35,8 +44,8 @@ from zonefare.llm.common import materialize, unit_hash, unsliced
 from zonefare.llm.probminhash import mix
 
 ORDER = 2
-MAX_BITS = 1 << 29
-BITS_PER_NGRAM = 16
+#: Bits of a region for each (n-gram, level) it holds.
+BITS_PER_PAIR = 16
 PROBES = 2
 HEAD = 1 << 18
 #: Documents of the sample on which interpolation weights are fitted (expected number).
@@ -120,19 +129,42 @@ def _unigram_task():
     return run
 
 
+def numbered_chunks(batches):
+    """Chunks of a task with their names: task number and position."""
+    from pyspark import TaskContext
+    pid = TaskContext.get().partitionId()
+    for i, chunk in enumerate(token_chunks(batches)):
+        yield (pid << 24) + i, chunk
+
+
 def _ngram_task(order: int, buckets: int):
+    """The distinct n-grams of each chunk with their counts in training documents, one row for each bucket."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        for _, vocab, codes, doc in token_chunks(batches):
-            keys = np.concatenate(ngram_hashes(word_hashes(vocab)[codes], doc, order))
-            keys, n = np.unique(keys, return_counts=True)
+        for chunk, (part, vocab, codes, doc) in numbered_chunks(batches):
+            keys, where = np.unique(np.concatenate(ngram_hashes(word_hashes(vocab)[codes], doc, order)), return_inverse=True)
+            train = ~np.asarray(part.column(part.schema.get_field_index("held_out")))
+            n = np.bincount(where, np.tile(train[doc], order), minlength=len(keys))
             bucket = bucket_of(keys, buckets)
             cut = np.flatnonzero(np.diff(bucket, prepend=-1))
             ends = pa.array(np.append(cut, len(keys)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[cut].astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(keys.view(np.int64))),
-                 pa.ListArray.from_arrays(ends, pa.array(n.astype(np.int32)))], names=["bucket", "keys", "n"])
+                [pa.array(bucket[cut].astype(np.int32)), pa.array(np.full(len(cut), chunk)), pa.ListArray.from_arrays(ends, pa.array(keys.view(np.int64))),
+                 pa.ListArray.from_arrays(ends, pa.array(n.astype(np.int32)))], names=["bucket", "chunk", "keys", "n"])
+    return run
+
+
+def _text_task():
+    """The chunks themselves, each packed as one compressed value."""
+    def run(batches):
+        import pyarrow as pa
+        for chunk, (part, _, _, _) in numbered_chunks(batches):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(part)
+            yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([-1], pa.int32()), pa.array([0]), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                                             names=["chunk", "bucket", "check", "data"])
     return run
 
 
@@ -149,21 +181,37 @@ def bit_positions(keys, level: int, region: int):
     return [((x >> np.uint64(32 * i)) & np.uint64(0xFFFFFFFF)) * np.uint64(region) >> np.uint64(32) for i in range(PROBES)]
 
 
-def _region_task(region: int):
-    def run(pdf):
+def _region_task():
+    """Fill a bucket's region, then send every chunk the levels that its n-grams have there."""
+    def run(table):
         import numpy as np
-        import pandas as pd
-        keys = np.concatenate(pdf["keys"].to_list()).view(np.uint64)
-        keys, where = np.unique(keys, return_inverse=True)
-        level = 1 + np.log2(np.bincount(where, np.concatenate(pdf["n"].to_list()))).astype(int)
-        bits = np.zeros(region, bool)
-        for j in range(1, int(level.max()) + 1):
-            for p in bit_positions(keys[level >= j], j, region):
-                bits[p.astype(np.int64)] = True
-        return pd.DataFrame({"bucket": [int(pdf["bucket"].iloc[0])], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+        import pyarrow as pa
+        lists = table.column("keys").combine_chunks()
+        ends = np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
+        sent = lists.flatten().to_numpy().view(np.uint64)
+        keys, where = np.unique(sent, return_inverse=True)
+        n = np.bincount(where, table.column("n").combine_chunks().flatten().to_numpy(), len(keys))
+        level = fill_region(keys, n).levels(keys).astype(np.uint8)[where]
+        with np.errstate(over="ignore"):
+            check = np.add.reduceat(sent, ends[:-1]).view(np.int64)
+        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "check": pa.array(check),
+                         "data": pa.array([level[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())})
     return run
 
 
+def fill_region(keys, n) -> Filter:
+    """The filter of one bucket: its size follows the levels of its n-grams that occur in training documents."""
+    import numpy as np
+    some = n > 0
+    keys, level = keys[some], 1 + np.log2(n[some]).astype(int)
+    region = max(64, math.ceil(int(level.sum()) * BITS_PER_PAIR / 8) * 8)
+    bits = np.zeros(region, bool)
+    for j in range(1, int(level.max(initial=0)) + 1):
+        for p in bit_positions(keys[level >= j], j, region):
+            bits[p.astype(np.int64)] = True
+    return Filter(np.packbits(bits, bitorder="little").tobytes(), 1, region)
+
+
 class Filter:
     """Levels of n-grams by membership probes."""
 
@@ -195,88 +243,121 @@ def expected_count(level):
     return np.where(level > 0, (2.0 ** (level - 1) + 2.0 ** level - 1) / 2, 0.0)
 
 
-def _order_terms(flt: Filter, vocab, codes, doc, order: int, n: float, v: float, left_out: bool):
-    """Unigram probability of every token, and (ratio, context level) of each higher order."""
+def level_tuples(levels, doc):
+    """One number for each token: the level of its word, then for each higher order the levels of the n-gram and of
+    its context (the n-gram of the order below that ended one token earlier; 0 at a document's start), 6 bits each."""
+    import numpy as np
+    first = np.concatenate([[True], doc[1:] != doc[:-1]])
+    out = levels[0].astype(np.int64)
+    for k in range(1, len(levels)):
+        ctx = np.concatenate([[0], levels[k - 1][:-1]]).astype(np.int64)
+        ctx[first] = 0
+        out = (out << 12) + (levels[k].astype(np.int64) << 6) + ctx
+    return out
+
+
+def order_terms(combos, order: int, n: float, v: float, left_out: bool):
+    """Unigram probability of every combination of levels, and (ratio, context level) of each higher order."""
     import numpy as np
-    h = word_hashes(vocab)
-    grams = ngram_hashes(h[codes], doc, order)
-    word_level = flt.levels(ngram_hashes(h, np.arange(len(h)), 1)[0])  # once per distinct word
     less = 1.0 if left_out else 0.0
-    below = expected_count(word_level)[codes]
-    uni = (np.maximum(below - less, 0) + 1) / (n + v + 1)
-    terms, ctx_level = [], word_level[codes]
+    uni = (np.maximum(expected_count(combos >> 12 * (order - 1)) - less, 0) + 1) / (n + v + 1)
+    terms = []
     for k in range(1, order):
-        level = flt.levels(grams[k])
-        # level of the context: the (k)-gram that ended one token earlier; at a document's start the start symbol
-        ctx = np.concatenate([[0], ctx_level[:-1]])
-        first = np.concatenate([[True], doc[1:] != doc[:-1]])
-        ctx[first] = 0
+        pair = combos >> 12 * (order - 1 - k)
+        level, ctx = pair >> 6 & 63, pair & 63
         ctx_n = np.maximum(expected_count(ctx) - less, 0)
         joint = np.minimum(np.maximum(expected_count(level) - less, 0), ctx_n)
         terms.append((np.divide(joint, ctx_n, out=np.zeros(len(joint)), where=ctx_n > 0), np.where(ctx_n > 0, ctx, 0)))
-        ctx_level = level
     return uni, terms
 
 
-def _tuning_task(filter_data, buckets, region, order, n, v):
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-        flt = Filter(filter_data.value, buckets, region)
-        parts = [_order_terms(flt, vocab, codes, doc, order, n, v, True) for _, vocab, codes, doc in token_chunks(batches)]
-        weights = np.full((order, MAX_LEVEL + 1), 0.2)
+def fit_weights(combos, times, order: int, n: float, v: float):
+    """Interpolation weights by EM from the number of training tokens with each combination of levels."""
+    import numpy as np
+    uni, terms = order_terms(combos, order, n, v, True)
+    weights = np.full((order, MAX_LEVEL + 1), 0.2)
+    weights[:, 0] = 0.0
+    for _ in range(TUNING_ROUNDS):
+        got, seen = np.zeros_like(weights), np.zeros_like(weights)
+        p = uni
+        for k, (ratio, ctx) in enumerate(terms, 1):
+            w = weights[k][ctx]
+            share = w * ratio
+            whole = share + (1 - w) * p
+            got[k] = np.bincount(ctx, times * share / whole, MAX_LEVEL + 1)
+            seen[k] = np.bincount(ctx, times, MAX_LEVEL + 1)
+            p = whole
+        weights = (got + 0.02) / (seen + 1.0)
         weights[:, 0] = 0.0
-        for _ in range(TUNING_ROUNDS):
-            got, seen = np.zeros_like(weights), np.zeros_like(weights)
-            for uni, terms in parts:
-                p = uni
-                for k, (ratio, ctx) in enumerate(terms, 1):
-                    w = weights[k][ctx]
-                    share = w * ratio
-                    whole = share + (1 - w) * p
-                    got[k] += np.bincount(ctx, share / whole, MAX_LEVEL + 1)
-                    seen[k] += np.bincount(ctx, minlength=MAX_LEVEL + 1)
-                    p = whole
-            weights = (got + 0.02) / (seen + 1.0)
-            weights[:, 0] = 0.0
-        yield pa.RecordBatch.from_arrays([pa.array([weights.ravel().tolist()])], names=["weights"])
-    return run
+    return weights
 
 
-def _score_task(filter_data, head_data, buckets, region, order, n, v, weights):
-    def run(batches):
+def log_probabilities(combos, weights, order: int, n: float, v: float):
+    import numpy as np
+    p, terms = order_terms(combos, order, n, v, False)
+    for k, (ratio, ctx) in enumerate(terms, 1):
+        w = weights[k][ctx]
+        p = w * ratio + (1 - w) * p
+    return np.log10(p)
+
+
+def _chunk_task(head_data, order, n, v):
+    """A chunk's texts and levels -> base score and combinations of levels of its documents."""
+    def run(table):
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
-        from pyspark import TaskContext
 
-        flt = Filter(filter_data.value, buckets, region)
         tokens, counts = head_data.value
         tokens, counts = pa.array(tokens, pa.large_string()), np.asarray(counts, np.int64)
-        table = np.asarray(weights).reshape(order, MAX_LEVEL + 1)
-        pid, seen = TaskContext.get().partitionId(), 0
-        for part, vocab, codes, doc in token_chunks(batches):
-            m = len(part)
-            p, terms = _order_terms(flt, vocab, codes, doc, order, n, v, False)
-            for k, (ratio, ctx) in enumerate(terms, 1):
-                w = table[k][ctx]
-                p = w * ratio + (1 - w) * p
-            found = pc.index_in(vocab.cast(pa.large_string()), value_set=tokens)
-            spot = np.asarray(pc.fill_null(found, -1))
-            c = np.where(spot >= 0, counts[spot] if len(counts) else 0, 0)
-            common = (spot >= 0)[codes]
-            base = np.where(common, np.log10((c[codes] + 1.0) / (n + v + 1.0)), 0.0)
-            pair = np.unique(doc[~common] * len(vocab) + codes[~common], return_counts=True)
-            rare_doc, rare_code = pair[0] // len(vocab), pair[0] % len(vocab)
-            ends = pa.array(np.searchsorted(rare_doc, np.arange(m + 1)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([
-                part.column(part.schema.get_field_index("doc_id")), part.column(part.schema.get_field_index("held_out")),
-                pa.array((np.int64(pid) << 33) + seen + np.arange(m)), pa.array(np.bincount(doc, minlength=m).astype(np.int64)),
-                pa.array(np.bincount(doc, common, m).astype(np.int64)), pa.array(np.bincount(doc, base, m)), pa.array(np.bincount(doc, np.log10(p), m)),
-                pa.ListArray.from_arrays(ends, vocab.take(pa.array(rare_code)).cast(pa.string())),
-                pa.ListArray.from_arrays(ends, pa.array(pair[1].astype(np.int64)))],
-                names=["doc_id", "held_out", "rid", "n_tokens", "known_head", "base_head", "score", "rare", "times"])
-            seen += m
+        table = table.sort_by("bucket")  # the texts have bucket -1
+        chunk, data = table.column("chunk")[0].as_py(), table.column("data")
+        if table.column("bucket")[0].as_py() != -1:
+            raise ValueError("docs gave other rows in the second scan")
+        # read back, the chunk is cut as before
+        (part, vocab, codes, doc), = token_chunks(pa.ipc.open_stream(data[0].as_py()))
+        m = len(part)
+        keys, where = np.unique(np.concatenate(ngram_hashes(word_hashes(vocab)[codes], doc, order)), return_inverse=True)
+        size = [len(x) for x in data[1:].to_pylist()]
+        with np.errstate(over="ignore"):
+            same = sum(size) == len(keys) and (np.add.reduceat(keys, np.append(0, np.cumsum(size))[:-1]).view(np.int64)
+                                               == table.column("check")[1:].to_numpy()).all()
+        if not same:
+            raise ValueError("docs gave other rows in the second scan")
+        level = np.frombuffer(b"".join(data[1:].to_pylist()), np.uint8)[where].reshape(order, -1)
+        kinds, kind = np.unique(level_tuples(level, doc), return_inverse=True)
+        combo = np.unique(doc * len(kinds) + kind, return_counts=True)
+        combo_ends = pa.array(np.searchsorted(combo[0] // len(kinds), np.arange(m + 1)).astype(np.int32))
+        found = pc.index_in(vocab.cast(pa.large_string()), value_set=tokens)
+        spot = np.asarray(pc.fill_null(found, -1))
+        c = np.where(spot >= 0, counts[spot] if len(counts) else 0, 0)
+        common = (spot >= 0)[codes]
+        base = np.where(common, np.log10((c[codes] + 1.0) / (n + v + 1.0)), 0.0)
+        pair = np.unique(doc[~common] * len(vocab) + codes[~common], return_counts=True)
+        rare_doc, rare_code = pair[0] // len(vocab), pair[0] % len(vocab)
+        ends = pa.array(np.searchsorted(rare_doc, np.arange(m + 1)).astype(np.int32))
+        return pa.Table.from_arrays([
+            part.column(part.schema.get_field_index("doc_id")), part.column(part.schema.get_field_index("held_out")),
+            pa.array((np.int64(chunk) << 20) + np.arange(m)), pa.array(np.bincount(doc, minlength=m).astype(np.int64)),
+            pa.array(np.bincount(doc, common, m).astype(np.int64)), pa.array(np.bincount(doc, base, m)),
+            pa.ListArray.from_arrays(combo_ends, pa.array(kinds[combo[0] % len(kinds)])), pa.ListArray.from_arrays(combo_ends, pa.array(combo[1].astype(np.int32))),
+            pa.ListArray.from_arrays(ends, vocab.take(pa.array(rare_code)).cast(pa.string())),
+            pa.ListArray.from_arrays(ends, pa.array(pair[1].astype(np.int64)))],
+            names=["doc_id", "held_out", "rid", "n_tokens", "known_head", "base_head", "combos", "combo_times", "rare", "times"])
+    return run
+
+
+def _score_task(combos, log_p):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            lists, times = (batch.column(batch.schema.get_field_index(c)) for c in ("combos", "combo_times"))
+            doc = np.repeat(np.arange(len(batch)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            each = log_p[np.searchsorted(combos, lists.flatten().to_numpy(zero_copy_only=False))] * times.flatten().to_numpy(zero_copy_only=False)
+            kept = [c for c in batch.schema.names if c not in ("combos", "combo_times")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), pa.array(np.bincount(doc, each, len(batch)))],
+                                             names=[*kept, "score"])
     return run
 
 
@@ -298,41 +379,44 @@ def _head(unigrams: DataFrame, limit: int) -> tuple[list[str], list[int]]:
     return rows["token"].tolist(), rows["n"].tolist()
 
 
-def score_documents(docs: DataFrame, order: int = ORDER, max_bits: int = MAX_BITS, head: int = HEAD) -> DataFrame:
+def score_documents(docs: DataFrame, order: int = ORDER, head: int = HEAD) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
+    import numpy as np
+
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), held_out().alias("held_out"))
     train = docs.where("NOT held_out").select("doc_id", "text")
     unigrams = materialize(train.mapInArrow(_unigram_task(), "token string, n long").groupBy("token").agg(F.sum("n").alias("n")), "lm-unigrams")
     size = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(size["n"]), int(size["v"])
-
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(parts, math.ceil(n * order / BUCKET_TOKENS))
-    region = max(64, min(max_bits, max(1 << 16, n * order * BITS_PER_NGRAM)) // buckets // 8 * 8)
-    grams = train.mapInArrow(_ngram_task(order, buckets), "bucket int, keys array<long>, n array<int>")
-    regions = grams.groupBy("bucket").applyInPandas(_region_task(region), "bucket int, bits binary")
-    data = bytearray(buckets * region // 8)
-    for r in regions.toLocalIterator():  # max_bits / 8 bytes in all
-        data[r["bucket"] * region // 8:(r["bucket"] + 1) * region // 8] = r["bits"]
-    filter_data = spark.sparkContext.broadcast(bytes(data))
-    del data
     head_data = spark.sparkContext.broadcast(_head(unigrams, head))
 
-    n_train = max(1, train.count())
-    sample = train.where(unit_hash("tuning", F.col("doc_id")) < min(1.0, TUNING_DOCS / n_train))
-    fitted = sample.coalesce(1).mapInArrow(_tuning_task(filter_data, buckets, region, order, n, v), "weights array<double>").collect()
-    weights = list(fitted[0]["weights"]) if fitted else [0.0] * (order * (MAX_LEVEL + 1))
-
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tokens = int(docs.agg(F.sum(F.floor(F.coalesce(F.octet_length("text"), F.lit(0)) / 5) + 1)).first()[0] or 0)  # about, held-out ones too
+    buckets = max(parts, math.ceil(tokens * order / BUCKET_TOKENS))
+    grams = docs.mapInArrow(_ngram_task(order, buckets), "bucket int, chunk long, keys array<long>, n array<int>")
+    row = "chunk long, bucket int, check long, data binary"
+    levels = grams.groupBy("bucket").applyInArrow(_region_task(), row)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    scored = materialize(docs.mapInArrow(
-        _score_task(filter_data, head_data, buckets, region, order, n, v, weights),
-        f"doc_id {id_type}, held_out boolean, rid long, n_tokens long, known_head long, base_head double, score double, rare array<string>, times array<long>"),
-        "lm-scored")
+    scored = materialize(docs.mapInArrow(_text_task(), row).union(levels).groupBy("chunk").applyInArrow(
+        _chunk_task(head_data, order, n, v),
+        f"doc_id {id_type}, held_out boolean, rid long, n_tokens long, known_head long, base_head double, "
+        "combos array<long>, combo_times array<int>, rare array<string>, times array<long>"), "lm-scored")
+
+    # a row for each combination of levels: their number is bounded by the levels, not by the corpus
+    sampled = ~F.col("held_out") & (unit_hash("tuning", F.col("doc_id")) < min(1.0, TUNING_DOCS / max(1, train.count())))
+    occurs = scored.select(sampled.alias("sampled"), F.explode(F.arrays_zip("combos", "combo_times")).alias("x")).groupBy(F.col("x.combos").alias("combo")).agg(
+        F.sum(F.when(F.col("sampled"), F.col("x.combo_times")).otherwise(0)).alias("train")).toPandas().sort_values("combo")
+    combos, times = occurs["combo"].to_numpy(np.int64), occurs["train"].to_numpy(float)
+    weights = fit_weights(combos, times, order, n, v)
+    log_p = log_probabilities(combos, weights, order, n, v)
+
+    result = scored.drop("rare", "times").mapInArrow(
+        _score_task(combos, log_p), f"doc_id {id_type}, held_out boolean, rid long, n_tokens long, known_head long, base_head double, score double")
     rare = scored.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("rid", F.col("x.rare").alias("token"), F.col("x.times").alias("times"))
     known = rare.join(unigrams, "token", "left").groupBy("rid").agg(
         F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + F.lit(1.0)) / F.lit(n + v + 1.0))).alias("base_rare"),
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known_rare"))
-    return scored.drop("rare", "times").join(known, "rid", "left").select(
+    return result.join(known, "rid", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known_head") + F.coalesce("known_rare", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"), (F.col("base_head") + F.coalesce("base_rare", F.lit(0.0))).alias("base_score"), "score")
