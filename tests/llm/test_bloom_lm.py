@@ -78,3 +78,44 @@ def test_false_hits_do_not_grow_with_the_ngrams():
         assert (got >= np.where(n > 0, 1 + np.log2(np.maximum(n, 1)).astype(int), 0)).all()
         assert (got[n == 0] > 0).mean() < 0.05
     assert not hasattr(bloom_lm, "MAX_BITS")
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_scores_and_weights_from_all_training_documents(spark, order, monkeypatch):
+    """EM and scores, token by token over every document, with levels from exact counts (more bits: no false hits)."""
+    monkeypatch.setattr(bloom_lm, "BITS_PER_PAIR", 4096)
+    rng = np.random.default_rng(5)
+    docs = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.4, 12) % 60)) for i in range(900)]
+    held = [zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in docs]
+    grams = [[[tuple((["<s>"] * k + tokens(x))[j:j + k + 1]) for j in range(len(tokens(x)))] for k in range(order)] for _, x in docs]
+    count = collections.Counter(g for h, d in zip(held, grams) if not h for row in d for g in row)
+    level = lambda g: count[g].bit_length()
+    middle = lambda q: (2.0 ** (q - 1) + 2.0 ** q - 1) / 2 if q else 0.0
+    n = sum(len(d[0]) for h, d in zip(held, grams) if not h)
+    v = len({g for g in count if len(g) == 1})
+
+    def probability(d, j, w, less, stats=None):
+        p = (max(middle(level(d[0][j])) - less, 0) + 1) / (n + v + 1)
+        for k in range(1, order):
+            q = level(d[k - 1][j - 1]) if j else 0
+            below = max(middle(q) - less, 0)
+            q = q if below > 0 else 0
+            share = w[k][q] * (min(max(middle(level(d[k][j])) - less, 0), below) / below if below else 0.0)
+            whole = share + (1 - w[k][q]) * p
+            if stats is not None:
+                stats[k, q, 0] += share / whole
+                stats[k, q, 1] += 1
+            p = whole
+        return p
+
+    w = [[0.0] + [0.2] * 40 for _ in range(order)]
+    for _ in range(bloom_lm.TUNING_ROUNDS):
+        stats = collections.Counter()
+        for h, d in zip(held, grams):
+            for j in range(len(d[0]) if not h else 0):
+                probability(d, j, w, 1.0, stats)
+        w = [[0.0] + [(stats[k, q, 0] + 0.02) / (stats[k, q, 1] + 1.0) for q in range(1, 41)] for k in range(order)]
+    want = {doc: sum(math.log10(probability(d, j, w, 0.0)) for j in range(len(d[0]))) for (doc, _), d in zip(docs, grams)}
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in bloom_lm.score_documents(df, order=order).collect()}
+    assert got.keys() == want.keys() and np.allclose([got[i] for i in want], list(want.values()), rtol=1e-6)

@@ -4,8 +4,8 @@ N-gram counts are quantised to levels 1 + floor(log2 count).  The filter holds,
 for an n-gram of level q, the pairs (n-gram, 1) ... (n-gram, q); probing levels
 1, 2, ... until the first miss recovers the level, hence the count up to
 quantisation.  Probabilities interpolate the orders (Jelinek-Mercer), with a
-weight per level of the context, fitted by EM with one occurrence left out on a
-bounded sample of training documents.
+weight per level of the context, fitted by EM with one occurrence left out on all
+training documents.
 
 The filter is partitioned: an n-gram's hash names a bucket, all its bits lie in
 the bucket's region, and a region has `BITS_PER_PAIR` bits for every pair that is
@@ -19,7 +19,7 @@ and position, so `docs` has to give the same rows in each scan; a checksum of ea
 bucket's n-grams is compared, and a difference is an error.
 
 A token's probability depends on its levels alone.  Documents keep how often each
-combination of levels occurs in them; the sums over the sampled documents (one
+combination of levels occurs in them; the sums over the training documents (one
 row for each combination) are all that EM needs, and a score is a sum over a
 document's combinations.
 
@@ -40,7 +40,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonefare.llm.common import materialize, unit_hash, unsliced
+from zonefare.llm.common import materialize, unsliced
 from zonefare.llm.probminhash import mix
 
 ORDER = 2
@@ -48,8 +48,6 @@ ORDER = 2
 BITS_PER_PAIR = 16
 PROBES = 2
 HEAD = 1 << 18
-#: Documents of the sample on which interpolation weights are fitted (expected number).
-TUNING_DOCS = 400
 TUNING_ROUNDS = 8
 BUCKET_TOKENS = 4_000_000
 CHUNK_TOKENS = 500_000
@@ -404,9 +402,8 @@ def score_documents(docs: DataFrame, order: int = ORDER, head: int = HEAD) -> Da
         "combos array<long>, combo_times array<int>, rare array<string>, times array<long>"), "lm-scored")
 
     # a row for each combination of levels: their number is bounded by the levels, not by the corpus
-    sampled = ~F.col("held_out") & (unit_hash("tuning", F.col("doc_id")) < min(1.0, TUNING_DOCS / max(1, train.count())))
-    occurs = scored.select(sampled.alias("sampled"), F.explode(F.arrays_zip("combos", "combo_times")).alias("x")).groupBy(F.col("x.combos").alias("combo")).agg(
-        F.sum(F.when(F.col("sampled"), F.col("x.combo_times")).otherwise(0)).alias("train")).toPandas().sort_values("combo")
+    occurs = scored.select("held_out", F.explode(F.arrays_zip("combos", "combo_times")).alias("x")).groupBy(F.col("x.combos").alias("combo")).agg(
+        F.sum(F.when(~F.col("held_out"), F.col("x.combo_times")).otherwise(0)).alias("train")).toPandas().sort_values("combo")
     combos, times = occurs["combo"].to_numpy(np.int64), occurs["train"].to_numpy(float)
     weights = fit_weights(combos, times, order, n, v)
     log_p = log_probabilities(combos, weights, order, n, v)
