@@ -458,11 +458,13 @@ def _run_dir(spark, name: str) -> str:
 
 
 def _events_stream(spark, sf_dir, extra=()):
-    """The events table as a stream: one file, or a folder of part files."""
+    """The events table as a stream: one file, or a folder of part files.  A replay
+    takes the table as one batch: part files are in no order of event time, and
+    with a file per batch the watermark would drop the rows behind it."""
     table = table_path(sf_dir, "events")
     if is_folder(spark, table):
-        return ride_stream(spark, table, extra=extra)
-    return ride_stream(spark, sf_dir, glob="events.parquet", extra=extra)
+        return ride_stream(spark, table, max_files_per_trigger=None, extra=extra)
+    return ride_stream(spark, sf_dir, max_files_per_trigger=None, glob="events.parquet", extra=extra)
 
 
 def _surge_stream_root(spark, sf_dir) -> str:
@@ -481,6 +483,9 @@ def _sink_and_read(spark, df, name, mode="append"):
          .option("checkpointLocation", f"{root}/_checkpoint").option("path", f"{root}/out")
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    late = sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in p.get("stateOperators", []))
+    if late:
+        raise ValueError(f"{name}: {late} rows dropped as late")
     return spark.read.parquet(f"{root}/out")
 
 

@@ -41,23 +41,26 @@ def decode_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
             .withColumn("event_time", F.timestamp_millis(F.col("timestamp_ms"))))
 
 
-def event_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1,
+def event_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1,
                       glob: str | None = None) -> DataFrame:
     """The driver's `events` Parquet files as a stream (schema declared from
-    the files once, never inferred per batch)."""
+    the files once, never inferred per batch).  Without a cap on the files per
+    trigger an availableNow run takes all files as one batch."""
     pin_utc(spark)
     reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     schema = reader.parquet(path).schema
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    s = spark.readStream.schema(schema)
+    if max_files_per_trigger is not None:
+        s = s.option("maxFilesPerTrigger", max_files_per_trigger)
     if glob:
         s = s.option("pathGlobFilter", glob)
     return s.parquet(path)
 
 
 def ride_stream(spark: SparkSession, path: str, cfg: PricingConfig = DEFAULT,
-                max_files_per_trigger: int = 1, glob: str | None = None,
+                max_files_per_trigger: int | None = 1, glob: str | None = None,
                 extra: tuple = ()) -> DataFrame:
     """Ride requests from an event file stream: projection + stream-static
     broadcast join with the (fixed-size) zone dimension."""
