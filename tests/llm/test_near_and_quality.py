@@ -180,3 +180,15 @@ def test_pipeline_stages(spark):
     pieces = P.STAGES[-1][1](spark, docs, SF001)
     total = sum({(r.doc_id, r.doc_tokens) for r in pieces.collect()} and [r.length for r in pieces.collect()])
     assert total == pieces.agg({"length": "sum"}).first()[0] > 0
+
+
+def test_repeated_lines_are_linked_by_plain_jaccard(spark):
+    """A body with a line once, 20 and 40 times: plain Jaccard above 0.8, probability Jaccard down to 0.36."""
+    rnd, rows = random.Random(11), []
+    for g in range(12):
+        body, line = ([f"g{g}{rnd.choice('abcdefgh')}{rnd.randint(0, 9999)}" for _ in range(n)] for n in (200, 10))
+        rows += [(100 * g + k, " ".join(body + line * k)) for k in (1, 20, 40)]
+    a, b, c = (bag(t) for _, t in rows[:3])
+    assert jaccards(a, b)[1] > 0.9 and jaccards(a, b)[0] < 0.6 and jaccards(a, c)[0] < 0.45
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.class_id for r in probminhash.classes(df).collect()} == brute_classes(rows) == {i: i // 100 * 100 + 1 for i, _ in rows}

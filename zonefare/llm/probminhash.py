@@ -7,6 +7,8 @@ weight to random registers; a register keeps the shingle that arrives first, and
 a shingle stops once its next point is later than every register's first one
 (early termination, which cannot change the result).  Two texts agree in a
 register with the probability Jaccard similarity of their weighted shingles.
+A second signature with all weights 1, in the same buckets, agrees with their
+plain Jaccard similarity; it is the first one where no shingle is repeated.
 
 Equal texts become one node first.  The registers are cut into bands; nodes that
 share a band are candidates.  Every pair that is linked passed the exact test:
@@ -181,9 +183,19 @@ def _sketch_task(columns: list[str], bands: int, rows: int):
                 n = np.bincount(doc, minlength=len(part))
                 total = np.bincount(doc, weight, minlength=len(part)).astype(np.int64)
                 keys = band_keys(signatures(doc, element, weight, len(part), bands * rows), bands, rows)
-                has = n > 0
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum(has * bands)]).astype(np.int32)), pa.array(keys[has].ravel()))
+                # again with weight 1: plain Jaccard; the same bands where no shingle is repeated
+                again = np.flatnonzero(total > n)
+                use = (total > n)[doc]
+                plain = band_keys(signatures(np.searchsorted(again, doc[use]), element[use], np.ones(use.sum()), len(again), bands * rows), bands, rows)
+                size = (n > 0) * bands
+                size[again] += (plain != keys[again]).sum(axis=1)
+                ends = np.concatenate([[0], np.cumsum(size)])
+                both = np.concatenate([keys, np.zeros_like(keys)], axis=1)
+                both[again, bands:] = plain
+                kept = np.zeros(both.shape, bool)
+                kept[n > 0, :bands] = True
+                kept[again, bands:] = plain != keys[again]
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(both[kept]))
                 ids = pa.array((np.int64(pid) << 33) + seen + np.arange(len(part)))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids, pa.array(n.astype(np.int64)), pa.array(total), lists],
                                                  names=[*columns, "__rid", "__n", "__total", "__bands"])
