@@ -51,3 +51,22 @@ def test_fallback_without_a_model(spark, frame, tmp_path):
     got = M.predict_or_fallback(M.load_or_none(spark, str(tmp_path / "m")), feats)
     r = got.agg({"ml_prediction": "min", "ml_confidence": "min"}).first()
     assert got.count() == feats.count() and r[0] is not None and got.filter("NOT ml_available").count() == 0
+
+
+def test_registered_queries_train_with_the_configs_defaults(spark, monkeypatch):
+    from conftest import SF01
+    from zonefare.config import DEFAULT
+    from zonefare.plans import queries as Q
+    trees, pipeline = [], M.build_pipeline
+
+    def build(cfg=DEFAULT, max_iter=None):
+        p = pipeline(cfg, max_iter)
+        trees.append(p.getStages()[-1].getMaxIter())
+        return pipeline(cfg, 1)
+
+    monkeypatch.setattr(M, "build_pipeline", build)
+    monkeypatch.setattr(Q, "_MODELS", {})
+    with pytest.raises(ValueError, match="training rows"):  # the guard is on
+        Q._trained(spark, SF001)
+    assert Q._trained(spark, SF01)[0].train_rows >= DEFAULT.training_min_samples
+    assert trees == [DEFAULT.gbt_max_iter] == [200]

@@ -534,7 +534,6 @@ def q_stream_event_state(spark, sf_dir):
 # Spark ML
 # ---------------------------------------------------------------------------
 
-QUERY_GBT_ITERATIONS = 20  # the documented default (200) is PricingConfig.gbt_max_iter
 _MODELS: dict = {}
 
 
@@ -542,9 +541,7 @@ def _trained(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         frame = M.to_training_frame(_features(spark, sf_dir), S.label_column())
-        # registered queries run at every scale: train anyway and flag the
-        # minimum (library callers of M.train get the raising guard)
-        t = M.train(frame, max_iter=QUERY_GBT_ITERATIONS, min_rows=0)
+        t = M.train(frame)  # the config's 200 trees and least number of rows
         path = _run_dir(spark, "model")
         M.save(t.model, path)
         _MODELS[key] = (t, path)
