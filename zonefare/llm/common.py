@@ -18,22 +18,49 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/zonefare-llm/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back.
+#: Folders that `stored_table` wrote and nobody freed yet, by application.
+_TABLES: dict[str, list[str]] = {}
+
+
+def stored_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write a table to the shared folder; the table read back, and its folder.
 
     Cuts the lineage (a lost executor costs a re-read, not a recomputation) and
     gives the optimiser the true size, so that a later join is broadcast only
     if the table is under the session's threshold.
     """
-    path = shared_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = shared_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    return stored_table(df, name)[0]
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a superseded table of this package from the shared folder."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    mine = _TABLES.get(spark.sparkContext.applicationId, [])
+    if path in mine:
+        mine.remove(path)
+
+
+def stored_tables(spark: SparkSession) -> list[str]:
+    """Folders of this application's inner tables that are still there."""
+    return list(_TABLES.get(spark.sparkContext.applicationId, []))
+
+
+def free_tables(spark: SparkSession, paths: list[str], *still_read: DataFrame) -> None:
+    """Delete those of the folders that none of the given tables reads."""
+    files = [f for df in still_read for f in df.inputFiles()]
+    for path in paths:
+        name = path.rsplit("/", 1)[-1]
+        if not any(f"/{name}/" in f for f in files):
+            delete_path(spark, path)
 
 
 def text_or_empty(text: str = "text") -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonefare.llm import (bloom_lm, dual_tree, mixing, packing, pii, prefix_tokens, probminhash, quality_mcd, site_quality,
+from zonefare.llm import (bloom_lm, dual_tree, hilbert, mixing, packing, pii, prefix_tokens, probminhash, quality_mcd, site_quality,
                           toxicity_chain)
 from zonefare.llm.common import read_documents
 
@@ -68,6 +68,11 @@ def op10_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_documents(spark, sf_dir))
 
 
+def op11_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and place of every document along the Hilbert curve."""
+    return hilbert.shard_documents(read_documents(spark, sf_dir))
+
+
 _WEIGHTS_SQL = ", ".join(f"('{k}', {v})" for k, v in mixing.TARGET_WEIGHTS.items())
 
 OP1_SQL = f"""
@@ -110,9 +115,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_probminhash_classes": op8_probminhash_classes,
     "op9_site_bayes_quality": op9_site_bayes_quality,
     "op10_mixture_packing": op10_mixture_packing,
+    "op11_hilbert_shards": op11_hilbert_shards,
 }
 ORACLE: dict[str, str] = {
     "op1_poisson_mixing": OP1_SQL,
     "op2_robust_quality": quality_mcd.oracle_sql(),
     "op7_dual_tree_top_k": dual_tree.ORACLE_SQL,
+    "op11_hilbert_shards": hilbert.oracle_sql(),
 }
