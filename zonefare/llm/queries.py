@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonefare.llm import (bloom_lm, dual_tree, hilbert, mixing, packing, pii, prefix_tokens, probminhash, quality_mcd, site_quality,
-                          toxicity_chain)
+from zonefare.llm import (bloom_lm, dual_tree, hard_negatives, hilbert, mixing, packing, pii, prefix_tokens, probminhash, quality_mcd, site_quality,
+                          spelling, toxicity_chain)
 from zonefare.llm.common import read_documents
 
 
@@ -73,6 +73,16 @@ def op11_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shard_documents(read_documents(spark, sf_dir))
 
 
+def op12_reduced_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word that occurs often enough."""
+    return spelling.group_variants(read_documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op13_l2ap_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector."""
+    return hard_negatives.query(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 _WEIGHTS_SQL = ", ".join(f"('{k}', {v})" for k, v in mixing.TARGET_WEIGHTS.items())
 
 OP1_SQL = f"""
@@ -116,10 +126,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_site_bayes_quality": op9_site_bayes_quality,
     "op10_mixture_packing": op10_mixture_packing,
     "op11_hilbert_shards": op11_hilbert_shards,
+    "op12_reduced_spelling": op12_reduced_spelling,
+    "op13_l2ap_hard_negatives": op13_l2ap_hard_negatives,
 }
 ORACLE: dict[str, str] = {
     "op1_poisson_mixing": OP1_SQL,
     "op2_robust_quality": quality_mcd.oracle_sql(),
     "op7_dual_tree_top_k": dual_tree.ORACLE_SQL,
     "op11_hilbert_shards": hilbert.oracle_sql(),
+    "op12_reduced_spelling": spelling.ORACLE_SQL,
+    "op13_l2ap_hard_negatives": hard_negatives.ORACLE_SQL,
 }
