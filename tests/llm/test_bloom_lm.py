@@ -119,3 +119,25 @@ def test_scores_and_weights_from_all_training_documents(spark, order, monkeypatc
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     got = {r.doc_id: r.score for r in bloom_lm.score_documents(df, order=order).collect()}
     assert got.keys() == want.keys() and np.allclose([got[i] for i in want], list(want.values()), rtol=1e-6)
+
+
+def test_broadcast_filter_alone_gives_the_levels(spark, monkeypatch):
+    """The stored regions, probed group by group, give the levels of the exact counts; the number of passes changes nothing."""
+    monkeypatch.setattr(bloom_lm, "BITS_PER_PAIR", 4096)
+    rng = np.random.default_rng(8)
+    docs = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.3, 40) % 300)) for i in range(300)] + [(None, None), (900, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    seen = []
+    groups = bloom_lm.region_groups
+    monkeypatch.setattr(bloom_lm, "region_groups", lambda sizes, limit: seen.append(groups(sizes, limit)) or seen[-1])
+    one = {r.doc_id: r.score for r in bloom_lm.score_documents(df).collect()}
+    many = {r.doc_id: r.score for r in bloom_lm.score_documents(df, group_bytes=200_000).collect()}
+    assert len(seen[0]) == 1 and len(seen[1]) > 3
+    assert one.keys() == many.keys() and np.allclose([one[i] for i in one], [many[i] for i in one], rtol=1e-12)
+
+
+def test_region_groups_and_packed_keys():
+    assert bloom_lm.region_groups([(i, 800) for i in range(5)], 250) == [(0, 1), (2, 3), (4, 4)]
+    assert bloom_lm.region_groups([(3, 8_000_000)], 1) == [(3, 3)] and bloom_lm.region_groups([], 1) == [(0, -1)]
+    keys = np.random.default_rng(1).integers(0, 1 << 63, 999).astype(np.uint64) * np.uint64(2) & np.uint64(bloom_lm.KEY_MASK)
+    assert (bloom_lm.unpacked(bloom_lm.packed(keys)) == keys).all()

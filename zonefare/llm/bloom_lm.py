@@ -7,16 +7,19 @@ quantisation.  Probabilities interpolate the orders (Jelinek-Mercer), with a
 weight per level of the context, fitted by EM with one occurrence left out on all
 training documents.
 
-The filter is partitioned: an n-gram's hash names a bucket, all its bits lie in
-the bucket's region, and a region has `BITS_PER_PAIR` bits for every pair that is
-put into it.  So the rate of false hits does not depend on the corpus;
-the number of buckets follows it, and a region exists in its bucket's task only.
-Documents are cut into chunks.  A chunk sends its distinct n-grams, training
-counts with them, to their buckets as packed arrays.  The bucket's task counts,
-quantises, sets the bits, probes every n-gram it was sent and sends one byte for
-each back to the chunk, which is joined with its texts.  Chunks are named by task
-and position, so `docs` has to give the same rows in each scan; a checksum of each
-bucket's n-grams is compared, and a difference is an error.
+The filter is a stored table of regions: an n-gram's hash names a bucket, all its bits
+lie in the bucket's region, and a region has `BITS_PER_PAIR` bits for every pair that is
+put into it.  So the rate of false hits does not depend on the corpus; the number of
+buckets follows it.  Regions are filled from counts alone: tasks add up the n-grams of
+their training documents, and a bucket's partial counts meet once.
+
+Scoring sees the filter and nothing else.  Texts are cut into chunks and kept as token
+streams (word hashes of the chunk, and a code per token), so they are split into words
+once.  Regions are broadcast in groups of at most `GROUP_BYTES`; a pass over the streams
+probes the n-grams of the group's buckets where they are and notes their levels beside
+the stream.  One group is one pass; neither texts nor scored n-grams are shuffled.  The
+filter takes 2 bytes an (n-gram, level) pair, so a larger corpus means more groups, of
+the same size each.
 
 A token's probability depends on its levels alone.  Documents keep how often each
 combination of levels occurs in them; the sums over the training documents (one
@@ -40,14 +43,20 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonefare.llm.common import materialize, unsliced
+from zonefare.llm.common import delete_path, materialize, stored_table, unsliced
 from zonefare.llm.probminhash import mix
 
 ORDER = 2
 #: Bits of a region for each (n-gram, level) it holds.
 BITS_PER_PAIR = 16
 PROBES = 2
+#: Frequent tokens that are broadcast with their counts: at most so many, and of at most so many bytes each.
 HEAD = 1 << 18
+HEAD_TOKEN_BYTES = 64
+#: Bytes of the filter that are broadcast at once.
+GROUP_BYTES = 96 << 20
+#: Distinct n-grams that a task adds up before it sends them on.
+COUNTED = 4_000_000
 TUNING_ROUNDS = 8
 BUCKET_TOKENS = 4_000_000
 CHUNK_TOKENS = 500_000
@@ -113,10 +122,27 @@ def ngram_hashes(h, doc, order: int):
                 same[k:] = doc[k:] == doc[:len(h) - k]
                 prev[~same] = np.uint64(0x51A7)
             acc = mix(prev + np.uint64(1)) if k == 0 else mix(acc * np.uint64(0x9E3779B97F4A7C15) + prev + np.uint64(k + 1))
-            out.append(acc)
+            out.append(acc & KEY_MASK)
     return out
 
 
+#: Keys keep 48 bits of a hash: with 10^9 n-grams two of them share a key once in 3 x 10^5, far under the false hits.
+KEY_MASK = 0xFFFFFFFFFFFF0000
+
+
+def packed(keys) -> bytes:
+    """The upper six bytes of every key."""
+    import numpy as np
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()
+
+
+def unpacked(data):
+    import numpy as np
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.reshape(-1).view("<u8").astype(np.uint64)
+
+
 def _unigram_task():
     def run(batches):
         import numpy as np
@@ -132,37 +158,151 @@ def numbered_chunks(batches):
     from pyspark import TaskContext
     pid = TaskContext.get().partitionId()
     for i, chunk in enumerate(token_chunks(batches)):
-        yield (pid << 24) + i, chunk
+        yield f"{pid}-{i}", chunk
 
 
-def _ngram_task(order: int, buckets: int):
-    """The distinct n-grams of each chunk with their counts in training documents, one row for each bucket."""
+def stream_schema(id_type: str) -> str:
+    """A chunk: its documents (id, split, tokens, exact parts of the base score) and its token stream."""
+    return (f"chunk string, ids array<{id_type}>, held array<boolean>, n_tokens array<long>, known_head array<long>, base_head array<double>, "
+            "rare array<array<string>>, times array<array<long>>, hashes binary, codes binary, levels binary")
+
+
+def _stream_task(head_data, n, v):
+    """Texts -> chunks of token streams, with the base score of the frequent tokens."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
+
+        tokens, counts = head_data.value
+        tokens, counts = pa.array(tokens, pa.large_string()), np.asarray(counts, np.int64)
         for chunk, (part, vocab, codes, doc) in numbered_chunks(batches):
-            keys, where = np.unique(np.concatenate(ngram_hashes(word_hashes(vocab)[codes], doc, order)), return_inverse=True)
-            train = ~np.asarray(part.column(part.schema.get_field_index("held_out")))
-            n = np.bincount(where, np.tile(train[doc], order), minlength=len(keys))
+            m = len(part)
+            spot = np.asarray(pc.fill_null(pc.index_in(vocab.cast(pa.large_string()), value_set=tokens), -1))
+            c = np.where(spot >= 0, counts[spot] if len(counts) else 0, 0)
+            common = (spot >= 0)[codes]
+            base = np.where(common, np.log10((c[codes] + 1.0) / (n + v + 1.0)), 0.0)
+            pair = np.unique(doc[~common] * len(vocab) + codes[~common], return_counts=True)
+            ends = pa.array(np.searchsorted(pair[0] // len(vocab), np.arange(m + 1)).astype(np.int32))
+            rare = pa.ListArray.from_arrays(ends, vocab.take(pa.array(pair[0] % len(vocab))).cast(pa.string()))
+            times = pa.ListArray.from_arrays(ends, pa.array(pair[1].astype(np.int64)))
+            # frequent words first: small codes pack well
+            order = np.argsort(-np.bincount(codes, minlength=len(vocab)), kind="stable")
+            place = np.empty(len(vocab), np.int64)
+            place[order] = np.arange(len(vocab))
+            all_ = pa.array([0, m], pa.int32())
+            one = lambda x: pa.ListArray.from_arrays(all_, x)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([chunk]), one(unsliced(part.column(part.schema.get_field_index("doc_id")))),
+                one(unsliced(part.column(part.schema.get_field_index("held_out")))),
+                one(pa.array(np.bincount(doc, minlength=m).astype(np.int64))),
+                one(pa.array(np.bincount(doc, common, m).astype(np.int64))), one(pa.array(np.bincount(doc, base, m))),
+                one(rare), one(times), pa.array([packed(word_hashes(vocab)[order] & np.uint64(KEY_MASK))], pa.binary()),
+                pa.array([place[codes].astype("<u4" if len(vocab) > 1 << 16 else "<u2").tobytes()], pa.binary()),
+                pa.array([b""], pa.binary())],
+                names=["chunk", "ids", "held", "n_tokens", "known_head", "base_head", "rare", "times", "hashes", "codes", "levels"])
+    return run
+
+
+def read_stream(hashes: bytes, codes: bytes, n_tokens):
+    """(word hash of every token, its document) of a chunk."""
+    import numpy as np
+    h = unpacked(hashes)
+    code = np.frombuffer(codes, "<u4" if len(h) > 1 << 16 else "<u2")
+    return h[code], np.repeat(np.arange(len(n_tokens)), n_tokens)
+
+
+def _count_task(order: int, buckets: int):
+    """Counts of the n-grams of a task's training documents, one row for each bucket at a time."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        held, n_held = [], 0
+
+        def merged():
+            keys = np.concatenate([k for k, _ in held])
+            keys, where = np.unique(keys, return_inverse=True)
+            return keys, np.bincount(where, np.concatenate([n for _, n in held]), len(keys)).astype(np.int64)
+
+        def send(keys, n):
             bucket = bucket_of(keys, buckets)
-            cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-            ends = pa.array(np.append(cut, len(keys)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[cut].astype(np.int32)), pa.array(np.full(len(cut), chunk)), pa.ListArray.from_arrays(ends, pa.array(keys.view(np.int64))),
-                 pa.ListArray.from_arrays(ends, pa.array(n.astype(np.int32)))], names=["bucket", "chunk", "keys", "n"])
+            cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(keys))
+            for a, b in zip(cut, cut[1:]):
+                yield pa.RecordBatch.from_arrays([pa.array([bucket[a]], pa.int32()), pa.array([packed(keys[a:b])], pa.binary()),
+                                                  pa.array([n[a:b].astype("<u4").tobytes()], pa.binary())], names=["bucket", "keys", "n"])
+
+        for batch in batches:
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in ("hashes", "codes", "n_tokens", "held")]
+            for hashes, codes, n_tokens, out in zip(*columns):
+                h, doc = read_stream(hashes.as_py(), codes.as_py(), np.asarray(n_tokens.as_py()))
+                train = ~np.asarray(out.as_py(), bool)[doc]
+                grams = np.concatenate([g[train] for g in ngram_hashes(h, doc, order)])
+                held.append(np.unique(grams, return_counts=True))
+                n_held += len(held[-1][0])
+                if n_held > 2 * COUNTED:
+                    held = [merged()]
+                    n_held = len(held[0][0])
+                    if n_held > COUNTED:
+                        yield from send(*held.pop())
+                        n_held = 0
+        if n_held:
+            yield from send(*merged())
     return run
 
 
-def _text_task():
-    """The chunks themselves, each packed as one compressed value."""
+def _region_task():
+    """The region of a bucket from its partial counts."""
+    def run(table):
+        import numpy as np
+        import pyarrow as pa
+        sent = np.concatenate([unpacked(k.as_py()) for k in table.column("keys")])
+        keys, where = np.unique(sent, return_inverse=True)
+        n = np.bincount(where, np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("n")]), len(keys))
+        flt = fill_region(keys, n)
+        return pa.table({"bucket": table.column("bucket")[:1], "size": pa.array([flt.region], pa.int64()),
+                         "bits": pa.array([flt.bytes.tobytes()], pa.binary())})
+    return run
+
+
+def _probe_task(regions, order: int, buckets: int, last: bool):
+    """Adds the levels of the n-grams of the broadcast regions; the last pass turns a chunk into rows of its documents."""
     def run(batches):
+        import numpy as np
         import pyarrow as pa
-        for chunk, (part, _, _, _) in numbered_chunks(batches):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                out.write_batch(part)
-            yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([-1], pa.int32()), pa.array([0]), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
-                                             names=["chunk", "bucket", "check", "data"])
+
+        filters = {b: Filter(bits, 1, size) for b, size, bits in regions.value}
+        for batch in batches:
+            for i in range(len(batch)):
+                row = batch.slice(i, 1)
+                field = lambda c: row.column(row.schema.get_field_index(c))
+                n_tokens = field("n_tokens").flatten().to_numpy(zero_copy_only=False)
+                h, doc = read_stream(field("hashes")[0].as_py(), field("codes")[0].as_py(), n_tokens)
+                keys, where = np.unique(np.concatenate(ngram_hashes(h, doc, order)), return_inverse=True)
+                known = np.zeros(len(keys), np.uint8)
+                bucket = bucket_of(keys, buckets)
+                cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(keys))
+                for a, b in zip(cut, cut[1:]):
+                    if (flt := filters.get(int(bucket[a]))) is not None:
+                        known[a:b] = flt.levels(keys[a:b])
+                level = known[where]
+                before = field("levels")[0].as_py()
+                if before:  # every n-gram is in one bucket, so in one pass
+                    level = level | np.frombuffer(before, np.uint8)
+                if not last:
+                    at = row.schema.get_field_index("levels")
+                    yield row.set_column(at, row.schema.field(at), pa.array([level.tobytes()], pa.binary()))
+                    continue
+                m, level = len(n_tokens), level.reshape(order, -1)
+                kinds, kind = np.unique(level_tuples(level, doc), return_inverse=True)
+                combo = np.unique(doc * len(kinds) + kind, return_counts=True)
+                ends = pa.array(np.searchsorted(combo[0] // max(1, len(kinds)), np.arange(m + 1)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([
+                    *(field(c).flatten() for c in ("ids", "held")), pa.array([field("chunk")[0].as_py()] * m, pa.string()), pa.array(np.arange(m)),
+                    *(field(c).flatten() for c in ("n_tokens", "known_head", "base_head")),
+                    pa.ListArray.from_arrays(ends, pa.array(kinds[combo[0] % max(1, len(kinds))])), pa.ListArray.from_arrays(ends, pa.array(combo[1].astype(np.int32))),
+                    *(field(c).flatten() for c in ("rare", "times"))],
+                    names=["doc_id", "held_out", "chunk", "row", "n_tokens", "known_head", "base_head", "combos", "combo_times", "rare", "times"])
     return run
 
 
@@ -179,24 +319,6 @@ def bit_positions(keys, level: int, region: int):
     return [((x >> np.uint64(32 * i)) & np.uint64(0xFFFFFFFF)) * np.uint64(region) >> np.uint64(32) for i in range(PROBES)]
 
 
-def _region_task():
-    """Fill a bucket's region, then send every chunk the levels that its n-grams have there."""
-    def run(table):
-        import numpy as np
-        import pyarrow as pa
-        lists = table.column("keys").combine_chunks()
-        ends = np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
-        sent = lists.flatten().to_numpy().view(np.uint64)
-        keys, where = np.unique(sent, return_inverse=True)
-        n = np.bincount(where, table.column("n").combine_chunks().flatten().to_numpy(), len(keys))
-        level = fill_region(keys, n).levels(keys).astype(np.uint8)[where]
-        with np.errstate(over="ignore"):
-            check = np.add.reduceat(sent, ends[:-1]).view(np.int64)
-        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "check": pa.array(check),
-                         "data": pa.array([level[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())})
-    return run
-
-
 def fill_region(keys, n) -> Filter:
     """The filter of one bucket: its size follows the levels of its n-grams that occur in training documents."""
     import numpy as np
@@ -299,52 +421,6 @@ def log_probabilities(combos, weights, order: int, n: float, v: float):
     return np.log10(p)
 
 
-def _chunk_task(head_data, order, n, v):
-    """A chunk's texts and levels -> base score and combinations of levels of its documents."""
-    def run(table):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        tokens, counts = head_data.value
-        tokens, counts = pa.array(tokens, pa.large_string()), np.asarray(counts, np.int64)
-        table = table.sort_by("bucket")  # the texts have bucket -1
-        chunk, data = table.column("chunk")[0].as_py(), table.column("data")
-        if table.column("bucket")[0].as_py() != -1:
-            raise ValueError("docs gave other rows in the second scan")
-        # read back, the chunk is cut as before
-        (part, vocab, codes, doc), = token_chunks(pa.ipc.open_stream(data[0].as_py()))
-        m = len(part)
-        keys, where = np.unique(np.concatenate(ngram_hashes(word_hashes(vocab)[codes], doc, order)), return_inverse=True)
-        size = [len(x) for x in data[1:].to_pylist()]
-        with np.errstate(over="ignore"):
-            same = sum(size) == len(keys) and (np.add.reduceat(keys, np.append(0, np.cumsum(size))[:-1]).view(np.int64)
-                                               == table.column("check")[1:].to_numpy()).all()
-        if not same:
-            raise ValueError("docs gave other rows in the second scan")
-        level = np.frombuffer(b"".join(data[1:].to_pylist()), np.uint8)[where].reshape(order, -1)
-        kinds, kind = np.unique(level_tuples(level, doc), return_inverse=True)
-        combo = np.unique(doc * len(kinds) + kind, return_counts=True)
-        combo_ends = pa.array(np.searchsorted(combo[0] // len(kinds), np.arange(m + 1)).astype(np.int32))
-        found = pc.index_in(vocab.cast(pa.large_string()), value_set=tokens)
-        spot = np.asarray(pc.fill_null(found, -1))
-        c = np.where(spot >= 0, counts[spot] if len(counts) else 0, 0)
-        common = (spot >= 0)[codes]
-        base = np.where(common, np.log10((c[codes] + 1.0) / (n + v + 1.0)), 0.0)
-        pair = np.unique(doc[~common] * len(vocab) + codes[~common], return_counts=True)
-        rare_doc, rare_code = pair[0] // len(vocab), pair[0] % len(vocab)
-        ends = pa.array(np.searchsorted(rare_doc, np.arange(m + 1)).astype(np.int32))
-        return pa.Table.from_arrays([
-            part.column(part.schema.get_field_index("doc_id")), part.column(part.schema.get_field_index("held_out")),
-            pa.array((np.int64(chunk) << 20) + np.arange(m)), pa.array(np.bincount(doc, minlength=m).astype(np.int64)),
-            pa.array(np.bincount(doc, common, m).astype(np.int64)), pa.array(np.bincount(doc, base, m)),
-            pa.ListArray.from_arrays(combo_ends, pa.array(kinds[combo[0] % len(kinds)])), pa.ListArray.from_arrays(combo_ends, pa.array(combo[1].astype(np.int32))),
-            pa.ListArray.from_arrays(ends, vocab.take(pa.array(rare_code)).cast(pa.string())),
-            pa.ListArray.from_arrays(ends, pa.array(pair[1].astype(np.int64)))],
-            names=["doc_id", "held_out", "rid", "n_tokens", "known_head", "base_head", "combos", "combo_times", "rare", "times"])
-    return run
-
-
 def _score_task(combos, log_p):
     def run(batches):
         import numpy as np
@@ -364,7 +440,8 @@ def _score_task(combos, log_p):
 def _head(unigrams: DataFrame, limit: int) -> tuple[list[str], list[int]]:
     """All tokens from a count upwards, `limit` at most: the least count is read off a histogram by powers of two."""
     octave = F.floor(F.log2("n")).cast("int")
-    hist = {r["o"]: r["c"] for r in unigrams.groupBy(octave.alias("o")).agg(F.count(F.lit(1)).alias("c")).collect()}
+    short = unigrams.where(F.octet_length("token") <= HEAD_TOKEN_BYTES)
+    hist = {r["o"]: r["c"] for r in short.groupBy(octave.alias("o")).agg(F.count(F.lit(1)).alias("c")).collect()}
     total, least = 0, None
     for o in sorted(hist, reverse=True):  # at most 64 rows
         total += hist[o]
@@ -373,11 +450,24 @@ def _head(unigrams: DataFrame, limit: int) -> tuple[list[str], list[int]]:
         least = o
     if least is None:
         return [], []
-    rows = unigrams.where(F.col("n") >= (1 << least)).select("token", "n").toPandas()
+    rows = short.where(F.col("n") >= (1 << least)).select("token", "n").toPandas()
     return rows["token"].tolist(), rows["n"].tolist()
 
 
-def score_documents(docs: DataFrame, order: int = ORDER, head: int = HEAD) -> DataFrame:
+def region_groups(sizes: list[tuple[int, int]], group_bytes: int) -> list[tuple[int, int]]:
+    """Ranges of buckets whose regions (sizes in bits) take at most `group_bytes` together, or one bucket; at least one range."""
+    groups, held = [], 0
+    for bucket, bits in sorted(sizes):
+        if groups and held + bits / 8 <= group_bytes:
+            groups[-1] = (groups[-1][0], bucket)
+            held += bits / 8
+        else:
+            groups.append((bucket, bucket))
+            held = bits / 8
+    return groups or [(0, -1)]
+
+
+def score_documents(docs: DataFrame, order: int = ORDER, head: int = HEAD, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     import numpy as np
 
@@ -389,17 +479,25 @@ def score_documents(docs: DataFrame, order: int = ORDER, head: int = HEAD) -> Da
     n, v = int(size["n"]), int(size["v"])
     head_data = spark.sparkContext.broadcast(_head(unigrams, head))
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tokens = int(docs.agg(F.sum(F.floor(F.coalesce(F.octet_length("text"), F.lit(0)) / 5) + 1)).first()[0] or 0)  # about, held-out ones too
-    buckets = max(parts, math.ceil(tokens * order / BUCKET_TOKENS))
-    grams = docs.mapInArrow(_ngram_task(order, buckets), "bucket int, chunk long, keys array<long>, n array<int>")
-    row = "chunk long, bucket int, check long, data binary"
-    levels = grams.groupBy("bucket").applyInArrow(_region_task(), row)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    scored = materialize(docs.mapInArrow(_text_task(), row).union(levels).groupBy("chunk").applyInArrow(
-        _chunk_task(head_data, order, n, v),
-        f"doc_id {id_type}, held_out boolean, rid long, n_tokens long, known_head long, base_head double, "
-        "combos array<long>, combo_times array<int>, rare array<string>, times array<long>"), "lm-scored")
+    streams, path = stored_table(docs.mapInArrow(_stream_task(head_data, n, v), stream_schema(id_type)), "lm-streams")
+
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * order / BUCKET_TOKENS))
+    grams = streams.select("hashes", "codes", "n_tokens", "held").mapInArrow(_count_task(order, buckets), "bucket int, keys binary, n binary")
+    regions = materialize(grams.groupBy("bucket").applyInArrow(_region_task(), "bucket int, size long, bits binary"), "lm-filter")
+    groups = region_groups([(r["bucket"], r["size"]) for r in regions.select("bucket", "size").collect()], group_bytes)
+    out = (f"doc_id {id_type}, held_out boolean, chunk string, row long, n_tokens long, known_head long, base_head double, "
+           "combos array<long>, combo_times array<int>, rare array<string>, times array<long>")
+    for i, (first, last) in enumerate(groups):
+        held = [(r["bucket"], r["size"], bytes(r["bits"])) for r in regions.where(F.col("bucket").between(first, last)).collect()]
+        shared = spark.sparkContext.broadcast(held)
+        done = i == len(groups) - 1
+        probed = streams.mapInArrow(_probe_task(shared, order, buckets, done), out if done else stream_schema(id_type))
+        earlier = path
+        streams, path = stored_table(probed, "lm-scored" if done else "lm-streams")
+        delete_path(spark, earlier)
+        shared.destroy()
+    scored = streams
 
     # a row for each combination of levels: their number is bounded by the levels, not by the corpus
     occurs = scored.select("held_out", F.explode(F.arrays_zip("combos", "combo_times")).alias("x")).groupBy(F.col("x.combos").alias("combo")).agg(
@@ -409,11 +507,11 @@ def score_documents(docs: DataFrame, order: int = ORDER, head: int = HEAD) -> Da
     log_p = log_probabilities(combos, weights, order, n, v)
 
     result = scored.drop("rare", "times").mapInArrow(
-        _score_task(combos, log_p), f"doc_id {id_type}, held_out boolean, rid long, n_tokens long, known_head long, base_head double, score double")
-    rare = scored.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("rid", F.col("x.rare").alias("token"), F.col("x.times").alias("times"))
-    known = rare.join(unigrams, "token", "left").groupBy("rid").agg(
+        _score_task(combos, log_p), f"doc_id {id_type}, held_out boolean, chunk string, row long, n_tokens long, known_head long, base_head double, score double")
+    rare = scored.select("chunk", "row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("chunk", "row", F.col("x.rare").alias("token"), F.col("x.times").alias("times"))
+    known = rare.join(unigrams, "token", "left").groupBy("chunk", "row").agg(
         F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + F.lit(1.0)) / F.lit(n + v + 1.0))).alias("base_rare"),
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known_rare"))
-    return result.join(known, "rid", "left").select(
+    return result.join(known, ["chunk", "row"], "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known_head") + F.coalesce("known_rare", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"), (F.col("base_head") + F.coalesce("base_rare", F.lit(0.0))).alias("base_score"), "score")
