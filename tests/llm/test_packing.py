@@ -131,3 +131,12 @@ def test_library_path_for_other_files():
     p = public_tokenizers.path("word_bpe_49k.json")
     encode, _ = load_encoder(p)
     assert encode("Hello big World") == Tokenizer.from_file(p).encode("Hello big World", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("gap", [" " * 2_000_000, "\n" * 300_000, "\t \r" * 50_000, "\u2003" * 60_000])
+def test_long_white_space(gap):
+    from tokenizers import Tokenizer
+    encode, _ = load_encoder(packing.default_tokenizer())
+    library = Tokenizer.from_file(packing.default_tokenizer())
+    for text in (gap,) if len(gap) > 400_000 else (gap, f"a{gap}b <|endoftext|> c", f"{gap}x"):
+        assert encode(text) == library.encode(text, add_special_tokens=False).ids

@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import bisect
 import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -49,6 +50,9 @@ PARTS = 1_000_000
 # Fixed value: the pre-tokenisation pattern of byte-level BPE tokenizers.
 BYTE_LEVEL_PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 
+#: A text with a run of this many white-space characters goes to the tokenizers library, which has no limit on them.
+LONG_GAP = 20_000
+
 
 def default_tokenizer() -> str:
     import public_tokenizers
@@ -85,7 +89,17 @@ def load_encoder(path: str) -> tuple[Callable[[str], list[int]], int]:
         import tiktoken
         ranks = {bytes(to_byte[c] for c in t): i for t, i in vocab.items() if t not in special}
         enc = tiktoken.Encoding("bytes", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        return (lambda text: enc.encode(text, allowed_special="all")), max([*vocab.values(), *special.values()]) + 1
+        gap, library = re.compile(rf"\s{{{LONG_GAP}}}"), []
+
+        def encode(text: str) -> list[int]:
+            if len(text) >= LONG_GAP and gap.search(text):  # beyond the backtracking of the faster one
+                if not library:
+                    from tokenizers import Tokenizer
+                    library.append(Tokenizer.from_file(path))
+                return library[0].encode(text, add_special_tokens=False).ids
+            return enc.encode(text, allowed_special="all")
+
+        return encode, max([*vocab.values(), *special.values()]) + 1
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(path)
     return (lambda text: tok.encode(text, add_special_tokens=False).ids), tok.get_vocab_size()
