@@ -1,9 +1,10 @@
 """Quality rules by robust multivariate outliers (minimum covariance determinant).
 
 Base rules first (too few words, too much repetition).  The documents that pass
-become vectors of transformed statistics.  Per language and source, concentration
+become vectors of transformed statistics.  Per language and source, `C_STEPS` concentration
 steps find the covariance of the `COVERED` share of vectors with the least
-determinant (two starts: medians with MADs, and plain moments; the better one
+determinant (a little over half, so nearly half of a group may be junk of one kind
+without a say in its estimate; two starts: medians with MADs, and plain moments; the better one
 stays), one reweighting step follows, and a document is rejected if its squared
 Mahalanobis distance exceeds the chi-square cutoff.
 
@@ -39,9 +40,9 @@ from zonefare.llm.common import GAP, materialize, text_or_empty
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-COVERED = 0.75
+COVERED = 0.55
 MIN_GROUP = 50
-C_STEPS = 4
+C_STEPS = 8
 REWEIGHT_TAIL = 0.025
 CUTOFF_TAIL = 1e-7
 BINS_PER_OCTAVE = 8
