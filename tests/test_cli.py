@@ -13,4 +13,4 @@ def test_stream_cli_files_once(spark, tmp_root):
           "--checkpoint", os.path.join(tmp_root, "ckpt"), "--once"])
     assert store.read_history(spark, root).count() == 44
     assert store.read_current(spark, root).count() == 44
-    assert spark.read.parquet(os.path.join(root, "dead_letters")).count() > 0
+    assert store.read_dead_letters(spark, root).count() > 0

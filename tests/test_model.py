@@ -1,6 +1,9 @@
 """Spark ML pipeline: metric band, importances, save/load, row-count guard."""
 
+from datetime import timedelta
+
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF001
 from zonefare.model import training as M
@@ -70,3 +73,39 @@ def test_registered_queries_train_with_the_configs_defaults(spark, monkeypatch):
         Q._trained(spark, SF001)
     assert Q._trained(spark, SF01)[0].train_rows >= DEFAULT.training_min_samples
     assert trees == [DEFAULT.gbt_max_iter] == [200]
+
+
+def test_compiled_ensemble_equals_the_pipeline(spark, frame):
+    """Every row's prediction, with missing and NaN features among them; the shipped ensemble has the same form."""
+    from zonefare.model import compile as C
+    t = M.train(frame, max_iter=12, min_rows=100)
+    e = C.from_pipeline(t.model)
+    assert len(e.trees) == len(e.weights) == 12 and C.Ensemble.from_json(e.to_json()) == e
+    holes = frame.withColumn("temperature", F.when(F.col("hour_of_day") % 3 == 0, F.lit(None)).when(F.col("hour_of_day") % 3 == 1, F.lit(float("nan")))
+                             .otherwise(F.col("temperature"))) \
+        .withColumn("supply_ratio", F.when(F.col("hour_of_day") % 4 > 0, F.col("supply_ratio")))
+    want = t.model.transform(holes).select("zone_id", "timestamp", F.col("prediction").alias("want"))
+    got = C.with_prediction(holes, e).join(want, ["zone_id", "timestamp"])
+    assert got.count() == frame.count() and got.filter(F.abs(F.col("prediction") - F.col("want")) > 1e-9).count() == 0
+    plan = C.with_prediction(holes, e)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and C.with_prediction(holes, e).columns == [*holes.columns, "prediction"]
+    assert C.default_ensemble().features == e.features
+
+
+def test_live_prices_gate_and_fallback(spark, frame):
+    from zonefare.config import DEFAULT
+    from zonefare.model import compile as C
+    h = S.surge_history(spark, SF001, "hour")
+    f = S.feature_rows(h, S.historical_baseline(h))
+    none = S.live_prices(f, None).collect()
+    assert all(not r.ml_available and r.ml_confidence == 0.0 and r.ml_multiplier == 1.0 and r.final_multiplier == r.rule_multiplier for r in none)
+    high = C.Ensemble(C.default_ensemble().features, (0.0,) * 21, (0.0,) * 21, (1.0,) * 21, (1.0,), (2.0,))
+    for r in S.live_prices(f, high).collect():  # a model that always says 2.0
+        assert r.ml_available and r.ml_multiplier == 2.0
+        raised = r.ml_confidence >= DEFAULT.confidence_threshold
+        assert r.final_multiplier == (max(2.0, r.rule_multiplier) if raised else r.rule_multiplier)
+    newest = h.agg({"timestamp": "max"}).first()[0]
+    assert S.price_all(h, "2031-01-01 00:00:00", high).count() == 0  # everything has expired
+    alive = S.price_all(h, f"{newest + timedelta(seconds=3600 + 119)}", high)
+    assert alive.count() == h.filter(F.col("timestamp") == newest).select("zone_id").distinct().count() > 0
+    assert S.price_all(h, f"{newest + timedelta(seconds=3600 + 120)}", high).count() == 0

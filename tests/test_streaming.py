@@ -70,7 +70,7 @@ def test_surge_stream_matches_batch_and_replays(spark, tmp_root):
     # restart with the same checkpoint: nothing is reprocessed or duplicated
     _run_surge(spark, src, root, ckpt)
     assert ST.read_history(spark, root).count() == hist.count()
-    dlq = spark.read.parquet(os.path.join(root, "dead_letters"))
+    dlq = ST.read_dead_letters(spark, root)
     assert dlq.count() > 0 and dlq.filter(F.col("failure_reason").isNull()).count() == 0
 
 
@@ -141,17 +141,6 @@ def test_stream_windows_equal_batch_on_closed_windows(spark):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_feature_store_append_is_replay_safe(spark, tmp_root):
-    from zonefare.plans import serving as S
-    h = S.surge_history(spark, SF001, "hour")
-    f = S.feature_rows(h, S.historical_baseline(h)).select("zone_id", "city", "timestamp", "demand_last_1min")
-    ST.append_features(f, tmp_root, 0)
-    ST.append_features(f, tmp_root, 0)  # replay of the same batch replaces, never duplicates
-    assert spark.read.parquet(os.path.join(tmp_root, "features")).count() == f.count()
-    latest = ST.latest_features(spark, tmp_root)
-    assert latest.count() == f.select("zone_id").distinct().count()
-
-
 def test_preaggregated_stream_windows_equal_direct(spark, tmp_root):
     """Chained (10 s tumbling -> sliding) windows equal the direct form."""
     r = ride_stream(spark, SF001, glob="events.parquet")
@@ -172,17 +161,17 @@ def test_preaggregated_stream_windows_equal_direct(spark, tmp_root):
     assert b.count() > 0.5 * a.count() and b.exceptAll(a).count() == 0
 
 
-def test_history_retention_prunes_partitions(spark, tmp_root):
+def test_history_retention_opens_kept_dates_only(spark, tmp_root):
     from zonefare.plans import serving as S
     h = S.surge_history(spark, SF001, "hour")
-    ST.append_history(h, tmp_root, 0)
-    stored = ST.read_history(spark, tmp_root)
+    ST.commit_prices(spark, tmp_root, "batch", 0, h)
+    stored = ST.read_history(spark, tmp_root, since="2024-01-13 00:00:00")
     kept = ST.retained(stored, "2024-01-20 00:00:00", 7 * 86_400)
     want = h.filter((F.col("timestamp") > F.lit("2024-01-13 00:00:00").cast("timestamp"))
                     & (F.col("timestamp") <= F.lit("2024-01-20 00:00:00").cast("timestamp")))
     assert kept.count() == want.count() > 0
-    plan = kept._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in plan or "PartitionFilters: [(date" in plan
+    assert len(stored.inputFiles()) < len(ST.read_history(spark, tmp_root).inputFiles())
+    assert all("__date=2024-01-12" not in f for f in stored.inputFiles())
 
 
 def test_cluster_conf_is_accepted(spark):
@@ -213,17 +202,6 @@ def test_stream_query_reads_a_table_of_part_files(spark, tmp_root):
     assert a.count() == b.count() == 1000 and a.exceptAll(b).count() == 0
 
 
-def test_old_snapshots_go(spark, tmp_root):
-    from pyspark.sql import functions as F
-    from zonefare.streaming import store as ST
-    for i in range(8):
-        batch = spark.range(3).select(F.format_string("z%d", "id").alias("zone_id"), F.lit("c").alias("city"),
-                                      F.timestamp_seconds(F.lit(1000 + i)).alias("updated_at"), F.lit(float(i)).alias("final_multiplier"))
-        ST.upsert_current(spark, batch, tmp_root, i)
-    assert ST._versions(spark, tmp_root) == [4, 5, 6, 7]
-    assert {r.final_multiplier for r in ST.read_current(spark, tmp_root).collect()} == {7.0}
-
-
 @pytest.mark.parametrize("ordered", [True, False])
 def test_replay_does_not_depend_on_part_files(spark, tmp_root, ordered):
     """Four part files, in order of event time or not: the rows of the single file."""
@@ -244,3 +222,96 @@ def test_replay_does_not_depend_on_part_files(spark, tmp_root, ordered):
         a, b = E.queries()[name](spark, SF001), E.queries()[name](spark, tmp_root)
         assert a.count() == b.count() > 0, name
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+@pytest.fixture()
+def few_partitions(spark):
+    """State of two partitions: the tests below start many small batches."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def _arrivals(spark, root, n, ordered):
+    """The events in n folders of part files, as they come one after the other."""
+    ev = spark.read.parquet(f"{SF001}/events.parquet").withColumn("_slice", F.ntile(n).over(Window.orderBy("ts"))).persist()
+    for step, i in enumerate(range(1, n + 1) if ordered else (3, 1, 4, 2)):
+        ev.filter(F.col("_slice") == i).drop("_slice").write.parquet(f"{root}/src/{step}")
+        yield f"{root}/src/*"
+    ev.unpersist()
+
+
+@pytest.mark.parametrize("n,ordered", [(1, True), (4, True), (4, False)])
+def test_on_time_and_late_rows_are_the_input(spark, tmp_root, few_partitions, n, ordered):
+    from zonefare.streaming.commitlog import CommitLog
+    for path in _arrivals(spark, tmp_root, n, ordered):
+        J.on_time_job(ride_stream(spark, path, max_files_per_trigger=None), f"{tmp_root}/store", f"{tmp_root}/ckpt",
+                      available_now=True).awaitTermination()
+    log = CommitLog(spark, f"{tmp_root}/store")
+    on_time, late = log.read("on_time"), log.read("late")
+    ids = on_time.select("event_id").unionByName(late.select("event_id"))
+    assert ids.count() == ids.distinct().count() == 1000
+    assert (late.count() > 0) == (not ordered)
+    ledger = ST.read_ledger(spark, f"{tmp_root}/store")
+    assert ledger.agg(F.sum("payloads"), F.sum("valid"), F.sum("late")).first() == (1000, on_time.count(), late.count())
+    # a late row is older than the delay below the newest row of the batches before its own
+    newest = {r.batch_id: r.t for r in on_time.unionByName(late).groupBy("batch_id").agg(F.max("event_time").alias("t")).collect()}
+    for r in late.select("batch_id", "event_time").collect():
+        assert (max(t for b, t in newest.items() if b < r.batch_id) - r.event_time).total_seconds() > 120
+
+
+def test_event_state_over_many_batches_and_expired_state(spark, tmp_root, few_partitions):
+    """Timers decide in start order although the starts arrive in any order within the delay; ended events leave the state."""
+    import random
+    from zonefare.operators.intervals import greedy_chain
+    J.rocksdb_state(spark)
+    rnd, rows = random.Random(5), []
+    for i in range(240):
+        start = 1_000 * (10 * i + rnd.randrange(60))
+        rows.append((f"z{rnd.randrange(3)}", f"e{i:03d}", start, start + 1_000 * rnd.choice([5, 40, 200])))
+    schema, out = "zone_id string, event_id string, start_ms long, end_ms long", f"{tmp_root}/out"
+    late = 0
+    for step in range(5):
+        part = rows[60 * step:60 * (step + 1)] if step < 4 else [("end", "flush", 10_000_000, 10_000_001)]
+        rnd.shuffle(part)
+        spark.createDataFrame(part, schema).withColumn("multiplier", F.lit(2.0)).coalesce(1).write.parquet(f"{tmp_root}/src/{step}")
+        cal = spark.readStream.schema(schema + ", multiplier double").parquet(f"{tmp_root}/src/*")
+        q = (J.event_state_stream(cal).writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{tmp_root}/ck")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        ops = [op for p in q.recentProgress for op in p["stateOperators"]]
+        late += sum(op["numRowsDroppedByWatermark"] for op in ops)
+    cal = spark.createDataFrame(rows, schema).withColumn("multiplier", F.lit(2.0))
+    want = greedy_chain(cal).select("zone_id", "event_id", "start_ms", "end_ms", "multiplier")
+    got = spark.read.parquet(out).select(*want.columns)
+    assert late == 0 and 3 < got.count() < 240
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_shared_windows_update_over_batches(spark, tmp_root, few_partitions):
+    """After all batches the three window lengths hold the counts of all rides."""
+    from zonefare.operators.windows import sliding_demand
+    from zonefare.sources.rides import RIDE_COLUMNS
+    for path in _arrivals(spark, tmp_root, 3, True):
+        J.shared_windows_job(ride_stream(spark, path, max_files_per_trigger=None), f"{tmp_root}/store", f"{tmp_root}/ckpt",
+                             available_now=True).awaitTermination()
+    dim = zone_dim(spark).select("zone_idx", "zone_id", "city", "latitude", "longitude")
+    so_far = ride_columns(spark.read.parquet(f"{tmp_root}/src/*")).join(F.broadcast(dim), "zone_idx").select(*RIDE_COLUMNS)
+    for s in (60, 300, 900):
+        want = sliding_demand(so_far, s, 10)
+        got = J.current_windows(spark, f"{tmp_root}/store", s).select(*want.columns)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_ride_event_join_state_falls_behind_the_watermark(spark, tmp_root, few_partitions):
+    kept = []
+    for path in _arrivals(spark, tmp_root, 4, True):
+        r = ride_stream(spark, path, max_files_per_trigger=None, extra=("k", "event_type"))
+        from zonefare.plans.queries import _calendar
+        both = J.ride_events_stream(ride_stream(spark, path, max_files_per_trigger=None).select("event_id", "zone_id", "event_time"),
+                                    _calendar(r.filter(F.col("event_type") == "signup")))
+        q = (both.writeStream.format("noop").option("checkpointLocation", f"{tmp_root}/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+        kept.append([op["numRowsTotal"] for p in q.recentProgress for op in p["stateOperators"]][-1])
+    assert all(k < 350 for k in kept)  # a batch brings 250 rides; those of earlier days are gone

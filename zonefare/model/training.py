@@ -36,6 +36,12 @@ def split(df: DataFrame, train_pct: int = 80, seed: int = 42) -> tuple[DataFrame
     return df.filter(h < train_pct), df.filter(h >= train_pct)
 
 
+def portable_split(zone, timestamp, train_pct: int = 80, seed: int = 42):
+    """Whether a row is on the training side: md5 of seed, zone and epoch second, which any SQL engine computes alike."""
+    text = F.concat_ws(":", F.lit(str(seed)), zone, F.unix_seconds(timestamp).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 100 < train_pct
+
+
 def build_pipeline(cfg: PricingConfig = DEFAULT, max_iter: int | None = None) -> Pipeline:
     imputed = [f"{c}_imp" for c in FEATURE_COLUMNS]
     return Pipeline(stages=[
@@ -80,7 +86,12 @@ def train(frame: DataFrame, cfg: PricingConfig = DEFAULT, max_iter: int | None =
 
 def metrics(model: PipelineModel, test: DataFrame, cfg: PricingConfig = DEFAULT) -> DataFrame:
     """MAE and R2 of the clipped prediction on the test rows (one row)."""
-    p = model.transform(test).withColumn(
+    return error_metrics(model.transform(test), cfg)
+
+
+def error_metrics(predicted: DataFrame, cfg: PricingConfig = DEFAULT) -> DataFrame:
+    """MAE and R2 of a clipped `prediction` against the label (one row)."""
+    p = predicted.withColumn(
         "p", F.least(F.greatest(F.col("prediction"), F.lit(1.0)), F.lit(cfg.multiplier_max)))
     y, yhat = F.col(LABEL), F.col("p")
     stats = p.agg(F.count(F.lit(1)).alias("test_rows"),

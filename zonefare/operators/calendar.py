@@ -21,6 +21,22 @@ def holiday_table(candidate_dates: DataFrame, date_col: str = "date") -> DataFra
     return d.filter(is_us_holiday(F.col("holiday_date")))
 
 
+def with_calendar(df: DataFrame, date_col: str, cfg: PricingConfig = DEFAULT) -> DataFrame:
+    """is_holiday, is_holiday_eve and days_to_next_holiday of a date column by the US federal rules.
+
+    Expressions only: the facts are read once and nothing is joined.  A calendar
+    given as a table goes through `date_dimension`.
+    """
+    d = F.col(date_col)
+    near = F.transform(F.sequence(F.lit(0), F.lit(cfg.holiday_lookahead_days)),
+                       lambda i: F.coalesce(is_us_holiday(F.date_add(d, i)), F.lit(False)))
+    ahead = F.array_position(F.slice("__near", 2, cfg.holiday_lookahead_days), True)
+    return df.withColumn("__near", near).withColumns({
+        "is_holiday": F.col("__near")[0],
+        "is_holiday_eve": ~F.col("__near")[0] & F.col("__near")[1],
+        "days_to_next_holiday": F.when(ahead > 0, ahead).otherwise(cfg.holiday_lookahead_days).cast("int")}).drop("__near")
+
+
 def date_dimension(dates: DataFrame, date_col: str = "date", holidays: DataFrame | None = None,
                    cfg: PricingConfig = DEFAULT) -> DataFrame:
     """date, is_holiday, is_holiday_eve, days_to_next_holiday for each date.

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from zonefare.operators.scan import blocks_for, checkpointed, in_blocks, last_known
+
 
 def asof_join(left: DataFrame, right: DataFrame, by: str, left_ts: str, right_ts: str,
               value_cols: list[str], tolerance_ms: int, bucket_ms: int = 3_600_000,
@@ -59,6 +61,26 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_ts: str, right_ts
                       m["_rt"].alias(f"{right_ts}_matched"))
 
 
+def asof_scan(left: DataFrame, right: DataFrame, by: str, left_ts: str, right_ts: str, value_cols: list[str],
+              tolerance_ms: int, tie: str, rows_per_block: int = 100_000) -> DataFrame:
+    """`asof_join` for any skew: a blocked scan instead of a window per (by, bucket).
+
+    Left and right rows are range-partitioned together by (by, time), so a key or an
+    hour that holds most rows is spread over many tasks, and the newest right row is
+    carried from block to block: any tolerance, no copies.
+    """
+    value = F.struct(F.col(right_ts).alias("t"), *[F.col(c) for c in value_cols])
+    r = right.select(F.col(by), F.col(right_ts).alias("__t"), F.lit(0).alias("__kind"),
+                     F.col(tie).cast("string").alias("__tie"), value.alias("__r"))
+    l_ = left.withColumns({"__t": F.col(left_ts), "__kind": F.lit(1), "__tie": F.lit(None).cast("string"),
+                           "__r": F.lit(None).cast(r.schema["__r"].dataType)})
+    both = l_.unionByName(r, allowMissingColumns=True)
+    stored = checkpointed(in_blocks(both, [by, "__t", "__kind", "__tie"], blocks_for(both, rows_per_block)))
+    out = last_known(stored, {"__m": F.col("__r")}, [by]).filter(F.col("__kind") == 1)
+    m = F.when((F.col("__t") - F.col("__m.t")) < tolerance_ms, F.col("__m"))
+    return out.select(*left.columns, *[m[c].alias(c) for c in value_cols], m["t"].alias(f"{right_ts}_matched"))
+
+
 def winner_segments(calendar: DataFrame, key: str = "zone_id", start: str = "start_ms",
                     end: str = "end_ms", bucket_ms: int = 86_400_000, tie: str = "event_id") -> DataFrame:
     """Resolve overlapping intervals per key: at any instant the active

@@ -28,6 +28,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def blocks_for(df: DataFrame, rows_per_block: int) -> int:
+    """Blocks of about `rows_per_block` rows: one counting pass."""
+    return max(1, -(-df.count() // rows_per_block))
+
+
 def in_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = None) -> DataFrame:
     """Rows sorted by `order` over range partitions, with block number and position (`__block`, `__at`)."""
     ranged = df.repartitionByRange(blocks, *order) if blocks else df.repartitionByRange(*order)

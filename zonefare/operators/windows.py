@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from zonefare.operators.scan import AT, BLOCK, blocks_for, checkpointed, in_blocks, last_known, running_sums
+
 
 def sliding_demand(rides: DataFrame, duration_s: int, slide_s: int = 10,
                    keys=("zone_id", "city"), span_s: int = 86_400) -> DataFrame:
@@ -26,21 +28,24 @@ def sliding_demand(rides: DataFrame, duration_s: int, slide_s: int = 10,
     Output rows = windows, each produced once, so there is no second
     aggregation; work per bucket is bounded by n.
     """
+    b = (rides.groupBy(*keys, F.floor(F.col("timestamp_ms") / (slide_s * 1000)).alias("bucket"))
+         .agg(F.count("event_id").alias("n")))
+    return windows_of_buckets(b, duration_s, slide_s, keys, span_s)
+
+
+def windows_of_buckets(b: DataFrame, duration_s: int, slide_s: int = 10, keys=("zone_id", "city"),
+                       span_s: int = 86_400) -> DataFrame:
+    """Steps 2 and 3 of `sliding_demand` over counted buckets (keys, bucket number, n)."""
     if duration_s % slide_s:
         raise ValueError("duration must be a multiple of the slide")
     n = duration_s // slide_s
     slide_ms = slide_s * 1000
     per_span = max(n, span_s // slide_s)
-    b = (rides.groupBy(*keys, F.floor(F.col("timestamp_ms") / slide_ms).alias("bucket"))
-         .agg(F.count("event_id").alias("n")))
-    b = b.withColumn("_span", F.floor(F.col("bucket") / per_span))
-    pos = F.col("bucket") - F.col("_span") * per_span
-    own = b.withColumn("_own", F.lit(True))
-    tail = (b.filter(pos >= per_span - (n - 1)).withColumn("_span", F.col("_span") + 1)
-            .withColumn("_own", F.lit(False)))
-    head = (b.filter(pos < n - 1).withColumn("_span", F.col("_span") - 1)
-            .withColumn("_own", F.lit(False)))
-    u = own.unionByName(tail).unionByName(head)
+    home = F.floor(F.col("bucket") / per_span)
+    pos = F.col("bucket") - home * per_span
+    # one pass: a bucket goes to its span, and as context to a neighbouring one that its edge reaches
+    spans = F.array_compact(F.array(home, F.when(pos >= per_span - (n - 1), home + 1), F.when(pos < n - 1, home - 1)))
+    u = b.withColumn("_span", F.explode(spans)).withColumn("_own", F.col("_span") == home)
     w = Window.partitionBy(*keys, "_span").orderBy("bucket")
     u = (u.withColumn("_prev", F.lag("bucket").over(w))
          .withColumn("_ahead", F.collect_list(F.struct("bucket", "n")).over(w.rangeBetween(0, n - 1)))
@@ -81,3 +86,30 @@ def trailing_counts(rides: DataFrame, windows_s=(60, 300, 900), key: str = "zone
         both = both.withColumn(f"demand_{s}",
                                F.count("event_id").over(w.rangeBetween(-s * 1000 + 1, 0)))
     return both.filter(~F.col("_ctx")).drop("_bucket", "_ctx")
+
+
+def trailing_counts_scan(rides: DataFrame, windows_s=(60, 300, 900), key: str = "zone_id",
+                         rows_per_block: int = 100_000) -> DataFrame:
+    """`trailing_counts` for any skew, from prefix sums instead of a window per (key, hour).
+
+    Events are counted per (key, millisecond) and summed up along the time of a key
+    by a blocked scan.  The events in (t - w, t] are the sum at t less the sum at the
+    newest millisecond at or before t - w, found by a second blocked scan over the
+    sums and the points t - w.  No event is copied into a window.
+    """
+    per_ms = rides.groupBy(key, "timestamp_ms").agg(F.count("event_id").alias("__n"))
+    sums = checkpointed(in_blocks(per_ms, [key, "timestamp_ms"], blocks_for(per_ms, rows_per_block)))
+    upto = checkpointed(running_sums(sums, {"__upto": "__n"}, [key], inclusive=True).drop(BLOCK, AT, "__n"))
+    null_long = F.lit(None).cast("long")
+    known = upto.select(key, F.col("timestamp_ms").alias("__t"), F.lit(0).alias("__w"), null_long.alias("__for"), "__upto")
+    asked = upto.select(key, F.explode(F.array(*[F.lit(w) for w in windows_s])).alias("__w"), "timestamp_ms").select(
+        key, (F.col("timestamp_ms") - F.col("__w") * 1000).alias("__t"), "__w", F.col("timestamp_ms").alias("__for"),
+        null_long.alias("__upto"))
+    both = known.unionByName(asked)
+    points = checkpointed(in_blocks(both, [key, "__t", "__w"], blocks_for(both, rows_per_block)))
+    before = last_known(points, {"__before": F.col("__upto")}, [key]).filter(F.col("__w") > 0)
+    wide = before.groupBy(key, F.col("__for").alias("timestamp_ms")).agg(
+        *[F.max(F.when(F.col("__w") == w, F.coalesce("__before", F.lit(0)))).alias(f"__b{w}") for w in windows_s])
+    counts = upto.join(wide, [key, "timestamp_ms"]).select(
+        key, "timestamp_ms", *[(F.col("__upto") - F.col(f"__b{w}")).alias(f"demand_{w}") for w in windows_s])
+    return rides.join(counts, [key, "timestamp_ms"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from zonefare.model.compile import default_ensemble, sql_columns
 from zonefare.plans.oracle import (city_value_sql, days_to_next_holiday_sql, geohash6_sql,
                                    holiday_sql, initcap_sql, local_sql, rides_cte, rule_sql,
                                    surge_cte, tier_sql, time_flags_sql, time_mult_sql,
@@ -98,6 +99,15 @@ SELECT zone_id, city, batch AS timestamp, strftime(batch, '%Y-%m-%dT%H:%M:%S') A
 FROM (SELECT *, row_number() OVER (PARTITION BY zone_id ORDER BY batch DESC) AS rank FROM hourly)
 WHERE rank <= 100"""
 
+ORACLE["zone_history_lookup"] = f"""{HOURLY}, req AS (
+  SELECT CASE WHEN k % 2 = 0 THEN zone_id ELSE {geohash6_sql('latitude + 0.05::DOUBLE', 'longitude')} END AS zone_id
+  FROM rides WHERE event_type = 'view'
+)
+SELECT zone_id, city, batch AS timestamp, rule_multiplier AS final_multiplier, rule_multiplier, rule_multiplier AS ml_multiplier,
+       demand_1min, row_number() OVER (ORDER BY batch DESC)::INTEGER AS rank
+FROM hourly WHERE zone_id = (SELECT min(zone_id) FROM req WHERE zone_id IN (SELECT zone_id FROM hourly))
+QUALIFY rank <= 100"""
+
 ORACLE["retention_window"] = f"""{HOURLY}
 SELECT zone_id, city, batch AS timestamp, rule_multiplier AS final_multiplier FROM hourly
 WHERE batch > TIMESTAMP '2024-01-20 00:00:00' - INTERVAL 604800 SECOND
@@ -238,6 +248,31 @@ FEATURE_LIST = ("demand_last_1min, demand_last_5min, demand_last_15min, demand_s
 ORACLE["feature_vector"] = f"""{FEATURES}
 SELECT zone_id, city, timestamp, {FEATURE_LIST} FROM feat"""
 
+# conditions at the end of the hour: newest weather of the city within 660 s, earliest event still running in the zone
+ORACLE["feature_vector_conditions"] = f"""{FEATURES}
+, obs AS (
+  SELECT event_id AS obs_id, city, timestamp_ms AS t, k,
+         CASE WHEN k % 7 <> 0 THEN value / 10.0{D} - 5.0{D} END AS temperature
+  FROM rides WHERE event_type = 'error'
+), cal AS (
+  SELECT event_id, zone_id, timestamp_ms AS start_ms, timestamp_ms + (60 + (k * 180) // 99)::BIGINT * 60000 AS end_ms,
+         2.0{D} + k{D} / 50.0{D} AS multiplier
+  FROM rides WHERE event_type = 'signup'
+), ends AS (SELECT *, epoch_ms(timestamp) + 3600000 AS e, hour({local_sql("timestamp + INTERVAL 3600 SECOND", "city")}) AS eh FROM feat
+), w AS (
+  SELECT f.*, o.obs_id, o.temperature AS seen, o.k AS wk
+  FROM ends f LEFT JOIN obs o ON o.city = f.city AND o.t <= f.e AND f.e - o.t < 660000
+  QUALIFY row_number() OVER (PARTITION BY f.zone_id, f.city, f.timestamp ORDER BY o.t DESC NULLS LAST, o.obs_id DESC) = 1
+), evs AS (
+  SELECT w.*, c.event_id AS special, c.multiplier
+  FROM w LEFT JOIN cal c ON c.zone_id = w.zone_id AND c.start_ms <= w.e AND w.e < c.end_ms
+  QUALIFY row_number() OVER (PARTITION BY w.zone_id, w.city, w.timestamp ORDER BY c.start_ms NULLS LAST, c.event_id) = 1
+)
+SELECT zone_id, city, timestamp, {FEATURE_LIST.replace('temperature, precipitation, weather_severity',
+    f"coalesce(seen, 15.0{D}) AS temperature, CASE WHEN obs_id IS NOT NULL AND eh < 12 + wk % 13 THEN ((wk + eh) % 10){D} / 10.0{D} ELSE 0.0{D} END AS precipitation, weather_severity")
+    .replace('is_special_event, event_demand_multiplier', f"special IS NOT NULL AS is_special_event, coalesce(multiplier, 1.0{D}) AS event_demand_multiplier")}
+FROM evs"""
+
 _R = f"(demand_last_1min{D} / (available_drivers{D} + 1.0{D}))"
 LABEL = (f"least(greatest((CASE WHEN {_R} > 3 THEN 2.0 WHEN {_R} > 2 THEN 1.5 WHEN {_R} > 1.5 THEN 1.2 "
          f"ELSE 1.0 END){D} + (weather_severity{D} - 1.0{D}) * 0.15{D} + is_rush_hour::INTEGER{D} * 0.2{D} "
@@ -280,12 +315,68 @@ SELECT {', '.join(f'median({c}{D})::DOUBLE AS median_{c}' for c in
                    'hour_of_day', 'weather_severity', 'historical_avg_demand'))}
 FROM feat"""
 
+ORACLE["weather_imputed"] = f"""{RIDES}, obs AS (
+  SELECT event_id AS obs_id, city, CASE WHEN k % 7 <> 0 THEN value / 10.0{D} - 5.0{D} END AS temperature
+  FROM rides WHERE event_type = 'error')
+SELECT obs_id, city, temperature IS NULL AS was_missing,
+       coalesce(temperature, (SELECT median(temperature) FROM obs)) AS temperature
+FROM obs"""
+
+_SIDE = "CAST('0x' || substr(md5('42:' || zone_id || ':' || CAST(epoch_ms(timestamp) // 1000 AS BIGINT)), 1, 8) AS BIGINT) % 100 < 80"
+_ZS = ("demand_last_1min", "available_drivers", "supply_ratio", "demand_spike_factor")
+ORACLE["train_split_zscore"] = f"""{FEATURES}, sided AS (SELECT *, {_SIDE} AS is_train FROM feat),
+fitted AS (SELECT {', '.join(f'avg({c}{D}) AS m_{c}, stddev_pop({c}{D}) AS s_{c}' for c in _ZS)} FROM sided WHERE is_train)
+SELECT zone_id, city, timestamp, is_train,
+       {', '.join(f'round(CASE WHEN s_{c} = 0 THEN 0 ELSE ({c}{D} - m_{c}) / s_{c} END, 6) AS z_{c}' for c in _ZS)}
+FROM sided, fitted"""
+
 ORACLE["feature_zscore"] = f"""{FEATURES}
 SELECT zone_id, city, timestamp,
        {', '.join(f'round(({c}{D} - avg({c}{D}) OVER ()) / stddev_samp({c}{D}) OVER (), 6) AS z_{c}' for c in
                   ('demand_last_1min', 'available_drivers', 'supply_ratio', 'demand_spike_factor'))}
 FROM feat"""
 
+# --- live prices: the shipped ensemble over the features of the newest hour -------
+_BOOLEANS = ("is_weekend", "is_rush_hour", "is_late_night", "is_lunch_hour", "is_holiday", "is_special_event")
+_Z, _T, _SUM = sql_columns(default_ensemble(), _BOOLEANS)
+LIVE = FEATURES + f""", newest AS (SELECT max(batch) AS t FROM hourly),
+fresh AS (
+  SELECT feat.* FROM feat, newest
+  WHERE date_diff('second', timestamp + INTERVAL 3600 SECOND, t + INTERVAL 3660 SECOND) < 120
+  QUALIFY row_number() OVER (PARTITION BY zone_id ORDER BY timestamp DESC, city DESC) = 1
+), scaled AS (SELECT *, {', '.join(f'{x} AS {n}' for n, x in _Z.items())} FROM fresh
+), grown AS (SELECT *, {', '.join(f'{x} AS {n}' for n, x in _T.items())} FROM scaled
+), scored AS (SELECT *, round(least(greatest({_SUM}, 1.0{D}), 3.0{D}), 2) AS ml_multiplier FROM grown
+), sure AS (
+  SELECT *, round(least((CASE WHEN demand_last_1min = 0 THEN 0.5 ELSE 1.0 END){D}
+                 * (CASE WHEN historical_avg_demand = 20.0 THEN 0.8 ELSE 1.0 END){D}
+                 * (CASE WHEN ml_multiplier > 2.5 OR ml_multiplier < 1.0 THEN 0.7 ELSE 1.0 END){D}, 1.0{D}), 3) AS ml_confidence
+  FROM scored
+), blended AS (
+  SELECT *, least(CASE WHEN ml_confidence >= 0.7 THEN greatest(rule_multiplier, ml_multiplier)
+                       ELSE rule_multiplier END, 3.0{D}) AS fin FROM sure
+), live AS (
+  SELECT zone_id, city, timestamp, rule_multiplier, ml_multiplier, ml_confidence, true AS ml_available,
+         round(fin, 2) AS final_multiplier, {tier_sql('fin')} AS surge_tier FROM blended
+)"""
+
+ORACLE["ensemble_metrics"] = f"""{FEATURES}, held AS (SELECT *, {LABEL} AS y FROM feat WHERE NOT ({_SIDE})
+), scaled AS (SELECT *, {', '.join(f'{x} AS {n}' for n, x in _Z.items())} FROM held
+), grown AS (SELECT *, {', '.join(f'{x} AS {n}' for n, x in _T.items())} FROM scaled
+), scored AS (SELECT y, least(greatest({_SUM}, 1.0{D}), 3.0{D}) AS p FROM grown)
+SELECT count(*) AS test_rows, round(avg(abs(y - p)), 4) AS mae,
+       round(1.0{D} - sum((y - p) ** 2) / (sum(y * y) - sum(y) * sum(y) / count(*)), 4) AS r2
+FROM scored"""
+
+ORACLE["price_all"] = f"""{LIVE}
+SELECT * FROM live"""
+
+ORACLE["price_all_totals"] = f"""{LIVE}
+SELECT count(*) AS total_zones, count(*) FILTER (WHERE round(final_multiplier, 2) > 1.0) AS surging_zones,
+       round(coalesce(avg(final_multiplier), 1.0{D}), 6) AS avg_multiplier,
+       coalesce(max(final_multiplier), 1.0{D}) AS max_multiplier
+FROM live"""
+
 # --- fleet / dashboard / look-ups ---------------------------------------------
 ORACLE["fleet_summary"] = f"""{CURRENT}
 SELECT count(*) AS total_zones, count(*) FILTER (WHERE round(rule_multiplier, 2) > 1.0) AS surging_zones,
@@ -328,6 +419,16 @@ SELECT r.request_id, r.zone_id, coalesce(c.city, 'unknown') AS city,
        coalesce({tier_sql('c.rule_multiplier')}, 'normal') AS surge_tier
 FROM req r LEFT JOIN cur c ON r.zone_id = c.zone_id"""
 
+ORACLE["price_list"] = f"""{LIVE}{REQUESTS}
+SELECT * FROM live WHERE zone_id IN (SELECT zone_id FROM req)"""
+
+ORACLE["price_one"] = f"""{LIVE}{REQUESTS}
+SELECT r.request_id, r.zone_id, coalesce(c.city, 'unknown') AS city, c.timestamp,
+       coalesce(c.rule_multiplier, 1.0{D}) AS rule_multiplier, coalesce(c.ml_multiplier, 1.0{D}) AS ml_multiplier,
+       coalesce(c.ml_confidence, 0.0{D}) AS ml_confidence, coalesce(c.ml_available, false) AS ml_available,
+       coalesce(c.final_multiplier, 1.0{D}) AS final_multiplier, coalesce(c.surge_tier, 'normal') AS surge_tier
+FROM req r LEFT JOIN live c ON r.zone_id = c.zone_id"""
+
 ORACLE["dashboard_table"] = f"""{CURRENT}
 SELECT zone_id, cd AS city_display, printf('%.2fx', rule_multiplier) AS multiplier_text,
        rule_multiplier AS final_multiplier, demand_1min, available_drivers, upper(tier) AS tier_label,
@@ -374,6 +475,62 @@ SELECT * FROM (
   GROUP BY ALL)
 WHERE window_end <= (SELECT max(event_time) FROM rides) - INTERVAL 120 SECOND"""
 
+SLICES = f"""{RIDES}, span AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events),
+sliced AS (SELECT rides.*, (epoch_us(event_time) - lo) * 4 // (hi - lo + 1) AS slice FROM rides, span)"""
+
+# the second slice arrives after the third; a batch is judged by the newest event of the batches before it
+ORACLE["stream_late_rows"] = f"""{SLICES}, arrived AS (
+  SELECT *, CASE slice WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE slice END::BIGINT AS batch_id FROM sliced
+), newest AS (
+  SELECT batch_id, max(max(event_time)) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+  FROM arrived GROUP BY batch_id
+)
+SELECT event_id, zone_id, event_time, batch_id, coalesce(event_time < seen - INTERVAL 120 SECOND, false) AS is_late
+FROM arrived JOIN newest USING (batch_id)"""
+
+STREAM_REPLAY = SLICES + f""", valid AS (SELECT * FROM sliced WHERE {REASON} = 'valid'),
+sagg AS (
+  SELECT slice, zone_id, city, count(event_id) AS n, trunc(avg(available_drivers))::INTEGER AS d,
+         trunc(avg(weather_severity))::INTEGER AS s, epoch_ms(max(timestamp_ms)) AS ts
+  FROM valid GROUP BY ALL
+), srow AS (
+  SELECT slice, zone_id, city, ts, n::BIGINT AS demand_1min, greatest(coalesce(d, 1), 1)::INTEGER AS drivers,
+         coalesce(s, 0)::INTEGER AS severity,
+         {rule_sql('n', 'greatest(coalesce(d, 1), 1)')} AS rule_multiplier
+  FROM sagg
+)"""
+
+ORACLE["stream_surge_replay"] = f"""{STREAM_REPLAY}
+SELECT slice::BIGINT AS batch_id, zone_id, city, ts AS timestamp, demand_1min, demand_1min * 5 AS demand_5min,
+       demand_1min * 15 AS demand_15min, drivers AS available_drivers, severity AS weather_severity,
+       demand_1min{D} / drivers{D} AS supply_ratio, rule_multiplier, rule_multiplier AS ml_multiplier,
+       rule_multiplier AS final_multiplier, 0.0{D} AS ml_confidence, false AS is_special_event
+FROM srow"""
+
+ORACLE["stream_batch_ledger"] = f"""{STREAM_REPLAY}
+SELECT slice::BIGINT AS batch_id, count(*) AS payloads, count(*) FILTER ({REASON} = 'valid') AS valid,
+       count(*) FILTER ({REASON} <> 'valid') AS failed, 0::BIGINT AS late,
+       (SELECT count(*) FROM srow WHERE srow.slice = sliced.slice) AS zones,
+       count(*) FILTER ({REASON} <> 'valid') AS dead_letters
+FROM sliced GROUP BY slice"""
+
+for _s in (60, 300, 900):
+    ORACLE[f"stream_windows_{_s}"] = ORACLE[f"demand_sliding_{_s}"]
+
+ORACLE["stream_weather_versions"] = f"""{RIDES}
+SELECT event_id AS obs_id, city, {wmo_sql('k')} AS severity, CASE WHEN k % 7 <> 0 THEN value / 10.0{D} - 5.0{D} END AS temperature,
+       event_time AS valid_from,
+       least(coalesce(lag(event_time) OVER (PARTITION BY city ORDER BY event_time DESC, event_id),
+                      event_time + INTERVAL 660 SECOND), event_time + INTERVAL 660 SECOND) AS valid_to
+FROM rides WHERE event_type = 'error'"""
+
+ORACLE["stream_ride_events"] = f"""{RIDES}, cal AS (
+  SELECT event_id, zone_id, timestamp_ms AS start_ms, timestamp_ms + (60 + (k * 180) // 99)::BIGINT * 60000 AS end_ms,
+         2.0{D} + k{D} / 50.0{D} AS multiplier
+  FROM rides WHERE event_type = 'signup')
+SELECT r.event_id, r.zone_id, c.event_id AS special_event_id, c.multiplier
+FROM rides r JOIN cal c ON c.zone_id = r.zone_id AND r.event_time >= epoch_ms(c.start_ms) AND r.event_time < epoch_ms(c.end_ms)"""
+
 ORACLE["stream_dedup"] = f"""{RIDES}
 SELECT event_id, zone_id, event_time FROM rides"""
 

@@ -16,12 +16,14 @@ from zonefare.functions import conditions as C
 from zonefare.functions.features import event_multiplier_default
 from zonefare.functions.timefeat import city_timezone, local_time, time_demand_multiplier, time_features
 from zonefare.model import training as M
+from zonefare.model.compile import default_ensemble, with_prediction
 from zonefare.operators import aggregate as A
 from zonefare.operators.aggregate import surge_rows, zone_demand_supply
-from zonefare.operators.calendar import date_dimension
-from zonefare.operators.joins import asof_join, interval_lookup, winner_segments
+from zonefare.operators.calendar import with_calendar
+from zonefare.operators.joins import asof_scan, interval_lookup, winner_segments
 from zonefare.operators.quality import dead_letters, range_violations, validate_events
-from zonefare.operators.windows import sliding_demand, trailing_counts
+from zonefare.operators.selection import exact_medians, impute
+from zonefare.operators.windows import sliding_demand, trailing_counts_scan
 from zonefare.plans import serving as S
 from zonefare.schemas import DLQ_SCHEMA, EVENT_SCHEMA, WEATHER_PAYLOAD_SCHEMA
 from zonefare.session import checkpoint_dir
@@ -30,6 +32,7 @@ from zonefare.sources.rides import ride_columns, rides, zone_dim
 from zonefare.sources.tables import is_folder, read_table, table_path
 from zonefare.streaming import jobs as J
 from zonefare.streaming import store as ST
+from zonefare.streaming.commitlog import CommitLog
 from zonefare.streaming.sources import ride_stream
 
 SURGE_COLUMNS = ("zone_id", "city", "demand_1min", "demand_5min", "demand_15min",
@@ -139,7 +142,7 @@ for _s in (60, 300, 900):
 
 @register("rolling_demand")
 def q_rolling_demand(spark, sf_dir):
-    t = trailing_counts(rides(spark, sf_dir), (60, 300, 900))
+    t = trailing_counts_scan(rides(spark, sf_dir), (60, 300, 900))
     return t.select("event_id", "zone_id", "timestamp_ms", "demand_60", "demand_300", "demand_900")
 
 
@@ -166,6 +169,27 @@ def q_zone_history_topn(spark, sf_dir):
     return S.zone_history(S.surge_history(spark, sf_dir, "hour"), 100)
 
 
+def _history_store(spark, sf_dir) -> str:
+    """The hour history in a store of its own: a commit a day, then compacted, so a date's files are clustered by zone."""
+    key = (spark.sparkContext.applicationId, sf_dir, "history")
+    if key not in _STREAM_RUNS:
+        root = _run_dir(spark, "history")
+        h = S.surge_history(spark, sf_dir, "hour")
+        ST.commit_prices(spark, root, "load", 0, h)
+        CommitLog(spark, root).compact(ST.HISTORY, "timestamp", "zone_id", min_files=2, target_bytes=16 << 10)
+        _STREAM_RUNS[key] = root
+    return _STREAM_RUNS[key]
+
+
+@register("zone_history_lookup")
+def q_zone_history_lookup(spark, sf_dir):
+    """Newest 100 history rows of one zone (the least requested id that has any), from the files that may hold it."""
+    root = _history_store(spark, sf_dir)
+    known = ST.read_current(spark, root).select("zone_id")
+    zone = DV.price_requests(spark, sf_dir).join(known, "zone_id", "left_semi").agg(F.min("zone_id")).first()[0]
+    return S.zone_history(ST.read_history(spark, root, zone=zone or ""), 100).drop("timestamp_iso")
+
+
 @register("retention_window")
 def q_retention_window(spark, sf_dir):
     h = S.surge_history(spark, sf_dir, "hour")
@@ -213,19 +237,14 @@ def _city_dates(spark, sf_dir):
 
 @register("calendar_features")
 def q_calendar_features(spark, sf_dir):
-    d = _city_dates(spark, sf_dir)
-    dim = date_dimension(d, "local_date")
-    return d.join(F.broadcast(dim), d["local_date"] == dim["date"]).select(
+    return with_calendar(_city_dates(spark, sf_dir), "local_date").select(
         "city", F.date_format("local_date", "yyyy-MM-dd").alias("local_date"), "n_events", "is_holiday",
         "days_to_next_holiday")
 
 
 @register("holiday_multiplier")
 def q_holiday_multiplier(spark, sf_dir):
-    d = _city_dates(spark, sf_dir)
-    dim = date_dimension(d, "local_date")
-    j = d.join(F.broadcast(dim), d["local_date"] == dim["date"])
-    return j.select("city", F.date_format("local_date", "yyyy-MM-dd").alias("local_date"),
+    return with_calendar(_city_dates(spark, sf_dir), "local_date").select("city", F.date_format("local_date", "yyyy-MM-dd").alias("local_date"),
                     "is_holiday", "is_holiday_eve",
                     C.holiday_multiplier(F.col("is_holiday"), F.col("is_holiday_eve")).alias("holiday_multiplier"))
 
@@ -287,10 +306,7 @@ def expected_demand_columns(r):
 def q_expected_demand_supply(spark, sf_dir):
     r = rides(spark, sf_dir).join(F.broadcast(city_dim(spark)), "city")  # 3-row dimension
     r = r.withColumn("local_time", local_time(F.col("event_time"), F.col("timezone")))
-    r = r.withColumn("local_date", F.to_date("local_time"))
-    dim = date_dimension(r.select("local_date"), "local_date")  # one row per day, broadcast
-    r = r.join(F.broadcast(dim), r["local_date"] == dim["date"], "left")
-    return expected_demand_columns(r)
+    return expected_demand_columns(with_calendar(r.withColumn("local_date", F.to_date("local_time")), "local_date"))
 
 
 # ---------------------------------------------------------------------------
@@ -301,7 +317,7 @@ def q_event_interval_join(spark, sf_dir):
     segs = winner_segments(DV.event_calendar(spark, sf_dir))
     facts = rides(spark, sf_dir).select("event_id", "zone_id", "timestamp_ms")
     j = interval_lookup(facts, segs.withColumnRenamed("event_id", "special_event_id"), "zone_id",
-                        "timestamp_ms", ["special_event_id", "multiplier"])
+                        "timestamp_ms", ["special_event_id", "multiplier"], bucket_ms=3_600_000)
     is_ev = F.col("special_event_id").isNotNull()
     return j.select("event_id", "zone_id", "special_event_id", is_ev.alias("is_special_event"),
                     F.coalesce(F.col("multiplier"), F.lit(1.0)).alias("event_demand_multiplier"),
@@ -312,8 +328,8 @@ def q_event_interval_join(spark, sf_dir):
 def q_weather_asof(spark, sf_dir):
     w = DV.weather_obs(spark, sf_dir)
     r = rides(spark, sf_dir).select("event_id", "city", "timestamp_ms")
-    j = asof_join(r, w, "city", "timestamp_ms", "updated_at_ms",
-                  ["obs_id", "weathercode", "temperature"], 660_000, tie="obs_id")
+    j = asof_scan(r, w, "city", "timestamp_ms", "updated_at_ms", ["obs_id", "weathercode", "temperature"],
+                  DEFAULT.weather_ttl_seconds * 1000, tie="obs_id")
     return j.select("event_id", "city", "obs_id",
                     F.coalesce(C.wmo_severity(F.col("weathercode")), F.lit(1)).alias("weather_severity"),
                     F.when(F.col("obs_id").isNull(), 15.0)
@@ -336,6 +352,30 @@ def q_feature_vector(spark, sf_dir):
     return _features(spark, sf_dir).select(*FEATURE_OUT)
 
 
+def with_conditions(h: DataFrame, weather: DataFrame, calendar: DataFrame, batch_seconds: int = 3600, cfg=DEFAULT) -> DataFrame:
+    """History rows with the conditions at the end of their batch: newest weather of the
+    city within the weather time-to-live, and the special event running in the zone."""
+    end = F.unix_millis("timestamp") + batch_seconds * 1000
+    h = h.withColumns({"__row": F.concat_ws("|", "zone_id", "city", F.unix_millis("timestamp")), "__end": end}).drop("is_special_event")
+    w = asof_scan(h, weather, "city", "__end", "updated_at_ms", ["obs_id", "temperature", "precipitation"],
+                  cfg.weather_ttl_seconds * 1000, tie="obs_id")
+    hour = F.hour(local_time(F.timestamp_millis("__end"), city_timezone(F.col("city"))))
+    w = w.withColumn("precipitation", C.hourly_value(F.col("precipitation"), hour))
+    segs = winner_segments(calendar).withColumnRenamed("event_id", "special_event_id")
+    e = interval_lookup(w, segs, "zone_id", "__end", ["special_event_id", "multiplier"], bucket_ms=3_600_000)
+    return (e.withColumn("is_special_event", F.col("special_event_id").isNotNull())
+            .withColumn("event_demand_multiplier", F.coalesce("multiplier", F.lit(1.0)))
+            .drop("__row", "__end", "obs_id", "updated_at_ms_matched", "special_event_id", "multiplier"))
+
+
+@register("feature_vector_conditions")
+def q_feature_vector_conditions(spark, sf_dir):
+    """The feature vector with observed weather and special events instead of defaults."""
+    h = S.surge_history(spark, sf_dir, "hour")
+    rich = with_conditions(h, DV.weather_obs(spark, sf_dir), DV.event_calendar(spark, sf_dir))
+    return S.feature_rows(rich, S.historical_baseline(h, 1000)).select(*FEATURE_OUT)
+
+
 @register("label_formula")
 def q_label_formula(spark, sf_dir):
     return _features(spark, sf_dir).select("zone_id", "city", "timestamp",
@@ -406,6 +446,40 @@ def q_price_lookup_default(spark, sf_dir):
         "ml_confidence", "surge_tier")
 
 
+def _newest_batch_end(h: DataFrame, batch_seconds: int = 3600) -> str:
+    """A minute after the end of the newest batch: the instant that the look-ups are asked at."""
+    newest = h.agg(F.max("timestamp") + F.expr(f"INTERVAL {batch_seconds + 60} SECONDS")).first()[0]
+    return str(newest) if newest is not None else "1970-01-01 00:00:00"
+
+
+def _live(spark, sf_dir, ids=None) -> DataFrame:
+    h = S.surge_history(spark, sf_dir, "hour")
+    return S.price_all(h, _newest_batch_end(h), default_ensemble(), ids=ids).select(*S.PRICE_COLUMNS)
+
+
+@register("price_all")
+def q_price_all(spark, sf_dir):
+    """Hybrid price of every zone with a current row."""
+    return _live(spark, sf_dir)
+
+
+@register("price_all_totals")
+def q_price_all_totals(spark, sf_dir):
+    return A.fleet_summary(_live(spark, sf_dir))
+
+
+@register("price_list")
+def q_price_list(spark, sf_dir):
+    """Hybrid price of the requested zones that have a current row."""
+    return _live(spark, sf_dir, DV.price_requests(spark, sf_dir))
+
+
+@register("price_one")
+def q_price_one(spark, sf_dir):
+    """Hybrid price per request, the default row where a zone has none."""
+    return S.price_requested(DV.price_requests(spark, sf_dir), _live(spark, sf_dir)).select("request_id", *S.PRICE_COLUMNS)
+
+
 @register("dashboard_table")
 def q_dashboard_table(spark, sf_dir):
     return S.dashboard_table(_current(spark, sf_dir))
@@ -429,6 +503,14 @@ def q_median_impute(spark, sf_dir):
     return f.agg(*[F.median(F.col(c).cast("double")).alias(f"median_{c}") for c in MEDIAN_FEATURES])
 
 
+@register("weather_imputed")
+def q_weather_imputed(spark, sf_dir):
+    """Weather readings with missing temperatures filled by the median of the known ones."""
+    w = DV.weather_obs(spark, sf_dir).select("obs_id", "city", "temperature")
+    filled = impute(w.withColumn("known", F.col("temperature")), exact_medians(w, ["temperature"]))
+    return filled.select("obs_id", "city", F.col("known").isNull().alias("was_missing"), "temperature")
+
+
 ZSCORE_FEATURES = ("demand_last_1min", "available_drivers", "supply_ratio", "demand_spike_factor")
 
 
@@ -446,6 +528,25 @@ def q_feature_zscore(spark, sf_dir):
     return f.select("zone_id", "city", "timestamp", *cols)
 
 
+@register("train_split_zscore")
+def q_train_split_zscore(spark, sf_dir):
+    """Every feature row's side of the 80/20 split, and its features standardised by the training side."""
+    f = _features(spark, sf_dir).withColumn("is_train", M.portable_split(F.col("zone_id"), F.col("timestamp")))
+    numbers = [F.col(c).cast("double").alias(c) for c in ZSCORE_FEATURES]
+    st = f.filter("is_train").select(*numbers).agg(
+        *[F.avg(c).alias(f"m_{c}") for c in ZSCORE_FEATURES], *[F.stddev_pop(c).alias(f"s_{c}") for c in ZSCORE_FEATURES]).first()
+    z = lambda c: (F.col(c).cast("double") - F.lit(st[f"m_{c}"])) / F.lit(st[f"s_{c}"]) if st[f"s_{c}"] else F.lit(0.0)
+    return f.select("zone_id", "city", "timestamp", "is_train", *[F.round(z(c), 6).alias(f"z_{c}") for c in ZSCORE_FEATURES])
+
+
+@register("ensemble_metrics")
+def q_ensemble_metrics(spark, sf_dir):
+    """MAE and R2 of the shipped ensemble on the test side of the split."""
+    f = _features(spark, sf_dir).filter(~M.portable_split(F.col("zone_id"), F.col("timestamp")))
+    p = with_prediction(f.withColumn(M.LABEL, S.label_column()), default_ensemble())
+    return M.error_metrics(p)
+
+
 # ---------------------------------------------------------------------------
 # streaming (file-source twin of the Kafka scan, availableNow trigger)
 # ---------------------------------------------------------------------------
@@ -467,6 +568,58 @@ def _events_stream(spark, sf_dir, extra=()):
     return ride_stream(spark, sf_dir, max_files_per_trigger=None, glob="events.parquet", extra=extra)
 
 
+#: A replay hands the table over in this many slices of equal time span; jobs with state of their own in fewer.
+REPLAY_SLICES, STATE_SLICES = 4, 3
+
+
+def _time_slice(events: DataFrame, n: int = REPLAY_SLICES):
+    """The number of an event's slice: n equal spans between the first and the last event."""
+    span = events.agg(F.unix_micros(F.min("ts").cast("timestamp")).alias("lo"), F.unix_micros(F.max("ts").cast("timestamp")).alias("hi")).first()
+    lo, hi = (span.lo, span.hi) if span.lo is not None else (0, 0)
+    return F.expr(f"int(coalesce((unix_micros(cast(ts as timestamp)) - {lo}) * {n} div {hi - lo + 1}, 0))")
+
+
+def _replay(spark, sf_dir, name: str, start, order=tuple(range(REPLAY_SLICES)), flush=None) -> str:
+    """Run a streaming job over the events table slice by slice.
+
+    `start(path, root)` starts the job over the files that have arrived under `path`; it
+    is started anew from its checkpoint for every slice, takes what is there as one
+    batch and stops.  `order`: which slice comes when; `flush`: rows that follow the
+    table, to move the watermark past its end.  Returns the run's folder.
+    """
+    root = _run_dir(spark, name)
+    events = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    staged = events.withColumn("__slice", _time_slice(events, len(order)))
+    staged.write.partitionBy("__slice").parquet(f"{root}/staged")
+    arrivals = [spark.read.schema(events.schema).parquet(f"{root}/staged/__slice={i}") for i in order
+                if is_folder(spark, f"{root}/staged/__slice={i}")]
+    for i, rows in enumerate(arrivals + ([flush(events)] if flush else [])):
+        rows.write.parquet(f"{root}/src/{i}")
+        start(f"{root}/src/*", root).awaitTermination()
+    return root
+
+
+def _replay_rides(spark, path, extra=()):
+    return ride_stream(spark, path, max_files_per_trigger=None, extra=extra)
+
+
+def _replay_sink(spark, sf_dir, name, build, flush=None, slices: int = STATE_SLICES) -> DataFrame:
+    """Rows that a streaming DataFrame (`build(path)`) appends over a replay in time order."""
+    late = []
+
+    def start(path, root):
+        q = (build(path).writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", f"{root}/_checkpoint").option("path", f"{root}/out").trigger(availableNow=True).start())
+        q.awaitTermination()
+        late.append(sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in p.get("stateOperators", [])))
+        return q
+
+    root = _replay(spark, sf_dir, name, start, tuple(range(slices)), flush)
+    if sum(late):
+        raise ValueError(f"{name}: {sum(late)} rows dropped as late")
+    return spark.read.parquet(f"{root}/out")
+
+
 def _surge_stream_root(spark, sf_dir) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STREAM_RUNS:
@@ -504,30 +657,131 @@ def q_stream_current_view(spark, sf_dir):
 @register("stream_dead_letters")
 def q_stream_dead_letters(spark, sf_dir):
     root = _surge_stream_root(spark, sf_dir)
-    return spark.read.parquet(f"{root}/dead_letters").select("event_id", "failure_reason", "failed_at_ms")
+    return ST.read_dead_letters(spark, root).select("event_id", "failure_reason", "failed_at_ms")
 
 
 @register("stream_sliding_demand")
 def q_stream_sliding_demand(spark, sf_dir):
-    return _sink_and_read(spark, J.sliding_demand_stream(_events_stream(spark, sf_dir), 60), "sliding")
+    return _replay_sink(spark, sf_dir, "sliding", lambda path: J.sliding_demand_stream(_replay_rides(spark, path), 60))
 
 
 @register("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
-    once = _events_stream(spark, sf_dir)
-    again = _events_stream(spark, sf_dir)  # the same records delivered twice
-    d = J.dedup_stream(once.unionByName(again))
-    return _sink_and_read(spark, d.select("event_id", "zone_id", "event_time"), "dedup")
+    def twice(path):  # the same records delivered twice
+        d = J.dedup_stream(_replay_rides(spark, path).unionByName(_replay_rides(spark, path)))
+        return d.select("event_id", "zone_id", "event_time")
+    return _replay_sink(spark, sf_dir, "dedup", twice)
+
+
+def _calendar(signups: DataFrame) -> DataFrame:
+    """The special events that `signup` rides stand for."""
+    k = F.col("k")
+    return signups.select(
+        "zone_id", "event_id", F.col("timestamp_ms").alias("start_ms"),
+        (F.col("timestamp_ms") + (F.lit(60) + F.floor(k * 180 / 99)).cast("long") * 60_000).alias("end_ms"),
+        (F.lit(2.0) + k.cast("double") / 50.0).alias("multiplier"))
+
+
+def _end_of_replay(events: DataFrame) -> DataFrame:
+    """One row a week after the last event: it moves the watermark past every start and is itself still waiting at the end."""
+    last = events.agg(F.max("ts").alias("ts")).filter("ts IS NOT NULL")
+    return last.select(F.lit(-1).cast("long").alias("event_id"), (F.col("ts") + F.expr("INTERVAL 7 DAYS")).alias("ts"),
+                       F.lit(0).cast("long").alias("user_id"), F.lit("signup").alias("event_type"), F.lit(0.0).alias("value"),
+                       F.lit('{"k": 0}').alias("props"))
 
 
 @register("stream_event_state")
 def q_stream_event_state(spark, sf_dir):
-    r = _events_stream(spark, sf_dir, ("k", "event_type")).filter(F.col("event_type") == "signup")
-    k = F.col("k")
-    cal = r.select("zone_id", "event_id", F.col("timestamp_ms").alias("start_ms"),
-                   (F.col("timestamp_ms") + (F.lit(60) + F.floor(k * 180 / 99)).cast("long") * 60_000).alias("end_ms"),
-                   (F.lit(2.0) + k.cast("double") / 50.0).alias("multiplier"))
-    return _sink_and_read(spark, J.event_state_stream(cal), "event_state")
+    """One special event per zone at a time, decided by event-time timers over a replay in slices."""
+    J.rocksdb_state(spark)
+
+    def accepted(path):
+        r = _replay_rides(spark, path, ("k", "event_type")).filter(F.col("event_type") == "signup")
+        return J.event_state_stream(_calendar(r))
+    return _replay_sink(spark, sf_dir, "event_state", accepted, flush=_end_of_replay, slices=2)
+
+
+#: Order of arrival of the slices where late rows are wanted: the second one comes after the third.
+LATE_ORDER = (0, 2, 1, 3)
+
+
+@register("stream_late_rows")
+def q_stream_late_rows(spark, sf_dir):
+    """Every ride of a replay with a late slice: its batch, and whether it was on time."""
+    def start(path, root):
+        return J.on_time_job(_replay_rides(spark, path), f"{root}/store", f"{root}/_checkpoint", available_now=True)
+    log = CommitLog(spark, _replay(spark, sf_dir, "late", start, order=LATE_ORDER) + "/store")
+    return (log.read("on_time").withColumn("is_late", F.lit(False))
+            .unionByName(log.read("late").withColumn("is_late", F.lit(True)))
+            .select("event_id", "zone_id", "event_time", "batch_id", "is_late"))
+
+
+def _windows_root(spark, sf_dir) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir, "windows")
+    if key not in _STREAM_RUNS:
+        def start(path, root):
+            return J.shared_windows_job(_replay_rides(spark, path), f"{root}/store", f"{root}/_checkpoint", available_now=True)
+        _STREAM_RUNS[key] = _replay(spark, sf_dir, "windows", start, tuple(range(STATE_SLICES))) + "/store"
+    return _STREAM_RUNS[key]
+
+
+def _stream_windows(seconds):
+    def q(spark, sf_dir):
+        """Windows of one length, from the panes that the three lengths share, after a replay in batches."""
+        return J.current_windows(spark, _windows_root(spark, sf_dir), seconds)
+    return q
+
+
+for _s in (60, 300, 900):
+    register(f"stream_windows_{_s}")(_stream_windows(_s))
+
+
+@register("stream_ride_events")
+def q_stream_ride_events(spark, sf_dir):
+    """Rides and the special events running in their zone, joined as two streams."""
+    def joined(path):
+        r = _replay_rides(spark, path, ("k", "event_type"))
+        cal = _calendar(r.filter(F.col("event_type") == "signup"))
+        both = J.ride_events_stream(_replay_rides(spark, path).select("event_id", "zone_id", "event_time"), cal)
+        return both.select("event_id", "zone_id", "special_event_id", "multiplier")
+    return _replay_sink(spark, sf_dir, "ride-events", joined)
+
+
+@register("stream_weather_versions")
+def q_stream_weather_versions(spark, sf_dir):
+    """Every weather reading with the time it holds, after a replay in batches."""
+    def start(path, root):
+        r = _replay_rides(spark, path, ("k", "event_type", "value"))
+        return J.weather_job(DV.weather_columns(r), f"{root}/store", f"{root}/_checkpoint", available_now=True)
+    return J.weather_versions(spark, _replay(spark, sf_dir, "weather", start) + "/store").select(
+        "obs_id", "city", "severity", "temperature", "valid_from", "valid_to")
+
+
+def _surge_replay_root(spark, sf_dir) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir, "replay")
+    if key not in _STREAM_RUNS:
+        def start(path, root):
+            payloads = DV.payload_text(_replay_rides(spark, path, ("k", "event_type")))
+            return J.surge_stream_job(payloads, f"{root}/store", f"{root}/_checkpoint", available_now=True)
+        _STREAM_RUNS[key] = _replay(spark, sf_dir, "surge-replay", start) + "/store"
+    return _STREAM_RUNS[key]
+
+
+@register("stream_surge_replay")
+def q_stream_surge_replay(spark, sf_dir):
+    """History rows of the pricing stream over several batches, each of them one commit of the store."""
+    return ST.read_history(spark, _surge_replay_root(spark, sf_dir)).select("batch_id", *S.HISTORY_COLUMNS)
+
+
+@register("stream_batch_ledger")
+def q_stream_batch_ledger(spark, sf_dir):
+    """Per batch: payloads read, valid, failed and late ones, and what the store holds of it."""
+    root = _surge_replay_root(spark, sf_dir)
+    zones = ST.read_history(spark, root).groupBy("batch_id").agg(F.count(F.lit(1)).alias("zones"))
+    dead = ST.read_dead_letters(spark, root).groupBy("batch_id").agg(F.count(F.lit(1)).alias("dead_letters"))
+    return (ST.read_ledger(spark, root).join(zones, "batch_id", "left").join(dead, "batch_id", "left")
+            .select("batch_id", "payloads", "valid", "failed", "late", F.coalesce("zones", F.lit(0)).alias("zones"),
+                    F.coalesce("dead_letters", F.lit(0)).alias("dead_letters")))
 
 
 # ---------------------------------------------------------------------------
@@ -600,12 +854,9 @@ def q_surge_by_zone_hour(spark, sf_dir):
 def q_stream_expected_demand(spark, sf_dir):
     """The ride stream enriched by stream-static joins (zone and city
     dimensions, broadcast) and calendar expressions, priced per event."""
-    from zonefare.functions.timefeat import is_us_holiday
     r = _events_stream(spark, sf_dir).join(F.broadcast(city_dim(spark)), "city")
     r = r.withColumn("local_time", local_time(F.col("event_time"), F.col("timezone")))
-    ld = F.to_date("local_time")
-    r = (r.withColumn("is_holiday", is_us_holiday(ld))
-         .withColumn("is_holiday_eve", ~F.col("is_holiday") & is_us_holiday(F.date_add(ld, 1))))
+    r = with_calendar(r.withColumn("local_date", F.to_date("local_time")), "local_date")
     return _sink_and_read(spark, expected_demand_columns(r), "expected")
 
 

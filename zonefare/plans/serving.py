@@ -15,8 +15,10 @@ from zonefare.functions.features import (clip_prediction, confidence, label_mult
                                          spike_factor, supply_ratio_feature)
 from zonefare.functions.pricing import final_multiplier, surge_tier
 from zonefare.functions.timefeat import city_timezone, local_time, time_features
+from zonefare.model.compile import Ensemble, with_prediction
 from zonefare.operators.aggregate import nonzero_mean, surge_rows, zone_demand_supply
 from zonefare.operators.latest import latest_per_key, newest_n_per_key
+from zonefare.operators.scan import blocks_for, checkpointed, in_blocks, last_known, running_sums
 from zonefare.sources.rides import rides
 
 HISTORY_COLUMNS = ("zone_id", "city", "timestamp", "demand_1min", "demand_5min", "demand_15min",
@@ -76,18 +78,22 @@ def with_local_time(df: DataFrame, ts: str, cfg: PricingConfig = DEFAULT) -> Dat
 def feature_rows(history: DataFrame, baseline: DataFrame, cfg: PricingConfig = DEFAULT) -> DataFrame:
     """The 21-feature vector per history row (city-local time features).
 
-    Calendar features come from the date dimension of the local dates
-    present (one row per day, broadcast); the baseline has one row per zone
-    and carries no hint, so AQE broadcasts it only when it is small.
+    Calendar features are expressions; the baseline has one row per zone and
+    carries no hint, so AQE broadcasts it only when it is small.  Temperature,
+    precipitation and the event's multiplier are taken from the history rows
+    where they have them.
     """
-    from zonefare.operators.calendar import date_dimension
+    from zonefare.operators.calendar import with_calendar
     h = with_local_time(history, "timestamp", cfg).withColumn("local_date", F.to_date("local_time"))
-    dim = date_dimension(h.select("local_date"), "local_date", cfg=cfg)
-    h = (h.join(baseline, "zone_id", "left")
-         .join(F.broadcast(dim), h["local_date"] == dim["date"], "left"))
+    h = with_calendar(h, "local_date", cfg).join(baseline, "zone_id", "left")
     hist_d = F.coalesce(F.col("avg_demand"), F.lit(20.0))
     hist_s = F.coalesce(F.col("avg_surge"), F.lit(1.0))
     tf = time_features(F.col("local_time"))
+
+    def given(name: str, default: float) -> Column:
+        """A condition that the history rows carry, else its default."""
+        return F.col(name) if name in history.columns else F.lit(default).alias(name)
+
     return h.select(
         "zone_id", "city", "timestamp", "rule_multiplier",
         F.col("demand_1min").alias("demand_last_1min"),
@@ -99,12 +105,11 @@ def feature_rows(history: DataFrame, baseline: DataFrame, cfg: PricingConfig = D
         *[c.alias(n) for n, c in tf.items()],
         F.coalesce(F.col("is_holiday"), F.lit(False)).alias("is_holiday"),
         F.coalesce(F.col("days_to_next_holiday"), F.lit(cfg.holiday_lookahead_days)).alias("days_to_next_holiday"),
-        F.lit(15.0).alias("temperature"), F.lit(0.0).alias("precipitation"),
+        given("temperature", 15.0), given("precipitation", 0.0),
         "weather_severity",
         F.round(hist_d, 2).alias("historical_avg_demand"),
         F.round(hist_s, 2).alias("historical_avg_surge"),
-        F.col("is_special_event"),
-        F.lit(1.0).alias("event_demand_multiplier")).transform(fill_feature_defaults)
+        F.col("is_special_event"), given("event_demand_multiplier", 1.0)).transform(fill_feature_defaults)
 
 
 def fill_feature_defaults(df: DataFrame) -> DataFrame:
@@ -142,6 +147,44 @@ def hybrid_prices(features: DataFrame, prediction: Column, cfg: PricingConfig =
                     surge_tier(fin, cfg).alias("surge_tier"))
 
 
+PRICE_COLUMNS = ("zone_id", "city", "timestamp", "rule_multiplier", "ml_multiplier", "ml_confidence", "ml_available",
+                 "final_multiplier", "surge_tier")
+
+
+def live_prices(features: DataFrame, ensemble: Ensemble | None, cfg: PricingConfig = DEFAULT) -> DataFrame:
+    """Hybrid price of every feature row: the model raises the rule price where its
+    confidence reaches the gate (`cfg.confidence_threshold`).  Without a model every
+    row has the rule price, prediction 1.0, confidence 0.0 and `ml_available` false."""
+    if ensemble is None:
+        ml, conf, scored = F.lit(1.0), F.lit(0.0), features
+    else:
+        scored = with_prediction(features, ensemble, "__raw")
+        ml = clip_prediction(F.col("__raw"), cfg)
+        conf = confidence(F.col("demand_last_1min"), F.col("historical_avg_demand"), F.col("ml_multiplier"))
+    p = scored.withColumn("ml_multiplier", ml).withColumn("ml_confidence", conf)
+    fin = final_multiplier(F.col("rule_multiplier"), F.col("ml_multiplier"), F.col("ml_confidence"), cfg)
+    return p.select("zone_id", "city", "timestamp", "rule_multiplier", "ml_multiplier", "ml_confidence",
+                    F.lit(ensemble is not None).alias("ml_available"),
+                    F.round(fin, 2).alias("final_multiplier"), surge_tier(fin, cfg).alias("surge_tier"))
+
+
+def price_all(history: DataFrame, as_of, ensemble: Ensemble | None, batch_seconds: int = 3600,
+              cfg: PricingConfig = DEFAULT, ids: DataFrame | None = None) -> DataFrame:
+    """Live price of every zone whose current row is within the surge time-to-live at
+    `as_of`; with `ids` (a table of zone ids) of those zones only, absent ones left out."""
+    cur = current_as_of(history, as_of, cfg.surge_ttl_seconds, batch_seconds).filter("is_fresh")
+    if ids is not None:  # repeated ids are made one before the join
+        cur = cur.join(ids.select("zone_id").distinct(), "zone_id", "left_semi")
+    base = historical_baseline(history, 1000)
+    return live_prices(feature_rows(cur.select(*HISTORY_COLUMNS), base, cfg), ensemble, cfg)
+
+
+def price_requested(requests: DataFrame, prices: DataFrame) -> DataFrame:
+    """One row per request: the zone's live price, or the default row for a zone without one."""
+    from zonefare.operators.joins import lookup_with_default
+    return lookup_with_default(requests, prices, "zone_id", {**default_price(), "ml_available": F.lit(False)})
+
+
 def default_price() -> dict[str, Column]:
     """The row served for a zone without a current value."""
     return {
@@ -172,16 +215,19 @@ def dashboard_table(current: DataFrame) -> DataFrame:
         .orderBy(F.desc("final_multiplier"), "zone_id"))
 
 
-def history_series(history: DataFrame) -> DataFrame:
-    """Per-zone multiplier series in time order with the change from the
-    previous point (chart data).  The window is per zone over history rows
-    (zone-batches, not events)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("zone_id").orderBy("timestamp")
-    return history.select(
+def history_series(history: DataFrame, rows_per_block: int = 100_000) -> DataFrame:
+    """Per-zone multiplier series in time order with the change from the previous
+    point (chart data).  A blocked scan: a zone with most rows is spread over many
+    blocks, its point numbers and previous values are carried from block to block."""
+    rows = history.select("zone_id", "city", "timestamp", "final_multiplier", "rule_multiplier", "ml_multiplier",
+                          F.lit(1).cast("long").alias("__one"))
+    stored = checkpointed(in_blocks(rows, ["zone_id", "timestamp", "city"], blocks_for(rows, rows_per_block)))
+    counted = running_sums(stored, {"point": "__one"}, ["zone_id"], inclusive=True)
+    known = last_known(counted, {"__previous": F.col("final_multiplier")}, ["zone_id"], inclusive=False)
+    return known.select(
         "zone_id", "city", "timestamp", "final_multiplier", "rule_multiplier", "ml_multiplier",
-        F.row_number().over(w).alias("point"),
-        F.round(F.col("final_multiplier") - F.lag("final_multiplier").over(w), 6).alias("delta"))
+        F.col("point").cast("int").alias("point"),
+        F.round(F.col("final_multiplier") - F.col("__previous"), 6).alias("delta"))
 
 
 def price_zones(spark: SparkSession, current: DataFrame, zone_ids: list[str],

@@ -57,8 +57,12 @@ def ride_payloads(spark: SparkSession, sf_dir: str, cfg: PricingConfig = DEFAULT
 
 
 def weather_obs(spark: SparkSession, sf_dir: str, cfg: PricingConfig = DEFAULT) -> DataFrame:
-    r = (rides(spark, sf_dir, cfg, extra=("k", "event_type", "value"))
-         .filter(F.col("event_type") == "error"))
+    return weather_columns(rides(spark, sf_dir, cfg, extra=("k", "event_type", "value")))
+
+
+def weather_columns(r: DataFrame) -> DataFrame:
+    """The observations that ride rows (with k, event_type and value) stand for."""
+    r = r.filter(F.col("event_type") == "error")
     k = F.col("k")
     hours = F.sequence(F.lit(0), F.lit(11) + k % 13)
     precip = F.transform(hours, lambda h: ((k + h) % 10).cast("double") / 10.0)
