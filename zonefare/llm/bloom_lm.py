@@ -15,11 +15,11 @@ their training documents, and a bucket's partial counts meet once.
 
 Scoring sees the filter and nothing else.  Texts are cut into chunks and kept as token
 streams (word hashes of the chunk, and a code per token), so they are split into words
-once.  Regions are broadcast in groups of at most `GROUP_BYTES`; a pass over the streams
-probes the n-grams of the group's buckets where they are and notes their levels beside
-the stream.  One group is one pass; neither texts nor scored n-grams are shuffled.  The
-filter takes 2 bytes an (n-gram, level) pair, so a larger corpus means more groups, of
-the same size each.
+once.  Regions are broadcast in groups of at most `GROUP_BYTES`.  A task takes up one
+group after the other for the chunks it holds and probes their n-grams of the group's
+buckets, so it never has more than one group in memory, reads its streams once, and
+shuffles neither texts nor scored n-grams.  The filter takes 2 bytes an (n-gram, level)
+pair: a larger corpus means more groups of the same size.
 
 A token's probability depends on its levels alone.  Documents keep how often each
 combination of levels occurs in them; the sums over the training documents (one
@@ -53,8 +53,10 @@ PROBES = 2
 #: Frequent tokens that are broadcast with their counts: at most so many, and of at most so many bytes each.
 HEAD = 1 << 18
 HEAD_TOKEN_BYTES = 64
-#: Bytes of the filter that are broadcast at once.
-GROUP_BYTES = 96 << 20
+#: Bytes of the filter in one broadcast, of which a task holds one at a time.
+GROUP_BYTES = 32 << 20
+#: Chunks that a scoring task holds while the groups pass by.
+HELD_CHUNKS = 16
 #: Distinct n-grams that a task adds up before it sends them on.
 COUNTED = 4_000_000
 TUNING_ROUNDS = 8
@@ -164,7 +166,7 @@ def numbered_chunks(batches):
 def stream_schema(id_type: str) -> str:
     """A chunk: its documents (id, split, tokens, exact parts of the base score) and its token stream."""
     return (f"chunk string, ids array<{id_type}>, held array<boolean>, n_tokens array<long>, known_head array<long>, base_head array<double>, "
-            "rare array<array<string>>, times array<array<long>>, hashes binary, codes binary, levels binary")
+            "rare array<array<string>>, times array<array<long>>, hashes binary, codes binary")
 
 
 def _stream_task(head_data, n, v):
@@ -198,9 +200,8 @@ def _stream_task(head_data, n, v):
                 one(pa.array(np.bincount(doc, minlength=m).astype(np.int64))),
                 one(pa.array(np.bincount(doc, common, m).astype(np.int64))), one(pa.array(np.bincount(doc, base, m))),
                 one(rare), one(times), pa.array([packed(word_hashes(vocab)[order] & np.uint64(KEY_MASK))], pa.binary()),
-                pa.array([place[codes].astype("<u4" if len(vocab) > 1 << 16 else "<u2").tobytes()], pa.binary()),
-                pa.array([b""], pa.binary())],
-                names=["chunk", "ids", "held", "n_tokens", "known_head", "base_head", "rare", "times", "hashes", "codes", "levels"])
+                pa.array([place[codes].astype("<u4" if len(vocab) > 1 << 16 else "<u2").tobytes()], pa.binary())],
+                names=["chunk", "ids", "held", "n_tokens", "known_head", "base_head", "rare", "times", "hashes", "codes"])
     return run
 
 
@@ -265,44 +266,60 @@ def _region_task():
     return run
 
 
-def _probe_task(regions, order: int, buckets: int, last: bool):
-    """Adds the levels of the n-grams of the broadcast regions; the last pass turns a chunk into rows of its documents."""
+def _probe_task(groups, order: int, buckets: int):
+    """Chunks of token streams -> rows of their documents with the combinations of levels.
+
+    A task holds `HELD_CHUNKS` chunks, loads one group of regions after the other,
+    probes the n-grams of its buckets, and lets the group go.
+    """
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        filters = {b: Filter(bits, 1, size) for b, size, bits in regions.value}
-        for batch in batches:
-            for i in range(len(batch)):
-                row = batch.slice(i, 1)
-                field = lambda c: row.column(row.schema.get_field_index(c))
-                n_tokens = field("n_tokens").flatten().to_numpy(zero_copy_only=False)
-                h, doc = read_stream(field("hashes")[0].as_py(), field("codes")[0].as_py(), n_tokens)
-                keys, where = np.unique(np.concatenate(ngram_hashes(h, doc, order)), return_inverse=True)
-                known = np.zeros(len(keys), np.uint8)
-                bucket = bucket_of(keys, buckets)
-                cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(keys))
-                for a, b in zip(cut, cut[1:]):
-                    if (flt := filters.get(int(bucket[a]))) is not None:
-                        known[a:b] = flt.levels(keys[a:b])
-                level = known[where]
-                before = field("levels")[0].as_py()
-                if before:  # every n-gram is in one bucket, so in one pass
-                    level = level | np.frombuffer(before, np.uint8)
-                if not last:
-                    at = row.schema.get_field_index("levels")
-                    yield row.set_column(at, row.schema.field(at), pa.array([level.tobytes()], pa.binary()))
+        def keys_of(row):
+            field = lambda c: row.column(row.schema.get_field_index(c))
+            n_tokens = field("n_tokens").flatten().to_numpy(zero_copy_only=False)
+            h, doc = read_stream(field("hashes")[0].as_py(), field("codes")[0].as_py(), n_tokens)
+            keys, where = np.unique(np.concatenate(ngram_hashes(h, doc, order)), return_inverse=True)
+            bucket = bucket_of(keys, buckets)
+            cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(keys))
+            spans = {int(bucket[a]): (a, b) for a, b in zip(cut, cut[1:])}
+            return row, doc, keys, where.astype(np.int32), spans, np.zeros(len(keys), np.uint8)
+
+        def finish(held):
+            for (first, last), shared in groups:
+                if not any(first <= x <= last for chunk in held for x in chunk[4]):
                     continue
-                m, level = len(n_tokens), level.reshape(order, -1)
+                for bucket, size, bits in shared.value:
+                    flt = Filter(bits, 1, size)
+                    for _, _, keys, _, spans, known in held:
+                        if bucket in spans:
+                            a, b = spans[bucket]
+                            known[a:b] = flt.levels(keys[a:b])
+                del flt, bits
+                vars(shared).pop("_value", None)  # the worker would keep every group it has seen
+            for row, doc, _, where, _, known in held:
+                field = lambda c: row.column(row.schema.get_field_index(c))  # noqa: E731, B023
+                m, level = len(field("n_tokens").flatten()), known[where].reshape(order, -1)
                 kinds, kind = np.unique(level_tuples(level, doc), return_inverse=True)
                 combo = np.unique(doc * len(kinds) + kind, return_counts=True)
-                ends = pa.array(np.searchsorted(combo[0] // max(1, len(kinds)), np.arange(m + 1)).astype(np.int32))
+                ends = pa.array(np.searchsorted(combo[0] // len(kinds), np.arange(m + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
                     *(field(c).flatten() for c in ("ids", "held")), pa.array([field("chunk")[0].as_py()] * m, pa.string()), pa.array(np.arange(m)),
                     *(field(c).flatten() for c in ("n_tokens", "known_head", "base_head")),
-                    pa.ListArray.from_arrays(ends, pa.array(kinds[combo[0] % max(1, len(kinds))])), pa.ListArray.from_arrays(ends, pa.array(combo[1].astype(np.int32))),
+                    pa.ListArray.from_arrays(ends, pa.array(kinds[combo[0] % len(kinds)])), pa.ListArray.from_arrays(ends, pa.array(combo[1].astype(np.int32))),
                     *(field(c).flatten() for c in ("rare", "times"))],
                     names=["doc_id", "held_out", "chunk", "row", "n_tokens", "known_head", "base_head", "combos", "combo_times", "rare", "times"])
+
+        held = []
+        for batch in batches:
+            for i in range(len(batch)):
+                held.append(keys_of(batch.slice(i, 1)))
+                if len(held) == HELD_CHUNKS:
+                    yield from finish(held)
+                    held = []
+        if held:
+            yield from finish(held)
     return run
 
 
@@ -485,19 +502,17 @@ def score_documents(docs: DataFrame, order: int = ORDER, head: int = HEAD, group
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * order / BUCKET_TOKENS))
     grams = streams.select("hashes", "codes", "n_tokens", "held").mapInArrow(_count_task(order, buckets), "bucket int, keys binary, n binary")
     regions = materialize(grams.groupBy("bucket").applyInArrow(_region_task(), "bucket int, size long, bits binary"), "lm-filter")
-    groups = region_groups([(r["bucket"], r["size"]) for r in regions.select("bucket", "size").collect()], group_bytes)
-    out = (f"doc_id {id_type}, held_out boolean, chunk string, row long, n_tokens long, known_head long, base_head double, "
-           "combos array<long>, combo_times array<int>, rare array<string>, times array<long>")
-    for i, (first, last) in enumerate(groups):
-        held = [(r["bucket"], r["size"], bytes(r["bits"])) for r in regions.where(F.col("bucket").between(first, last)).collect()]
-        shared = spark.sparkContext.broadcast(held)
-        done = i == len(groups) - 1
-        probed = streams.mapInArrow(_probe_task(shared, order, buckets, done), out if done else stream_schema(id_type))
-        earlier = path
-        streams, path = stored_table(probed, "lm-scored" if done else "lm-streams")
-        delete_path(spark, earlier)
+    groups = []
+    for first, last in region_groups([(r["bucket"], r["size"]) for r in regions.select("bucket", "size").collect()], group_bytes):
+        part = regions.where(F.col("bucket").between(first, last)).collect()
+        groups.append(((first, last), spark.sparkContext.broadcast([(r["bucket"], r["size"], bytes(r["bits"])) for r in part])))
+        del part
+    scored = materialize(streams.mapInArrow(
+        _probe_task(groups, order, buckets), f"doc_id {id_type}, held_out boolean, chunk string, row long, n_tokens long, known_head long, "
+        "base_head double, combos array<long>, combo_times array<int>, rare array<string>, times array<long>"), "lm-scored")
+    delete_path(spark, path)
+    for _, shared in groups:
         shared.destroy()
-    scored = streams
 
     # a row for each combination of levels: their number is bounded by the levels, not by the corpus
     occurs = scored.select("held_out", F.explode(F.arrays_zip("combos", "combo_times")).alias("x")).groupBy(F.col("x.combos").alias("combo")).agg(
