@@ -38,20 +38,22 @@ def next_interval(cal: DataFrame, key: str, start: str, end: str, tie: str,
     qry = c.select("_k", F.floor(F.col("_e") / bucket_ms).alias("_b"), F.col("_e").alias("_t"), F.lit(0).alias("_kind"),
                    F.lit(None).cast(own.schema["_c"].dataType).alias("_c"),
                    F.col("_id").cast("string").alias("_q"))
-    w = (Window.partitionBy("_k", "_b").orderBy("_t", "_kind", F.col("_c.id"))
-         .rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    # backwards in time: a frame that starts at the partition's first row is carried on from row to row, one that
+    # ends at its last row would be read anew for every row
+    w = (Window.partitionBy("_k", "_b").orderBy(F.desc("_t"), F.desc("_kind"), F.desc("_c.id"))
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     a = (qry.unionByName(own).unionByName(ctx)
-         .withColumn("_n", F.first("_c", ignorenulls=True).over(w))
+         .withColumn("_n", F.last("_c", ignorenulls=True).over(w))
          .filter(F.col("_kind") == 0)
          .select("_k", "_b", F.col("_q").alias("_id"), F.col("_n.id").alias("_nid")))
     # not found in the end's bucket and the next one: the first start from two buckets on
     firsts = c.groupBy("_k", "_b").agg(F.min(cand).alias("_f"))
     need = a.filter(F.col("_nid").isNull()).select("_k", (F.col("_b") + 2).alias("_pos")).distinct()
-    wf = (Window.partitionBy("_k").orderBy("_pos", "_kind")
-          .rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    wf = (Window.partitionBy("_k").orderBy(F.desc("_pos"), F.desc("_kind"))
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     far = (need.select("_k", "_pos", F.lit(0).alias("_kind"), F.lit(None).cast(firsts.schema["_f"].dataType).alias("_f"))
            .unionByName(firsts.select("_k", F.col("_b").alias("_pos"), F.lit(1).alias("_kind"), "_f"))
-           .withColumn("_n", F.first("_f", ignorenulls=True).over(wf))
+           .withColumn("_n", F.last("_f", ignorenulls=True).over(wf))
            .filter(F.col("_kind") == 0)
            .select("_k", (F.col("_pos") - 2).alias("_b"), F.col("_n.id").alias("_far")))
     out = a.join(far, ["_k", "_b"], "left").select(
@@ -68,7 +70,7 @@ def greedy_chain(cal: DataFrame, key: str = "zone_id", start: str = "start_ms",
     cal = cal.withColumn(tie, F.col(tie).cast("string"))
     jump = (next_interval(cal, key, start, end, tie, bucket_ms)
             .select(F.col(tie).alias("_id"), F.col("next_" + tie).alias("_to"))
-            .filter(F.col("_to").isNotNull()).checkpoint())
+            .filter(F.col("_to").isNotNull()).distinct().checkpoint())  # a row that comes twice would square in each round
     roots = cal.groupBy(key).agg(F.min(F.struct(F.col(start), F.col(tie))).alias("_f"))
     accepted = roots.select(F.col("_f." + tie).alias("_id")).checkpoint()
     for _ in range(max_rounds):
