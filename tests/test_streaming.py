@@ -315,3 +315,41 @@ def test_ride_event_join_state_falls_behind_the_watermark(spark, tmp_root, few_p
         q.awaitTermination()
         kept.append([op["numRowsTotal"] for p in q.recentProgress for op in p["stateOperators"]][-1])
     assert all(k < 350 for k in kept)  # a batch brings 250 rides; those of earlier days are gone
+
+
+def test_surge_batch_is_dealt_over_tasks(spark, tmp_root, monkeypatch):
+    """A batch that comes as one row group is not read by one task (before: one task held all payloads, decoded)."""
+    rides = [(i % 900, i % 11, i) for i in range(3000)]  # events come several times
+    ev = spark.createDataFrame(rides, "event_id long, user_id long, k long").select(
+        "event_id", F.timestamp_millis(F.lit(1_704_067_200_000) + F.col("event_id") * 1000).alias("ts"), "user_id",
+        F.when(F.col("k") % 5 == 0, "error").otherwise("view").alias("event_type"), F.lit(1.5).alias("value"),
+        F.format_string('{"k": %d}', F.col("event_id") % 100).alias("props"))
+    src, root = os.path.join(tmp_root, "src"), os.path.join(tmp_root, "out")
+    ev.coalesce(1).write.parquet(src)
+    seen, price = [], J.price_micro_batch
+
+    def spy(valid, cfg):
+        seen.append((valid.columns, [r[1] for r in valid.groupBy(F.spark_partition_id()).count().collect()]))
+        return price(valid, cfg)
+
+    monkeypatch.setattr(J, "price_micro_batch", spy)
+    payloads = DV.payload_text(ride_stream(spark, src, max_files_per_trigger=None, extra=("k", "event_type")))
+    q = J.surge_stream_job(payloads, root, os.path.join(tmp_root, "ckpt"), available_now=True)
+    q.awaitTermination()
+    dim = zone_dim(spark).select("zone_idx", "zone_id", "city", "latitude", "longitude")
+    v = validate_events(DV.payload_text(ride_columns(spark.read.parquet(src)).join(F.broadcast(dim), "zone_idx")))
+    valid = v.filter("failure_reason IS NULL").select("event.*").withColumn("event_time", F.timestamp_millis("timestamp_ms"))
+    (columns, rows), = seen
+    assert sum(rows) == valid.count() and max(rows) < sum(rows) / 2
+    assert set(columns) == {*J.PRICED_COLUMNS, "event_time"}
+    want, got = price(valid), ST.read_history(spark, root)
+    got = got.select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    dead, bad = ST.read_dead_letters(spark, root), v.filter("failure_reason IS NOT NULL").select("event_id", "failure_reason", "timestamp_ms", "value")
+    texts = dead.select("event_id", "failure_reason", "failed_at_ms", F.get_json_object("dlq_value", "$.original_event").alias("value"))
+    assert bad.count() > 500 and texts.exceptAll(bad).count() == 0 and bad.exceptAll(texts).count() == 0
+    assert len(dead.inputFiles()) == 1
+    n = ST.read_ledger(spark, root).first()
+    assert (n.payloads, n.valid, n.failed) == (3000, valid.count(), bad.count())
+    m = [p["observedMetrics"]["ride_payloads"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert sum(x["payloads"] for x in m) == 3000

@@ -49,6 +49,12 @@ def price_micro_batch(valid: DataFrame, cfg: PricingConfig = DEFAULT) -> DataFra
     return surge_rows(agg, cfg).select(*HISTORY_COLUMNS)
 
 
+#: What a valid payload hands over to pricing.
+PRICED_COLUMNS = ("event_id", "zone_id", "city", "available_drivers", "weather_severity", "timestamp_ms")
+#: Dead letters are written one file for about so many payloads of the batch: a small batch leaves few files, a task of a large one reads few.
+PAYLOADS_PER_FILE = 200_000
+
+
 def surge_stream_job(payloads: DataFrame, root: str, checkpoint: str,
                      cfg: PricingConfig = DEFAULT, available_now: bool = False):
     """JSON ride payloads -> validate -> (dead letters | price per zone) ->
@@ -57,27 +63,33 @@ def surge_stream_job(payloads: DataFrame, root: str, checkpoint: str,
     Every batch is one commit of the store.  Validation runs on the stream itself, so the valid / failed counts of
     every batch are reported in the query progress (`observedMetrics`).
     Only the needed columns cross into foreachBatch (pruning does not pass
-    that boundary).  The batch is persisted because three sinks read it;
-    errors propagate so the batch is retried from the checkpoint instead of
+    that boundary): a valid row hands over what its price needs, a failed one its text.
+    The batch is persisted because several sinks read it, dealt evenly over the
+    shuffle partitions first: a scan task may hold a whole row group, and its rows as
+    JSON text and decoded columns are many times the file.
+    Errors propagate so the batch is retried from the checkpoint instead of
     being lost.
     """
     v = validate_events(payloads.select("event_id", "timestamp_ms", "value"))
     ok = F.col("failure_reason").isNull()
     v = v.observe("ride_payloads", F.count(F.lit(1)).alias("payloads"),
                   F.count_if(ok).alias("valid"), F.count_if(~ok).alias("failed"))
+    v = v.select("event_id", "timestamp_ms", "failure_reason", F.when(~ok, F.col("value")).alias("value"),
+                 F.when(ok, F.struct(*[F.col("event")[c].alias(c) for c in PRICED_COLUMNS])).alias("event"))
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        b = batch_df.persist()
+        b = batch_df.repartition("event_id", "timestamp_ms").persist()
         try:
-            if b.isEmpty():  # nothing to price; keep the previous snapshot
+            n = b.agg(F.count(F.lit(1)).alias("payloads"),
+                      F.count_if(F.col("failure_reason").isNull()).alias("valid")).first()
+            if not n.payloads:  # nothing to price; keep the previous snapshot
                 return
             spark = b.sparkSession
             valid = (b.filter(F.col("failure_reason").isNull()).select("event.*")
                      .withColumn("event_time", F.timestamp_millis(F.col("timestamp_ms"))))
-            n = b.agg(F.count(F.lit(1)).alias("payloads"),
-                      F.count_if(F.col("failure_reason").isNull()).alias("valid")).first()
             rows = price_micro_batch(valid, cfg).persist()
             dead = dead_letters(b, F.col("timestamp_ms")).select("event_id", "failure_reason", "failed_at_ms", "dlq_value")
+            dead = dead.coalesce(-(-n.payloads // PAYLOADS_PER_FILE))
             store.commit_prices(spark, root, run_of(b, _run_of_folder(checkpoint)), batch_id, rows, dead,
                                 {"payloads": n.payloads, "valid": n.valid, "failed": n.payloads - n.valid})
             rows.unpersist()
