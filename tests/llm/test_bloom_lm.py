@@ -141,3 +141,49 @@ def test_region_groups_and_packed_keys():
     assert bloom_lm.region_groups([(3, 8_000_000)], 1) == [(3, 3)] and bloom_lm.region_groups([], 1) == [(0, -1)]
     keys = np.random.default_rng(1).integers(0, 1 << 63, 999).astype(np.uint64) * np.uint64(2) & np.uint64(bloom_lm.KEY_MASK)
     assert (bloom_lm.unpacked(bloom_lm.packed(keys)) == keys).all()
+
+
+def test_counting_fits_a_small_executor():
+    """Adding up counts takes a bounded number of bytes an n-gram (before: about 80, and 8 million n-grams at once)."""
+    import tracemalloc
+
+    rng = np.random.default_rng(11)
+    draw = rng.integers(0, 1 << 63, 400_000).astype(np.uint64) & np.uint64(bloom_lm.KEY_MASK)
+    parts = [np.unique(draw[rng.integers(0, len(draw), 300_000)], return_counts=True) for _ in range(5)]
+    want = collections.Counter()
+    for k, n in parts:
+        want.update(dict(zip(k.tolist(), n.tolist())))
+    size = sum(len(k) for k, _ in parts)
+    tracemalloc.start()
+    keys, n = bloom_lm.added_up(parts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert dict(zip(keys.tolist(), n.tolist())) == want and (np.diff(keys) > 0).all() and not parts
+    assert peak < 40 * size and 40 * 2 * bloom_lm.COUNTED < 200e6
+    for buckets in (1, 7, 48, 1000):
+        got = bloom_lm.bucket_spans(keys, buckets)
+        assert [b for b, s, e in got for _ in range(s, e)] == bloom_lm.bucket_of(keys, buckets).tolist()
+    assert bloom_lm.bucket_spans(keys[:0], 7) == [] and all(len(x) == 0 for x in bloom_lm.added_up([(keys[:0], n[:0])]))
+
+
+def test_counts_sent_in_several_parts(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(bloom_lm, "COUNTED", 50)
+    rng = np.random.default_rng(12)
+    rows, want = [], collections.Counter()
+    for _ in range(9):
+        h = rng.integers(0, 1 << 63, 40).astype(np.uint64) & np.uint64(bloom_lm.KEY_MASK)
+        codes, doc = rng.integers(0, 40, 100), np.repeat([0, 1], [60, 40])
+        rows.append((bloom_lm.packed(h), codes.astype("<u2").tobytes(), [60, 40], [False, True]))
+        for g in bloom_lm.ngram_hashes(h[codes], doc, 2):
+            want.update(g[:60].tolist())
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.bool_())))],
+                                       names=["hashes", "codes", "n_tokens", "held"])
+    got, sent = collections.Counter(), 0
+    for b in bloom_lm._count_task(2, 5)([batch]):
+        keys = bloom_lm.unpacked(b.column(1)[0].as_py())
+        assert set(bloom_lm.bucket_of(keys, 5).tolist()) == {b.column(0)[0].as_py()}
+        got.update(dict(zip(keys.tolist(), np.frombuffer(b.column(2)[0].as_py(), "<u4").tolist())))
+        sent += 1
+    assert got == want and sent > 5

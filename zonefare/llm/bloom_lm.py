@@ -43,7 +43,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonefare.llm.common import delete_path, materialize, stored_table, unsliced
+from zonefare.llm.common import delete_path, materialize, rows_per_batch, stored_table, unsliced
 from zonefare.llm.probminhash import mix
 
 ORDER = 2
@@ -54,11 +54,11 @@ PROBES = 2
 HEAD = 1 << 18
 HEAD_TOKEN_BYTES = 64
 #: Bytes of the filter in one broadcast, of which a task holds one at a time.
-GROUP_BYTES = 32 << 20
+GROUP_BYTES = 8 << 20
 #: Chunks that a scoring task holds while the groups pass by.
-HELD_CHUNKS = 16
-#: Distinct n-grams that a task adds up before it sends them on.
-COUNTED = 4_000_000
+HELD_CHUNKS = 12
+#: Distinct n-grams that a task adds up before it sends them on; adding up takes about 28 bytes for each of at most twice as many.
+COUNTED = 2_000_000
 TUNING_ROUNDS = 8
 BUCKET_TOKENS = 4_000_000
 CHUNK_TOKENS = 500_000
@@ -104,6 +104,7 @@ def token_chunks(batches, text: str = "text", lower: bool = True):
             at[last] = False
             codes[at] = words.indices.to_numpy()
             yield part, vocab, codes, np.repeat(np.arange(len(part)), n + 1)
+    pa.default_memory_pool().release_unused()  # the worker lives on and would keep it
 
 
 def word_hashes(vocab):
@@ -213,6 +214,27 @@ def read_stream(hashes: bytes, codes: bytes, n_tokens):
     return h[code], np.repeat(np.arange(len(n_tokens)), n_tokens)
 
 
+def added_up(parts: list):
+    """Sorted keys and their summed counts from parts (keys, counts), which are let go on the way."""
+    import numpy as np
+    keys = np.concatenate([k for k, _ in parts])
+    n = np.concatenate([np.asarray(c, np.uint32) for _, c in parts])
+    parts.clear()
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    del order
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+    return keys[first], np.add.reduceat(n, first, dtype=np.int64) if len(first) else n
+
+
+def bucket_spans(keys, buckets: int):
+    """(bucket, start, end) of the buckets that sorted keys lie in."""
+    import numpy as np
+    edges = np.array([-(-(b << 32) // buckets) << 32 for b in range(1, buckets)], np.uint64)  # least key of each bucket
+    cut = np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
+    return [(b, int(cut[b]), int(cut[b + 1])) for b in np.flatnonzero(np.diff(cut)).tolist()]
+
+
 def _count_task(order: int, buckets: int):
     """Counts of the n-grams of a task's training documents, one row for each bucket at a time."""
     def run(batches):
@@ -221,16 +243,9 @@ def _count_task(order: int, buckets: int):
 
         held, n_held = [], 0
 
-        def merged():
-            keys = np.concatenate([k for k, _ in held])
-            keys, where = np.unique(keys, return_inverse=True)
-            return keys, np.bincount(where, np.concatenate([n for _, n in held]), len(keys)).astype(np.int64)
-
         def send(keys, n):
-            bucket = bucket_of(keys, buckets)
-            cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(keys))
-            for a, b in zip(cut, cut[1:]):
-                yield pa.RecordBatch.from_arrays([pa.array([bucket[a]], pa.int32()), pa.array([packed(keys[a:b])], pa.binary()),
+            for bucket, a, b in bucket_spans(keys, buckets):
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([packed(keys[a:b])], pa.binary()),
                                                   pa.array([n[a:b].astype("<u4").tobytes()], pa.binary())], names=["bucket", "keys", "n"])
 
         for batch in batches:
@@ -239,16 +254,18 @@ def _count_task(order: int, buckets: int):
                 h, doc = read_stream(hashes.as_py(), codes.as_py(), np.asarray(n_tokens.as_py()))
                 train = ~np.asarray(out.as_py(), bool)[doc]
                 grams = np.concatenate([g[train] for g in ngram_hashes(h, doc, order)])
-                held.append(np.unique(grams, return_counts=True))
-                n_held += len(held[-1][0])
+                keys, n = np.unique(grams, return_counts=True)
+                held.append((keys, n.astype(np.uint32)))
+                n_held += len(keys)
+                del h, doc, train, grams, keys, n
                 if n_held > 2 * COUNTED:
-                    held = [merged()]
+                    held.append(added_up(held))
                     n_held = len(held[0][0])
                     if n_held > COUNTED:
                         yield from send(*held.pop())
                         n_held = 0
         if n_held:
-            yield from send(*merged())
+            yield from send(*added_up(held))
     return run
 
 
@@ -257,10 +274,7 @@ def _region_task():
     def run(table):
         import numpy as np
         import pyarrow as pa
-        sent = np.concatenate([unpacked(k.as_py()) for k in table.column("keys")])
-        keys, where = np.unique(sent, return_inverse=True)
-        n = np.bincount(where, np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("n")]), len(keys))
-        flt = fill_region(keys, n)
+        flt = fill_region(*added_up([(unpacked(k.as_py()), np.frombuffer(x.as_py(), "<u4")) for k, x in zip(table.column("keys"), table.column("n"))]))
         return pa.table({"bucket": table.column("bucket")[:1], "size": pa.array([flt.region], pa.int64()),
                          "bits": pa.array([flt.bytes.tobytes()], pa.binary())})
     return run
@@ -281,26 +295,28 @@ def _probe_task(groups, order: int, buckets: int):
             n_tokens = field("n_tokens").flatten().to_numpy(zero_copy_only=False)
             h, doc = read_stream(field("hashes")[0].as_py(), field("codes")[0].as_py(), n_tokens)
             keys, where = np.unique(np.concatenate(ngram_hashes(h, doc, order)), return_inverse=True)
-            bucket = bucket_of(keys, buckets)
-            cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(keys))
-            spans = {int(bucket[a]): (a, b) for a, b in zip(cut, cut[1:])}
-            return row, doc, keys, where.astype(np.int32), spans, np.zeros(len(keys), np.uint8)
+            spans = {bucket: (a, b) for bucket, a, b in bucket_spans(keys, buckets)}
+            row = row.select([c for c in row.schema.names if c not in ("hashes", "codes")]).take(pa.array([0]))  # lets the stream go
+            return row, keys, where.astype(np.int32), spans, np.zeros(len(keys), np.uint8)
 
         def finish(held):
             for (first, last), shared in groups:
-                if not any(first <= x <= last for chunk in held for x in chunk[4]):
+                if not any(first <= x <= last for chunk in held for x in chunk[3]):
                     continue
                 for bucket, size, bits in shared.value:
                     flt = Filter(bits, 1, size)
-                    for _, _, keys, _, spans, known in held:
+                    for _, keys, _, spans, known in held:
                         if bucket in spans:
                             a, b = spans[bucket]
                             known[a:b] = flt.levels(keys[a:b])
                 del flt, bits
                 vars(shared).pop("_value", None)  # the worker would keep every group it has seen
-            for row, doc, _, where, _, known in held:
+            while held:
+                row, _, where, _, known = held.pop(0)
                 field = lambda c: row.column(row.schema.get_field_index(c))  # noqa: E731, B023
-                m, level = len(field("n_tokens").flatten()), known[where].reshape(order, -1)
+                n_tokens = field("n_tokens").flatten().to_numpy(zero_copy_only=False)
+                m, level = len(n_tokens), known[where].reshape(order, -1)
+                doc = np.repeat(np.arange(m), n_tokens)
                 kinds, kind = np.unique(level_tuples(level, doc), return_inverse=True)
                 combo = np.unique(doc * len(kinds) + kind, return_counts=True)
                 ends = pa.array(np.searchsorted(combo[0] // len(kinds), np.arange(m + 1)).astype(np.int32))
@@ -501,15 +517,17 @@ def score_documents(docs: DataFrame, order: int = ORDER, head: int = HEAD, group
 
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * order / BUCKET_TOKENS))
     grams = streams.select("hashes", "codes", "n_tokens", "held").mapInArrow(_count_task(order, buckets), "bucket int, keys binary, n binary")
-    regions = materialize(grams.groupBy("bucket").applyInArrow(_region_task(), "bucket int, size long, bits binary"), "lm-filter")
+    with rows_per_batch(spark, 1):
+        regions = materialize(grams.groupBy("bucket").applyInArrow(_region_task(), "bucket int, size long, bits binary"), "lm-filter")
     groups = []
     for first, last in region_groups([(r["bucket"], r["size"]) for r in regions.select("bucket", "size").collect()], group_bytes):
         part = regions.where(F.col("bucket").between(first, last)).collect()
         groups.append(((first, last), spark.sparkContext.broadcast([(r["bucket"], r["size"], bytes(r["bits"])) for r in part])))
         del part
-    scored = materialize(streams.mapInArrow(
-        _probe_task(groups, order, buckets), f"doc_id {id_type}, held_out boolean, chunk string, row long, n_tokens long, known_head long, "
-        "base_head double, combos array<long>, combo_times array<int>, rare array<string>, times array<long>"), "lm-scored")
+    with rows_per_batch(spark, 1):
+        scored = materialize(streams.mapInArrow(
+            _probe_task(groups, order, buckets), f"doc_id {id_type}, held_out boolean, chunk string, row long, n_tokens long, known_head long, "
+            "base_head double, combos array<long>, combo_times array<int>, rare array<string>, times array<long>"), "lm-scored")
     delete_path(spark, path)
     for _, shared in groups:
         shared.destroy()
