@@ -61,6 +61,8 @@ HELD_CHUNKS = 12
 COUNTED = 2_000_000
 TUNING_ROUNDS = 8
 BUCKET_TOKENS = 4_000_000
+#: Documents that Spark hands to a task at a time.
+TEXT_ROWS = 2_000
 CHUNK_TOKENS = 500_000
 MAX_LEVEL = 40
 END = "\n"  # not a word: words hold no white space
@@ -178,7 +180,7 @@ def _stream_task(head_data, n, v):
         import pyarrow.compute as pc
 
         tokens, counts = head_data.value
-        tokens, counts = pa.array(tokens, pa.large_string()), np.asarray(counts, np.int64)
+        vars(head_data).pop("_value", None)  # the worker would keep it after its tasks
         for chunk, (part, vocab, codes, doc) in numbered_chunks(batches):
             m = len(part)
             spot = np.asarray(pc.fill_null(pc.index_in(vocab.cast(pa.large_string()), value_set=tokens), -1))
@@ -470,8 +472,11 @@ def _score_task(combos, log_p):
 
 # ---- the operator ---------------------------------------------------------------------------------------
 
-def _head(unigrams: DataFrame, limit: int) -> tuple[list[str], list[int]]:
-    """All tokens from a count upwards, `limit` at most: the least count is read off a histogram by powers of two."""
+def _head(unigrams: DataFrame, limit: int):
+    """(Arrow array of tokens, their counts): all tokens from a count upwards, `limit` at most: the least count is read off a histogram by powers of two."""
+    import numpy as np
+    import pyarrow as pa
+
     octave = F.floor(F.log2("n")).cast("int")
     short = unigrams.where(F.octet_length("token") <= HEAD_TOKEN_BYTES)
     hist = {r["o"]: r["c"] for r in short.groupBy(octave.alias("o")).agg(F.count(F.lit(1)).alias("c")).collect()}
@@ -482,9 +487,9 @@ def _head(unigrams: DataFrame, limit: int) -> tuple[list[str], list[int]]:
             break
         least = o
     if least is None:
-        return [], []
-    rows = short.where(F.col("n") >= (1 << least)).select("token", "n").toPandas()
-    return rows["token"].tolist(), rows["n"].tolist()
+        return pa.array([], pa.large_string()), np.zeros(0, np.int64)
+    rows = short.where(F.col("n") >= (1 << least)).select("token", "n").toArrow()
+    return rows.column("token").combine_chunks().cast(pa.large_string()), rows.column("n").to_numpy()
 
 
 def region_groups(sizes: list[tuple[int, int]], group_bytes: int) -> list[tuple[int, int]]:
@@ -507,13 +512,16 @@ def score_documents(docs: DataFrame, order: int = ORDER, head: int = HEAD, group
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), held_out().alias("held_out"))
     train = docs.where("NOT held_out").select("doc_id", "text")
-    unigrams = materialize(train.mapInArrow(_unigram_task(), "token string, n long").groupBy("token").agg(F.sum("n").alias("n")), "lm-unigrams")
+    with rows_per_batch(spark, TEXT_ROWS):
+        unigrams = materialize(train.mapInArrow(_unigram_task(), "token string, n long").groupBy("token").agg(F.sum("n").alias("n")), "lm-unigrams")
     size = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(size["n"]), int(size["v"])
     head_data = spark.sparkContext.broadcast(_head(unigrams, head))
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    streams, path = stored_table(docs.mapInArrow(_stream_task(head_data, n, v), stream_schema(id_type)), "lm-streams")
+    with rows_per_batch(spark, TEXT_ROWS):
+        streams, path = stored_table(docs.mapInArrow(_stream_task(head_data, n, v), stream_schema(id_type)), "lm-streams")
+    head_data.destroy()
 
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * order / BUCKET_TOKENS))
     grams = streams.select("hashes", "codes", "n_tokens", "held").mapInArrow(_count_task(order, buckets), "bucket int, keys binary, n binary")
