@@ -265,3 +265,11 @@ def test_greedy_chain_of_rows_that_come_three_times(spark):
     cal = spark.createDataFrame(rows * 3, "zone_id string, event_id string, start_ms long, end_ms long")
     got = greedy_chain(cal).groupBy("event_id").count().collect()
     assert len(got) == 70 and {r[1] for r in got} == {3}
+
+
+def test_greedy_chain_without_known_starts(spark):
+    """An unknown start follows nothing; alone in its key it is the first (before: it followed itself without an end)."""
+    from zonefare.operators.intervals import greedy_chain
+    rows = [("z", "1", None, None), ("z", "2", 1000, 2000), ("z", "3", 1500, 9000), ("z", "4", 2000, 3000), ("y", "6", None, None), ("y", "5", None, None)]
+    cal = spark.createDataFrame(rows, "zone_id string, event_id string, start_ms long, end_ms long")
+    assert sorted(r.event_id for r in greedy_chain(cal, max_rounds=6).collect()) == ["2", "4", "5"]

@@ -27,15 +27,15 @@ from zonefare.session import checkpoint_dir
 def next_interval(cal: DataFrame, key: str, start: str, end: str, tie: str,
                   bucket_ms: int = 86_400_000) -> DataFrame:
     """(key, tie, next_tie): the first interval (start, tie order) whose start
-    is at or after this interval's end; null when there is none.  The search
+    (an unknown one never) is at or after this interval's end; null when there is none.  The search
     starts in the bucket of the end, so intervals may have any length."""
     c = cal.select(F.col(key).alias("_k"), F.col(start).alias("_s"), F.col(end).alias("_e"),
                    F.col(tie).alias("_id")).withColumn("_b", F.floor(F.col("_s") / bucket_ms))
     cand = F.struct(F.col("_s").alias("s"), F.col("_id").alias("id"))
-    own = c.select("_k", "_b", F.col("_s").alias("_t"), F.lit(1).alias("_kind"), cand.alias("_c"),
+    own = c.filter("_s IS NOT NULL").select("_k", "_b", F.col("_s").alias("_t"), F.lit(1).alias("_kind"), cand.alias("_c"),
                    F.lit(None).cast("string").alias("_q"))
     ctx = own.withColumn("_b", F.col("_b") - 1)
-    qry = c.select("_k", F.floor(F.col("_e") / bucket_ms).alias("_b"), F.col("_e").alias("_t"), F.lit(0).alias("_kind"),
+    qry = c.filter("_e IS NOT NULL").select("_k", F.floor(F.col("_e") / bucket_ms).alias("_b"), F.col("_e").alias("_t"), F.lit(0).alias("_kind"),
                    F.lit(None).cast(own.schema["_c"].dataType).alias("_c"),
                    F.col("_id").cast("string").alias("_q"))
     # backwards in time: a frame that starts at the partition's first row is carried on from row to row, one that
@@ -47,7 +47,7 @@ def next_interval(cal: DataFrame, key: str, start: str, end: str, tie: str,
          .filter(F.col("_kind") == 0)
          .select("_k", "_b", F.col("_q").alias("_id"), F.col("_n.id").alias("_nid")))
     # not found in the end's bucket and the next one: the first start from two buckets on
-    firsts = c.groupBy("_k", "_b").agg(F.min(cand).alias("_f"))
+    firsts = c.filter("_s IS NOT NULL").groupBy("_k", "_b").agg(F.min(cand).alias("_f"))
     need = a.filter(F.col("_nid").isNull()).select("_k", (F.col("_b") + 2).alias("_pos")).distinct()
     wf = (Window.partitionBy("_k").orderBy(F.desc("_pos"), F.desc("_kind"))
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -71,7 +71,7 @@ def greedy_chain(cal: DataFrame, key: str = "zone_id", start: str = "start_ms",
     jump = (next_interval(cal, key, start, end, tie, bucket_ms)
             .select(F.col(tie).alias("_id"), F.col("next_" + tie).alias("_to"))
             .filter(F.col("_to").isNotNull()).distinct().checkpoint())  # a row that comes twice would square in each round
-    roots = cal.groupBy(key).agg(F.min(F.struct(F.col(start), F.col(tie))).alias("_f"))
+    roots = cal.groupBy(key).agg(F.min(F.struct(F.col(start).isNull().alias("_no"), F.col(start), F.col(tie))).alias("_f"))
     accepted = roots.select(F.col("_f." + tie).alias("_id")).checkpoint()
     for _ in range(max_rounds):
         # accepted = first 2^k chain members, jump = next^(2^k): the next
