@@ -317,6 +317,63 @@ def test_ride_event_join_state_falls_behind_the_watermark(spark, tmp_root, few_p
     assert all(k < 350 for k in kept)  # a batch brings 250 rides; those of earlier days are gone
 
 
+def test_event_state_decides_all_starts_behind_the_watermark_at_once(monkeypatch):
+    """Work of a batch follows its starts: one timer for them all, each read once (before: a timer for each, and each read all)."""
+    import pandas as pd
+
+    class Value:
+        def __init__(self):
+            self.held, self.read = None, 0
+
+        def exists(self):
+            return bool(self.held)
+
+        def get(self):
+            self.read += len(self.held or [])
+            return list(self.held or [])
+
+        def update(self, v):
+            self.held = v
+
+        def appendList(self, rows):
+            self.held = (self.held or []) + rows
+
+        def clear(self):
+            self.held = None
+
+    class Handle:
+        def __init__(self):
+            self.timers, self.states = [], []
+
+        def getListState(self, *_):
+            self.states.append(Value())
+            return self.states[-1]
+
+        getValueState = getMapState = getListState
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    class At:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: ms
+
+    handle, job = Handle(), J.OneEventAtATime()
+    monkeypatch.setattr(job, "APPENDED", 7, raising=False)
+    job.init(handle)
+    n = 500
+    rows = pd.DataFrame({"zone_id": "z", "event_id": [f"e{i}" for i in range(n)], "start_ms": [10 * (n - i) for i in range(n)],
+                         "end_ms": [10 * (n - i) + 25 for i in range(n)], "multiplier": 2.0})
+    list(job.handleInputRows(("z",), iter([rows[:200], rows[200:]]), At(0)))
+    assert handle.timers == [10]
+    out = pd.concat(list(job.handleExpiredTimer(("z",), At(3000), At(10))))
+    assert out["start_ms"].tolist() == list(range(10, 3000, 30))
+    assert handle.states[0].read == n and sorted(x[0] for x in handle.states[0].held) == list(range(3000, 10 * n + 10, 10))
+    assert handle.timers[1:] == [3000, out["end_ms"].iloc[-1]]
+    out = pd.concat(list(job.handleExpiredTimer(("z",), At(100_000), At(3000))))
+    assert out["start_ms"].tolist() == list(range(3010, 10 * n + 1, 30)) and handle.states[0].held is None and handle.states[1].held is None
+
+
 def test_surge_batch_is_dealt_over_tasks(spark, tmp_root, monkeypatch):
     """A batch that comes as one row group is not read by one task (before: one task held all payloads, decoded)."""
     rides = [(i % 900, i % 11, i) for i in range(3000)]  # events come several times

@@ -289,42 +289,58 @@ EVENT_STATE_OUT = "zone_id string, event_id string, start_ms long, end_ms long,
 class OneEventAtATime(StatefulProcessor):
     """Per zone: at most one special event at a time, whatever the order of arrival.
 
-    Starts wait in the state until the watermark has passed them (an event-time timer
-    per start), so they are decided in start order: a start while the accepted event is
-    still running is refused.  A second timer at the end of the accepted event clears
-    the zone's state.  A call sees the rows of one zone and one micro-batch in Arrow
-    batches; the state holds the starts that still wait and one end.
+    Starts wait in the state until the watermark has passed them, so they are decided
+    in start order: a start while the accepted event is still running is refused.  An
+    event-time timer at the earliest start that waits decides all starts behind the
+    watermark in one pass and is set anew for the earliest one left, so a start is read
+    once, not once for every other start of its zone.  Another timer at the end of the
+    accepted event clears the zone's state.  A call sees the rows of one zone and one
+    micro-batch in Arrow batches; the state holds the starts that still wait and one end.
     """
 
+    #: Waiting starts that go to the state in one message.
+    APPENDED = 5_000
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "start_ms long, event_id string", "end_ms long, multiplier double")
+        self.waiting = handle.getListState("waiting", "start_ms long, event_id string, end_ms long, multiplier double")
         self.running = handle.getValueState("running", "end_ms long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first = None
         for part in rows:
-            for r in part.itertuples(index=False):
-                self.waiting.updateValue((int(r.start_ms), r.event_id), (int(r.end_ms), float(r.multiplier)))
-            for start in sorted(set(part["start_ms"])):
-                self.handle.registerTimer(int(start))
+            starts = [(int(start), event, int(stop), float(multiplier)) for start, event, stop, multiplier in
+                      zip(part["start_ms"], part["event_id"], part["end_ms"], part["multiplier"])]
+            for i in range(0, len(starts), self.APPENDED):
+                self.waiting.appendList(starts[i:i + self.APPENDED])
+            first = min([s[0] for s in starts] + ([] if first is None else [first]), default=None)
+        if first is not None:
+            self.handle.registerTimer(first)
         yield pd.DataFrame(columns=["zone_id", "event_id", "start_ms", "end_ms", "multiplier"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        due = sorted((tuple(k), tuple(v)) for k, v in self.waiting.iterator() if k[0] <= now)
+        watermark = timerValues.getCurrentWatermarkInMs()
+        waiting = {(start, event): (stop, multiplier) for start, event, stop, multiplier in self.waiting.get()}  # a start that came again counts once
+        due = sorted(k for k in waiting if k[0] < watermark)
         end = self.running.get()[0] if self.running.exists() else None
         accepted = []
-        for (start, event), (stop, multiplier) in due:
-            self.waiting.removeKey((start, event))
+        for start, event in due:
+            stop, multiplier = waiting.pop((start, event))
             if end is None or start >= end:
                 end = stop
                 accepted.append((key[0], event, start, stop, multiplier))
-        if accepted:
-            self.running.update((end,))
-            if end > now:
-                self.handle.registerTimer(end)
-        elif end is not None and end <= now:
+        if due:
+            self.waiting.clear()
+            left = [(*k, *v) for k, v in waiting.items()]
+            for i in range(0, len(left), self.APPENDED):
+                self.waiting.appendList(left[i:i + self.APPENDED])
+            if left:
+                self.handle.registerTimer(min(x[0] for x in left))
+        if end is not None and end < watermark:
             self.running.clear()
+        elif accepted:
+            self.running.update((end,))
+            self.handle.registerTimer(end)
         yield pd.DataFrame(accepted, columns=["zone_id", "event_id", "start_ms", "end_ms", "multiplier"])
 
     def close(self) -> None:
