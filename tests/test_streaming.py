@@ -317,6 +317,30 @@ def test_ride_event_join_state_falls_behind_the_watermark(spark, tmp_root, few_p
     assert all(k < 350 for k in kept)  # a batch brings 250 rides; those of earlier days are gone
 
 
+def test_ride_event_join_meets_by_slots_of_time(spark, tmp_root, few_partitions):
+    """A ride is compared to the events of its slot only (before: to all of its zone in the state), and meets each running one once."""
+    import random
+    from datetime import datetime, timezone
+    rnd, minute, t0 = random.Random(3), 60_000, 1_704_067_200_000
+    events = [("z%d" % rnd.randrange(2), "e%02d" % i, t0 + rnd.randrange(0, 600) * minute, rnd.choice([-5, 0, 1, 29, 30, 31, 200, 300])) for i in range(60)]
+    events += [("z0", "e60", t0 + 30 * minute, 30), (None, "e61", t0, 60), ("z1", "e62", None, 60)]
+    events = [(z, e, s, None if s is None else s + n * minute, 2.0) for z, e, s, n in events]
+    rides = [("r%03d" % i, "z%d" % rnd.randrange(2), t0 + rnd.randrange(0, 20) * 30 * minute + rnd.choice([0, -1, 1, 7 * minute])) for i in range(150)]
+    rides += [("r150", None, t0), ("r151", "z0", None)]
+    at = lambda ms: None if ms is None else datetime.fromtimestamp(ms / 1000, timezone.utc)
+    spark.createDataFrame([(r, z, at(t)) for r, z, t in rides], "event_id string, zone_id string, event_time timestamp").write.parquet(f"{tmp_root}/rides")
+    spark.createDataFrame(events, "zone_id string, event_id string, start_ms long, end_ms long, multiplier double").write.parquet(f"{tmp_root}/events")
+    stream = lambda name: spark.readStream.schema(spark.read.parquet(f"{tmp_root}/{name}").schema).parquet(f"{tmp_root}/{name}")
+    both = J.ride_events_stream(stream("rides"), stream("events"))
+    join = [x for x in both._jdf.queryExecution().analyzed().toString().splitlines() if "Join Inner" in x]
+    assert len(join) == 1 and "__slot" in join[0] and "__event_slot" in join[0]
+    both.writeStream.format("parquet").option("path", f"{tmp_root}/out").option("checkpointLocation", f"{tmp_root}/ck").trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(f"{tmp_root}/out").collect()
+    want = [(r, e) for r, rz, t in rides for ez, e, s, end, _ in events
+            if None not in (rz, t, s) and rz == ez and s <= t < min(end, s + J.MAX_EVENT_MINUTES * minute)]
+    assert len(want) > 100 and sorted((x.event_id, x.special_event_id) for x in got) == sorted(want)
+
+
 def test_event_state_decides_all_starts_behind_the_watermark_at_once(monkeypatch):
     """Work of a batch follows its starts: one timer for them all, each read once (before: a timer for each, and each read all)."""
     import pandas as pd

@@ -263,6 +263,8 @@ def current_weather(spark, root: str, as_of=None, cfg: PricingConfig = DEFAULT)
 
 #: No special event lasts longer; it bounds how long rides and events wait for each other.
 MAX_EVENT_MINUTES = 240
+#: Rides meet the events of their zone and slot of time.
+SLOT_MINUTES = 30
 
 
 def ride_events_stream(rides: DataFrame, calendar: DataFrame, cfg: PricingConfig = DEFAULT,
@@ -271,16 +273,23 @@ def ride_events_stream(rides: DataFrame, calendar: DataFrame, cfg: PricingConfig
 
     Either side may come first; the time range of the condition and the watermarks of
     both sides let the state drop a ride or an event as soon as nothing can meet it.
+    The state is kept by zone and slot of time, with an event in every slot it runs in:
+    a ride is compared to the events of its slot, not to all of its zone that the state holds.
     """
-    delay = f"{cfg.watermark_seconds} seconds"
-    r = rides.withWatermark("event_time", delay)
+    delay, slot = f"{cfg.watermark_seconds} seconds", SLOT_MINUTES * 60_000_000
+    lasts = F.expr(f"INTERVAL {max_minutes} MINUTES")
+    slot_of = lambda t: F.floor(F.unix_micros(t) / F.lit(slot))
+    r = rides.withWatermark("event_time", delay).withColumn("__slot", slot_of(F.col("event_time")))
     e = calendar.select(F.col("zone_id").alias("__zone"), F.col("event_id").alias("special_event_id"),
                         F.timestamp_millis("start_ms").alias("start_time"), F.timestamp_millis("end_ms").alias("end_time"),
                         "multiplier").withWatermark("start_time", delay)
-    met = ((F.col("zone_id") == F.col("__zone")) & (F.col("event_time") >= F.col("start_time"))
-           & (F.col("event_time") < F.col("start_time") + F.expr(f"INTERVAL {max_minutes} MINUTES"))
+    until = F.least(F.col("end_time"), F.col("start_time") + lasts)
+    e = (e.filter(until > F.col("start_time"))
+         .withColumn("__event_slot", F.explode(F.sequence(slot_of(F.col("start_time")), slot_of(until)))))
+    met = ((F.col("zone_id") == F.col("__zone")) & (F.col("__slot") == F.col("__event_slot"))
+           & (F.col("event_time") >= F.col("start_time")) & (F.col("event_time") < F.col("start_time") + lasts)
            & (F.col("event_time") < F.col("end_time")))
-    return r.join(e, met).drop("__zone")
+    return r.join(e, met).drop("__zone", "__slot", "__event_slot")
 
 
 EVENT_STATE_OUT = "zone_id string, event_id string, start_ms long, end_ms long, multiplier double"
