@@ -187,3 +187,49 @@ def test_counts_sent_in_several_parts(monkeypatch):
         got.update(dict(zip(keys.tolist(), np.frombuffer(b.column(2)[0].as_py(), "<u4").tolist())))
         sent += 1
     assert got == want and sent > 5
+
+
+def test_probing_asks_a_bucket_once_for_all_chunks_held(monkeypatch):
+    """A task's look-ups follow the buckets, not buckets times chunks, and what it holds is bounded by tokens (before: by 12 chunks, each asked alone)."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(13)
+    words = rng.integers(0, 1 << 63, 60).astype(np.uint64) & np.uint64(bloom_lm.KEY_MASK)
+    rows, counts = [], collections.Counter()
+    for c in range(30):
+        codes, doc = rng.integers(0, 60, 100), np.repeat([0, 1], [60, 40])
+        rows.append((f"c{c}", [2 * c, 2 * c + 1], [False, True], [60, 40], [0, 0], [0.0, 0.0], [["x"], []], [[1], []],
+                     bloom_lm.packed(words), codes.astype("<u2").tobytes()))
+        for g in bloom_lm.ngram_hashes(words[codes], doc, 2):
+            counts.update(g[:60].tolist())
+    types = (pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64()),
+             pa.list_(pa.list_(pa.string())), pa.list_(pa.list_(pa.int64())), pa.binary(), pa.binary())
+    names = ["chunk", "ids", "held", "n_tokens", "known_head", "base_head", "rare", "times", "hashes", "codes"]
+    batches = [pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=names) for row in rows]
+    keys = np.array(sorted(counts), np.uint64)
+    n = np.array([counts[k] for k in keys.tolist()])
+    regions = [(b, f.region, f.bytes.tobytes()) for b, s, e in bloom_lm.bucket_spans(keys, 5) for f in [bloom_lm.fill_region(keys[s:e], n[s:e])]]
+
+    class Shared:
+        def __init__(self, held):
+            self.held = held
+
+        @property
+        def value(self):
+            return self.held
+
+    groups = [((0, 1), Shared(regions[:2])), ((2, 4), Shared(regions[2:]))]
+    calls, levels = [], bloom_lm.Filter.levels
+    monkeypatch.setattr(bloom_lm.Filter, "levels", lambda self, keys: calls.append(len(keys)) or levels(self, keys))
+    once = [b.to_pylist() for b in bloom_lm._probe_task(groups, 2, 5)(batches)]
+    assert len(calls) == 5 and len(once) == 30 and sum(map(len, once)) == 60
+    monkeypatch.setattr(bloom_lm, "HELD_TOKENS", 600)
+    calls.clear()
+    assert [b.to_pylist() for b in bloom_lm._probe_task(groups, 2, 5)(batches)] == once and len(calls) == 25 and max(calls) <= 1200
+    for row, got in zip(rows, once):
+        h, doc = bloom_lm.read_stream(row[8], row[9], row[3])
+        level = np.stack([bloom_lm.Filter(regions[0][2], 1, regions[0][1]).levels(g) for g in bloom_lm.ngram_hashes(h, doc, 2)])
+        first = np.stack([bloom_lm.bucket_of(g, 5) == 0 for g in bloom_lm.ngram_hashes(h, doc, 2)])
+        combos = [c for r in got for c in np.repeat(r["combos"], r["combo_times"]).tolist()]
+        words_in_first = collections.Counter((level[0][first[0]]).tolist())
+        assert len(combos) == 100 and not words_in_first - collections.Counter(c >> 12 for c in combos)

@@ -39,6 +39,7 @@ result; extra input columns are not read.
 from __future__ import annotations
 
 import math
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,15 +56,16 @@ HEAD = 1 << 18
 HEAD_TOKEN_BYTES = 64
 #: Bytes of the filter in one broadcast, of which a task holds one at a time.
 GROUP_BYTES = 8 << 20
-#: Chunks that a scoring task holds while the groups pass by.
-HELD_CHUNKS = 12
+#: Tokens of the chunks that a scoring task holds while the groups pass by: about 22 bytes for each.
+HELD_TOKENS = 2_200_000
 #: Distinct n-grams that a task adds up before it sends them on; adding up takes about 28 bytes for each of at most twice as many.
-COUNTED = 2_000_000
+COUNTED = 1_500_000
 TUNING_ROUNDS = 8
 BUCKET_TOKENS = 4_000_000
 #: Documents that Spark hands to a task at a time.
 TEXT_ROWS = 2_000
-CHUNK_TOKENS = 500_000
+#: A chunk is a row of token streams: rows of several megabytes would take as much again in the buffers on their way to and from Python.
+CHUNK_TOKENS = 250_000
 MAX_LEVEL = 40
 END = "\n"  # not a word: words hold no white space
 GAP_RE2 = r"[ \t\n\x0b\x0c\r]+"
@@ -285,8 +287,8 @@ def _region_task():
 def _probe_task(groups, order: int, buckets: int):
     """Chunks of token streams -> rows of their documents with the combinations of levels.
 
-    A task holds `HELD_CHUNKS` chunks, loads one group of regions after the other,
-    probes the n-grams of its buckets, and lets the group go.
+    A task holds chunks of `HELD_TOKENS` tokens, loads one group of regions after the other,
+    probes the n-grams of its buckets, those of all chunks at once, and lets the group go.
     """
     def run(batches):
         import numpy as np
@@ -306,12 +308,14 @@ def _probe_task(groups, order: int, buckets: int):
                 if not any(first <= x <= last for chunk in held for x in chunk[3]):
                     continue
                 for bucket, size, bits in shared.value:
-                    flt = Filter(bits, 1, size)
-                    for _, keys, _, spans, known in held:
-                        if bucket in spans:
-                            a, b = spans[bucket]
-                            known[a:b] = flt.levels(keys[a:b])
-                del flt, bits
+                    asked = [(keys, known, *spans[bucket]) for _, keys, _, spans, known in held if bucket in spans]
+                    if not asked:
+                        continue
+                    level, at = Filter(bits, 1, size).levels(np.concatenate([keys[a:b] for keys, _, a, b in asked])), 0
+                    for _, known, a, b in asked:
+                        known[a:b] = level[at:at + b - a]
+                        at += b - a
+                bits = None
                 vars(shared).pop("_value", None)  # the worker would keep every group it has seen
             while held:
                 row, _, where, _, known = held.pop(0)
@@ -333,7 +337,7 @@ def _probe_task(groups, order: int, buckets: int):
         for batch in batches:
             for i in range(len(batch)):
                 held.append(keys_of(batch.slice(i, 1)))
-                if len(held) == HELD_CHUNKS:
+                if sum(len(where) for _, _, where, _, _ in held) >= order * HELD_TOKENS:
                     yield from finish(held)
                     held = []
         if held:
@@ -520,7 +524,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, head: int = HEAD, group
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     with rows_per_batch(spark, TEXT_ROWS):
-        streams, path = stored_table(docs.mapInArrow(_stream_task(head_data, n, v), stream_schema(id_type)), "lm-streams")
+        streams, path = stored_table(docs.mapInArrow(_stream_task(head_data, n, v), stream_schema(id_type)), "lm-streams", compression="zstd")
     head_data.destroy()
 
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n * order / BUCKET_TOKENS))
@@ -528,8 +532,10 @@ def score_documents(docs: DataFrame, order: int = ORDER, head: int = HEAD, group
     with rows_per_batch(spark, 1):
         regions = materialize(grams.groupBy("bucket").applyInArrow(_region_task(), "bucket int, size long, bits binary"), "lm-filter")
     groups = []
-    for first, last in region_groups([(r["bucket"], r["size"]) for r in regions.select("bucket", "size").collect()], group_bytes):
-        part = regions.where(F.col("bucket").between(first, last)).collect()
+    where = {r["bucket"]: (r["size"], unquote(r["file"])) for r in regions.select("bucket", "size", F.input_file_name().alias("file")).collect()}
+    for first, last in region_groups([(bucket, size) for bucket, (size, _) in where.items()], group_bytes):
+        files = sorted({where[bucket][1] for bucket in range(first, last + 1) if bucket in where})  # no other files are opened for the group
+        part = spark.read.schema(regions.schema).parquet(*files).where(F.col("bucket").between(first, last)).collect() if files else []
         groups.append(((first, last), spark.sparkContext.broadcast([(r["bucket"], r["size"], bytes(r["bits"])) for r in part])))
         del part
     with rows_per_batch(spark, 1):
